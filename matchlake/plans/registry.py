@@ -32,14 +32,18 @@ REPORT_PARAMS = {"report03_compact": {"season": SEASON}, "report03_full": {"seas
 
 
 class Layers:
-    """Lazy raw / conformed / star plans over one driver folder."""
+    """Lazy raw / conformed / star plans over one driver folder (each table is
+    built on first access, so a query only analyses what it reads)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.raw = adapter.raw_tables(spark, sf_dir)
+        self._silver: dict[str, object] = {}
 
-    def silver(self, ed: Edition) -> dict[str, DataFrame]:
-        return conform_all(self.raw, ed)
+    def silver(self, ed: Edition):
+        if ed.name not in self._silver:
+            self._silver[ed.name] = conform_all(self.raw, ed)
+        return self._silver[ed.name]
 
     def star(self, ed: Edition) -> Star:
         return build_star(self.silver(ed), self.raw, ed)
@@ -92,7 +96,7 @@ def layer_row_counts(spark, sf):
     star = lay.star(ed)
     return quality.layer_row_counts({
         "raw": {t: lay.raw[t] for t in SOURCE_TABLES},
-        "silver": lay.silver(ed),
+        "silver": dict(lay.silver(ed).items()),
         "gold": {t: getattr(star, t) for t in DIM_TABLES + FACT_TABLES},
     })
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,9 @@ def conform_table(raw: DataFrame, spec: TableSpec, ed: Edition) -> DataFrame:
     return _derived(df, spec, ed)
 
 
-def conform_all(raw: dict[str, DataFrame], ed: Edition) -> dict[str, DataFrame]:
+def conform_all(raw: Mapping[str, DataFrame], ed: Edition) -> "LazyTables":
+    """The edition's conformed tables, each built on first access."""
+    from .star import LazyTables
+
     tables = COMPACT_TABLES if ed.name == "compact" else FULL_TABLES
-    return {t: conform_table(raw[t], SPECS[t], ed) for t in tables}
+    return LazyTables({t: (lambda t=t: conform_table(raw[t], SPECS[t], ed)) for t in tables})

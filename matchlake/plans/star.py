@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,22 +13,56 @@ from ..operators.combine import merge_join
 from .edition import Edition
 
 
-@dataclass
+DIM_TABLES = ("dim_player", "dim_club", "dim_competition", "dim_date")
+FACT_TABLES = ("fact_appearance", "fact_game", "fact_club_perf")
+
+
+class LazyTables(Mapping):
+    """Name -> DataFrame, where each value may be given as a zero-argument
+    builder and is built on first access only.
+
+    PySpark analyses every transformation eagerly, so building tables a query
+    never reads costs driver time; laziness keeps each query to its own plan.
+    """
+
+    def __init__(self, sources: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+        self._src = dict(sources)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            v = self._src[name]
+            self._built[name] = v if isinstance(v, DataFrame) else v()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._src)
+
+    def __len__(self) -> int:
+        return len(self._src)
+
+
 class Star:
-    dim_player: DataFrame
-    dim_club: DataFrame
-    dim_competition: DataFrame
-    dim_date: DataFrame
-    fact_appearance: DataFrame
-    fact_game: DataFrame
-    fact_club_perf: DataFrame
+    """The seven gold tables (values or lazy builders)."""
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+    TABLES = DIM_TABLES + FACT_TABLES
 
+    def __init__(self, **tables):
+        missing = set(self.TABLES) - set(tables)
+        if missing:
+            raise TypeError(f"Star: missing tables {sorted(missing)}")
+        self._t = LazyTables(tables)
 
-DIM_TABLES = ("dim_player", "dim_club", "dim_competition", "dim_date")
-FACT_TABLES = ("fact_appearance", "fact_game", "fact_club_perf")
+    dim_player = property(lambda self: self._t["dim_player"])
+    dim_club = property(lambda self: self._t["dim_club"])
+    dim_competition = property(lambda self: self._t["dim_competition"])
+    dim_date = property(lambda self: self._t["dim_date"])
+    fact_appearance = property(lambda self: self._t["fact_appearance"])
+    fact_game = property(lambda self: self._t["fact_game"])
+    fact_club_perf = property(lambda self: self._t["fact_club_perf"])
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {n: self._t[n] for n in self.TABLES}
 
 # Column lists of each table, in order, per edition.
 PLAYER_COLS = {
@@ -141,19 +175,22 @@ def fact_club_perf(club_games: DataFrame, ed: Edition) -> DataFrame:
     return club_games.select(cols)
 
 
-def build_star(silver: dict[str, DataFrame], raw: dict[str, DataFrame], ed: Edition) -> Star:
+def build_star(silver: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
+               ed: Edition) -> Star:
     """All seven gold tables as lazy plans over the conformed tables.
 
     The compact edition reads club games from the conformed layer, the full
     edition from the raw layer (not de-duplicated).
     """
-    club_games = silver["club_games"] if ed.name == "compact" else raw["club_games"]
+    def club_games() -> DataFrame:
+        return silver["club_games"] if ed.name == "compact" else raw["club_games"]
+
     return Star(
-        dim_player=dim_player(silver["players"], ed),
-        dim_club=dim_club(silver["clubs"], ed),
-        dim_competition=dim_competition(silver["competitions"], ed),
-        dim_date=dim_date(silver["games"], ed),
-        fact_appearance=fact_appearance(silver["appearances"], silver["games"], ed),
-        fact_game=fact_game(silver["games"], ed),
-        fact_club_perf=fact_club_perf(club_games, ed),
+        dim_player=lambda: dim_player(silver["players"], ed),
+        dim_club=lambda: dim_club(silver["clubs"], ed),
+        dim_competition=lambda: dim_competition(silver["competitions"], ed),
+        dim_date=lambda: dim_date(silver["games"], ed),
+        fact_appearance=lambda: fact_appearance(silver["appearances"], silver["games"], ed),
+        fact_game=lambda: fact_game(silver["games"], ed),
+        fact_club_perf=lambda: fact_club_perf(club_games(), ed),
     )

@@ -1 +1,2 @@
-"""Sources: explicit schemas, the raw/bronze/silver/gold folder layout, and readers/writers."""
+"""Sources: explicit schemas, the driver-table adapter, the layer folder layout,
+CSV/Parquet readers and writers, and fault-isolated ingestion."""

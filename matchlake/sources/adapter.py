@@ -220,6 +220,8 @@ BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight raw football tables as lazy DataFrames over the driver tables."""
-    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+def raw_tables(spark: SparkSession, sf_dir: str):
+    """All eight raw football tables over the driver tables, each built on first access."""
+    from ..plans.star import LazyTables
+
+    return LazyTables({name: (lambda b=build: b(spark, sf_dir)) for name, build in BUILDERS.items()})

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference workload is batch only: it has no stream source or sink, no
+watermark, no windowed or stateful operator (incremental loads and real-time
+streams appear only in its wish list, never as code).  Every job in
+``matchlake.plans.jobs`` is a full-overwrite batch over files, which is what
+that workload needs; nothing is built here so as not to add operators the
+reference does not have.
+"""

@@ -34,6 +34,23 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+                 "boolean": "BOOLEAN", "array<string>": "VARCHAR[]"}
+
+
+def type_diffs(df, cur) -> list:
+    """Columns whose Spark type does not correspond to the DuckDB type."""
+    duck_types = {d[0]: str(d[1]) for d in cur.description}
+    out = []
+    for f in df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        got = duck_types.get(f.name)
+        if got is not None and got.upper() != want:
+            out.append((f.name, f.dataType.simpleString(), got))
+    return out
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else v
@@ -64,6 +81,9 @@ def compare(spark, con, name: str, sf_dir: str, fn, sql: str) -> dict:
     d_rows = cur.fetchall()
     res["duck_rows"] = len(d_rows)
     res["cols_match"] = sorted(s_cols) == sorted(d_cols)
+    td = type_diffs(df, cur)
+    if td:
+        res["type_diffs"] = td
     if not res["cols_match"]:
         res["cols_diff"] = (sorted(set(s_cols) - set(d_cols)), sorted(set(d_cols) - set(s_cols)))
         res["match"] = False
