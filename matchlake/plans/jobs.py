@@ -9,7 +9,8 @@ report); no data passes through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,6 +22,19 @@ from .edition import Edition
 from .silver import COMPACT_TABLES, FULL_TABLES, conform_all
 from .star import DIM_TABLES, FACT_TABLES, Star, build_star
 
+# Independent writes of one layer are submitted concurrently (driver threads only
+# submit jobs; the work runs on executors), so small tables do not leave the
+# cluster idle between jobs.
+DEFAULT_PARALLEL_WRITES = 4
+
+
+def _parallel(tasks: list[Callable[[], tuple]], parallel: int) -> list[tuple]:
+    if parallel <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return list(pool.map(lambda t: t(), tasks))
+
+
 # Facts are partitioned by season so season-filtered reports prune whole folders.
 FACT_PARTITIONS = {"fact_appearance": ["season_year"], "fact_game": ["season_year"]}
 
@@ -43,11 +57,13 @@ def read_bronze(spark: SparkSession, paths: LayerPaths,
 
 
 def _write_all(spark: SparkSession, frames: dict[str, DataFrame], where,
-               fmt: str, partitions: dict | None = None) -> DataFrame:
-    rows = []
-    for name, df in frames.items():
-        n = write_counted(df, where(name), fmt, (partitions or {}).get(name))
-        rows.append((name, "ok", n, None))
+               fmt: str, partitions: dict | None = None,
+               parallel: int = DEFAULT_PARALLEL_WRITES) -> DataFrame:
+    def task(name: str, df: DataFrame):
+        return lambda: (name, "ok",
+                        write_counted(df, where(name), fmt, (partitions or {}).get(name)), None)
+
+    rows = _parallel([task(n, df) for n, df in frames.items()], parallel)
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
@@ -61,7 +77,11 @@ def run_model(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
     tables = COMPACT_TABLES if ed.name == "compact" else FULL_TABLES
     silver = {t: read_table(spark, paths.silver(t), paths.fmt) for t in tables}
     raw = {"club_games": read_table(spark, paths.bronze("club_games"), paths.fmt)}
-    star = build_star(silver, raw, ed)
+    return write_star(spark, build_star(silver, raw, ed), paths)
+
+
+def write_star(spark: SparkSession, star: Star, paths: LayerPaths) -> DataFrame:
+    """Write the four dimensions and three facts (facts partitioned by season)."""
     dims = {t: getattr(star, t) for t in DIM_TABLES}
     facts = {t: getattr(star, t) for t in FACT_TABLES}
     return _write_all(spark, dims, paths.dim, paths.fmt).unionByName(
@@ -76,16 +96,27 @@ def read_star(spark: SparkSession, paths: LayerPaths) -> Star:
 
 def run_reports(spark: SparkSession, paths: LayerPaths, ed: Edition,
                 names: Iterable[str] | None = None,
-                params: dict[str, dict] | None = None) -> DataFrame:
+                params: dict[str, dict] | None = None,
+                parallel: int = DEFAULT_PARALLEL_WRITES) -> DataFrame:
     """Write each report of the edition; a failing report is a status row, not a crash."""
     star = read_star(spark, paths)
+    plans = {}
     rows = []
     for name in names or R.report_names(ed.name):
         try:
-            df = R.REPORTS[name](star, **(params or {}).get(name, {}))
-            rows.append((name, "ok", write_counted(df, paths.report(name), paths.fmt), None))
+            plans[name] = R.REPORTS[name](star, **(params or {}).get(name, {}))
         except Exception as e:  # noqa: BLE001 -- per-report isolation
             rows.append((name, "failed", None, str(e).splitlines()[0][:200]))
+
+    def task(name: str, df: DataFrame):
+        def run():
+            try:
+                return (name, "ok", write_counted(df, paths.report(name), paths.fmt), None)
+            except Exception as e:  # noqa: BLE001
+                return (name, "failed", None, str(e).splitlines()[0][:200])
+        return run
+
+    rows += _parallel([task(n, df) for n, df in plans.items()], parallel)
     return spark.createDataFrame(rows, REPORT_STATUS_SCHEMA)
 
 

@@ -8,6 +8,7 @@ star -> report); the ``jobs`` module is the materialising path.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,9 +84,9 @@ def csv_roundtrip(spark, sf):
 def ingest_status(spark, sf):
     """Raw CSVs for seven tables (player_valuations left out on purpose) -> bronze."""
     paths = LayerPaths(scratch_path(spark, "ingest"))
-    for t in SOURCE_TABLES:
-        if t != "player_valuations":
-            write_csv(adapter.BUILDERS[t](spark, sf), paths.raw(t))
+    present = [t for t in SOURCE_TABLES if t != "player_valuations"]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(lambda t: write_csv(adapter.BUILDERS[t](spark, sf), paths.raw(t)), present))
     return ingest_all(spark, paths, null_value=NULL_MARK)
 
 
@@ -208,10 +209,7 @@ def q_report_status(spark, sf):
     lay = Layers(spark, sf)
     ed = full()
     star = lay.star(ed)
-    for t in DIM_TABLES:
-        write_table(getattr(star, t), paths.dim(t))
-    for t in FACT_TABLES:
-        write_table(getattr(star, t), paths.fact(t), partition_by=jobs.FACT_PARTITIONS.get(t))
+    jobs.write_star(spark, star, paths)
     names = R.report_names("full")
     jobs.run_reports(spark, paths, ed, names, REPORT_PARAMS)
     return jobs.report_status(spark, paths, names)

@@ -59,12 +59,13 @@ def report01_compact(star: Star) -> DataFrame:
 @report(1, "full")
 def report01_full(star: Star) -> DataFrame:
     pairs = star.fact_appearance.select("player_key", "club_key").distinct()
-    named = (pairs.join(star.dim_club.select("club_key", F.col("name").alias("club_name")),
-                        "club_key", "left")
-             .select("player_key", "club_name").distinct())
-    clubs = named.groupBy("player_key").agg(
-        F.array_sort(F.collect_list("club_name")).alias("clubs_played"),
-        F.count("club_name").alias("number_of_clubs"))
+    named = pairs.join(star.dim_club.select("club_key", F.col("name").alias("club_name")),
+                       "club_key", "left")
+    # Distinct club names per player in one aggregate: the set is combined
+    # map-side and holds at most one entry per club name.
+    clubs = (named.groupBy("player_key")
+             .agg(F.array_sort(F.collect_set("club_name")).alias("clubs_played"))
+             .withColumn("number_of_clubs", F.size("clubs_played").cast("bigint")))
     players = star.dim_player.select("player_key", "full_name", "country_of_citizenship",
                                      "position", "date_of_birth", "age", "current_club_name")
     out = players.join(clubs, "player_key", "left")

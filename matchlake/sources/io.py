@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -121,28 +122,32 @@ def _is_missing(err: AnalysisException) -> bool:
 
 def ingest_all(spark: SparkSession, paths: LayerPaths,
                tables: Iterable[str] = SOURCE_TABLES,
-               require: Iterable[str] = (), null_value: str | None = None) -> DataFrame:
+               require: Iterable[str] = (), null_value: str | None = None,
+               parallel: int = 4) -> DataFrame:
     """Raw CSV -> bronze, table by table; a failing table does not stop the rest.
 
     Returns one status row per table (``ok`` / ``missing`` / ``failed``) with
     the row count observed while writing.  Tables in ``require`` raise instead.
     """
-    rows = []
     required = set(require)
-    for t in tables:
+
+    def one(t: str) -> tuple:
         try:
             df = read_csv(spark, paths.raw(t), SCHEMAS.get(t), null_value=null_value)
-            n = write_counted(df, paths.bronze(t), paths.fmt)
-            rows.append((t, "ok", n, None))
+            return (t, "ok", write_counted(df, paths.bronze(t), paths.fmt), None)
         except AnalysisException as e:
             if t in required:
                 raise
             if _is_missing(e):
-                rows.append((t, "missing", None, "no such file"))
-            else:
-                rows.append((t, "failed", None, str(e).splitlines()[0][:200]))
+                return (t, "missing", None, "no such file")
+            return (t, "failed", None, str(e).splitlines()[0][:200])
         except Exception as e:  # noqa: BLE001 -- isolation is the point
             if t in required:
                 raise
-            rows.append((t, "failed", None, str(e).splitlines()[0][:200]))
+            return (t, "failed", None, str(e).splitlines()[0][:200])
+
+    # Tables are independent: submit their jobs concurrently from driver threads.
+    tables = list(tables)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(tables)))) as pool:
+        rows = list(pool.map(one, tables))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
