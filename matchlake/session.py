@@ -7,9 +7,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Defaults for local runs and tests.  On a cluster the operator's own
-# spark-defaults win: ``builder.config`` only fills what the launcher left open
-# when a session already exists.
+# Defaults for local runs and tests.
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -20,6 +18,30 @@ LOCAL_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# Runtime SQL settings for large clusters (~100 TB input, ~1000 executors).
+# Applied by ``cluster_session`` only where the cluster left them unset.
+#  * Many initial shuffle partitions, coalesced by AQE to ~256 MB each, so a
+#    partition fits executor memory at any scale and small stages stay small.
+#  * Skew join splitting for partitions 5x the median and above 256 MB (a hot
+#    key may hold a third of the rows; partial aggregation covers group-bys).
+#  * Broadcast decided at run time from measured shuffle sizes (AQE), capped at
+#    64 MB; the static, estimate-based threshold stays at Spark's 10 MB.
+#  * 256 MB scan splits keep task counts reasonable on 100 TB scans.
+CLUSTER_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "matchlake", extra: dict | None = None) -> SparkSession:
@@ -36,20 +58,35 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_session(app: str = "matchlake") -> SparkSession:
+    """Session on the cluster the launcher configured; fills ``CLUSTER_CONF``
+    defaults only where unset, and requires ``spark.checkpoint.dir``."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    for k, v in CLUSTER_CONF.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local runs, tests) do we create one of our own.
+    ``spark.checkpoint.dir`` is read from the session.  Only in local mode
+    (tests, single-machine runs) is a folder of our own created when it is
+    unset; on a cluster a machine-local folder would not be shared, so its
+    absence is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or \
+        spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: give the cluster a shared "
+                               "folder for checkpoints and scratch tables")
         configured = tempfile.mkdtemp(prefix="matchlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
