@@ -758,8 +758,43 @@ UNION ALL SELECT 'total_games', COUNT(*) FROM f_fact_game"""
     return q
 
 
+# Conformance counts: (table, keys when de-duplicated, required columns, text date columns).
+_CONFORM = [
+    ("players", ["player_id"], [], ["date_of_birth"]),
+    ("appearances", None, ["player_id", "game_id"], ["date"]),
+    ("games", ["game_id"], ["game_id"], ["date"]),
+    ("clubs", ["club_id"], [], []),
+    ("competitions", ["competition_id"], [], []),
+    ("game_events", None, ["game_id"], []),
+    ("club_games", ["game_id", "club_id"], [], []),
+    ("player_valuations", None, [], ["date"]),
+]
+
+
+def _conform_quality(prefix: str, tables: list[str]) -> str:
+    parts = []
+    for t, keys, req, dates in _CONFORM:
+        if t not in tables:
+            continue
+        src = f"{prefix}n_{t}"
+        miss = " OR ".join(f"{c} IS NULL" for c in req) or "FALSE"
+        unparsed = " + ".join(
+            f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS DATE) IS NULL)"
+            for c in dates) or "0"
+        kept_src = f"(SELECT DISTINCT {', '.join(keys)} FROM {src})" if keys else src
+        parts.append(f"""
+SELECT '{t}' AS table_name, i.rows_in, i.rows_in - k.kept AS duplicates_dropped, k.rejected,
+  k.kept - k.rejected AS rows_out, i.unparsed_dates
+FROM (SELECT COUNT(*) AS rows_in, CAST({unparsed} AS BIGINT) AS unparsed_dates FROM {src}) i,
+     (SELECT COUNT(*) AS kept, COUNT(*) FILTER (WHERE {miss}) AS rejected FROM {kept_src}) k""")
+    return "\nUNION ALL ".join(parts)
+
+
 def oracle_queries() -> dict[str, str]:
     bodies = {}
     bodies.update(_others())
     bodies.update(_reports())
+    bodies["conform_quality"] = _conform_quality("s_", LAYERS["silver"])
+    bodies["conform_quality_full"] = _conform_quality(
+        "sf_", ["players", "appearances", "games", "clubs", "competitions", "game_events"])
     return {name: with_ctes(body) for name, body in bodies.items()}

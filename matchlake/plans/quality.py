@@ -34,3 +34,52 @@ def quality_metrics(star: Star) -> DataFrame:
         return df.selectExpr(f"stack({len(df.columns)}, {pairs}) AS (metric, value)")
 
     return longform(players).unionByName(longform(facts)).unionByName(longform(games))
+
+
+def conform_quality(raw, ed) -> DataFrame:
+    """Per conformed table: rows in, duplicates dropped, rows rejected for a
+    missing required key, rows out, and date texts that did not parse.
+
+    One global aggregate per table, all in one union (no driver loop over
+    data).  Duplicates are counted on the distinct keys alone, which is exact
+    because every spec's required columns are among its keys when it
+    de-duplicates.
+    """
+    from pyspark.sql import types as T
+
+    from ..operators.clean import normalize_nulls
+    from ..sources.schemas import SPECS
+    from .silver import COMPACT_TABLES, FULL_TABLES
+
+    tables = COMPACT_TABLES if ed.name == "compact" else FULL_TABLES
+    parts = []
+    for t in tables:
+        spec = SPECS[t]
+        n = normalize_nulls(raw[t], ed.null_tokens)
+        types = {f.name: f.dataType for f in n.schema.fields}
+        missing = None
+        for c in spec.required:
+            p = F.col(c).isNull()
+            missing = p if missing is None else missing | p
+        missing = missing if missing is not None else F.lit(False)
+        unparsed = F.lit(0)
+        for c in spec.dates:
+            if isinstance(types[c], T.StringType):
+                unparsed = unparsed + F.count_if(F.col(c).isNotNull() & F.try_to_date(c).isNull())
+        if spec.dedupe:
+            if not set(spec.required) <= set(spec.keys):
+                raise ValueError(f"{t}: required columns must be keys to count rejects")
+            # A struct of the keys is never NULL, so a NULL key counts as one
+            # group, exactly as the de-duplication keeps one row for it.
+            key = F.struct(*spec.keys)
+            kept, rejected = F.count_distinct(key), F.count_distinct(F.when(missing, key))
+        else:
+            kept, rejected = F.count(F.lit(1)), F.count_if(missing)
+        row = (n.agg(F.count(F.lit(1)).alias("rows_in"), kept.alias("kept"),
+                     rejected.alias("rejected"), unparsed.cast("bigint").alias("unparsed_dates"))
+               .select(F.lit(t).alias("table_name"), "rows_in",
+                       (F.col("rows_in") - F.col("kept")).alias("duplicates_dropped"),
+                       "rejected", (F.col("kept") - F.col("rejected")).alias("rows_out"),
+                       "unparsed_dates"))
+        parts.append(row)
+    return reduce(DataFrame.unionByName, parts)

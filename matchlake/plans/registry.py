@@ -202,6 +202,16 @@ def q_quality_metrics(spark, sf):
     return quality.quality_metrics(Layers(spark, sf).star(full()))
 
 
+@register("conform_quality")
+def q_conform_quality(spark, sf):
+    return quality.conform_quality(adapter.raw_tables(spark, sf), compact())
+
+
+@register("conform_quality_full")
+def q_conform_quality_full(spark, sf):
+    return quality.conform_quality(adapter.raw_tables(spark, sf), full())
+
+
 @register("report_status")
 def q_report_status(spark, sf):
     """Materialise the full-edition star, write its 15 reports, report which exist."""
