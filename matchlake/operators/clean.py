@@ -18,16 +18,29 @@ NULL_TOKENS_STRICT = ("null", "NULL", "Null")
 NULL_TOKENS = ("null", "NULL", "Null", "")
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def normalize_nulls(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
-    """Turn sentinel text into SQL NULL in every top-level string column."""
-    tokens = list(tokens)
-    cols = []
+    """Turn sentinel text into SQL NULL in every top-level string column.
+
+    Written as one ``selectExpr`` (a single round trip to the JVM however wide
+    the table); the plan is the same CASE/IN projection the Column API builds.
+    """
+    toks = ", ".join(_literal(t) for t in tokens)
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.StringType):
-            c = F.when(c.isin(tokens), F.lit(None).cast("string")).otherwise(c)
-        cols.append(c.alias(f.name))
-    return df.select(cols)
+        c = _ident(f.name)
+        if isinstance(f.dataType, T.StringType) and tokens:
+            exprs.append(f"CASE WHEN {c} IN ({toks}) THEN CAST(NULL AS STRING) ELSE {c} END AS {c}")
+        else:
+            exprs.append(c)
+    return df.selectExpr(*exprs)
 
 
 def _check_fill_value(name: str, dtype: T.DataType, value) -> None:

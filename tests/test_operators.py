@@ -175,3 +175,13 @@ def test_flags_and_calendar(spark):
     assert out[0] == (True, True, "x", True, 20240302, 7, "Saturday", True)
     assert out[1] == (False, False, "n", False, 20240304, 2, "Monday", False)
     assert out[2][:5] == (False, False, "", False, None)
+
+
+def test_normalize_nulls_escapes_names_and_tokens(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("we`ird col", T.StringType())])
+    df = spark.createDataFrame([("it's",), ("a\\b",), ("x`y",), ("null",)], schema)
+    out = [r[0] for r in normalize_nulls(df, ["it's", "a\\b", "null"]).collect()]
+    assert out == [None, None, "x`y", None]
+    assert normalize_nulls(df).columns == ["we`ird col"]
