@@ -62,13 +62,26 @@ def cluster_session(app: str = "matchlake") -> SparkSession:
     """Session on the cluster the launcher configured; fills ``CLUSTER_CONF``
     defaults only where unset, and requires ``spark.checkpoint.dir``."""
     spark = SparkSession.builder.appName(app).getOrCreate()
-    for k, v in CLUSTER_CONF.items():
-        if spark.conf.get(k, None) in (None, ""):
-            spark.conf.set(k, v)
+    apply_defaults(spark, CLUSTER_CONF)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def apply_defaults(spark: SparkSession, conf: dict[str, str]) -> list[str]:
+    """Set each runtime setting the launcher did not set; return the keys set.
+
+    ``spark.conf.get`` would report Spark's built-in default for an unset key,
+    so "unset" is judged from the launch configuration (SparkConf).
+    """
+    launch = spark.sparkContext.getConf()
+    applied = []
+    for k, v in conf.items():
+        if not launch.contains(k):
+            spark.conf.set(k, v)
+            applied.append(k)
+    return applied
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
