@@ -31,12 +31,12 @@ def test_run_all_writes_every_layer(spark, sf_small, raw_base, edition):
     assert all(r.status == "ok" for r in rows.values()), rows
     # Reports read back from the materialised star equal the lineage plans.
     ep = LayerPaths(raw_base).for_edition(edition)
-    for name in ("report06_" + edition, "report12_" + edition, "report03_" + edition):
+    for name in R.report_names(edition):
         written = read_table(spark, ep.report(name))
         direct = QUERIES[name](spark, sf_small)
         assert sorted(map(tuple, written.select(*direct.columns).collect()), key=repr) == \
-            sorted(map(tuple, direct.collect()), key=repr)
-    assert rows["report03_" + edition].row_count == written.count()
+            sorted(map(tuple, direct.collect()), key=repr), name
+        assert rows[name].row_count == written.count(), name
 
 
 def test_fact_partitioned_by_season(spark, raw_base):
@@ -67,3 +67,11 @@ def test_report_failure_is_a_status_row(spark, raw_base):
         del R.REPORTS["report99_compact"]
     assert st["report99_compact"].status == "failed"
     assert st["report13_compact"].status == "ok"
+
+
+def test_required_table_raises(spark):
+    from pyspark.errors import AnalysisException
+
+    paths = LayerPaths(tempfile.mkdtemp(prefix="matchlake-ingest-"))
+    with pytest.raises(AnalysisException):
+        jobs.ingest_all(spark, paths, ["players"], require=["players"])
