@@ -135,10 +135,23 @@ def report_status(spark: SparkSession, paths: LayerPaths,
 
 def run_all(spark: SparkSession, base: str, ed: Edition,
             params: dict[str, dict] | None = None, null_value: str | None = None) -> DataFrame:
-    """Raw CSV under ``base/raw`` -> every layer of one edition; returns report status."""
+    """Raw CSV under ``base/raw`` -> every layer of one edition.
+
+    Returns one status table: (stage, name, status, row_count, error) for
+    every ingested table, conformed table, star table and report.
+    """
+    from pyspark.sql import functions as F
+
     paths = LayerPaths(base)
-    run_ingest(spark, paths, null_value=null_value)
     ep = paths.for_edition(ed.name)
-    run_conform(spark, ep, ed)
-    run_model(spark, ep, ed)
-    return run_reports(spark, ep, ed, params=params)
+    stages = [("ingest", run_ingest(spark, paths, null_value=null_value))]
+    stages.append(("conform", run_conform(spark, ep, ed)))
+    stages.append(("model", run_model(spark, ep, ed)))
+    stages.append(("reports", run_reports(spark, ep, ed, params=params)
+                   .withColumnRenamed("report", "table_name")))
+    out = None
+    for stage, df in stages:
+        df = df.select(F.lit(stage).alias("stage"), F.col("table_name").alias("name"),
+                       "status", "row_count", "error")
+        out = df if out is None else out.unionByName(df)
+    return out

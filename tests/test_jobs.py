@@ -26,7 +26,10 @@ def raw_base(spark, sf_small):
 def test_run_all_writes_every_layer(spark, sf_small, raw_base, edition):
     ed = compact() if edition == "compact" else full()
     status = jobs.run_all(spark, raw_base, ed, params=REPORT_PARAMS, null_value=NULL_MARK)
-    rows = {r.report: r for r in status.collect()}
+    all_rows = status.collect()
+    assert {r.stage for r in all_rows} == {"ingest", "conform", "model", "reports"}
+    assert all(r.status == "ok" for r in all_rows if r.stage != "reports"), all_rows
+    rows = {r.name: r for r in all_rows if r.stage == "reports"}
     assert set(rows) == set(R.report_names(edition))
     assert all(r.status == "ok" for r in rows.values()), rows
     # Reports read back from the materialised star equal the lineage plans.
