@@ -21,14 +21,6 @@ from .star import Star
 ReportFn = Callable[..., DataFrame]
 REPORTS: dict[str, ReportFn] = {}
 
-# Report ids and titles.
-TITLES = {
-    1: "player_country_clubs", 2: "international_appearances", 3: "top_scorers_season",
-    4: "red_cards", 5: "successful_clubs", 6: "player_performance",
-    7: "competition_statistics", 8: "top_assist_providers", 9: "home_away_performance",
-    10: "season_trends", 11: "position_analysis", 12: "top_matches",
-    13: "nationality_distribution", 14: "monthly_trends", 15: "squad_analysis",
-}
 DEFAULT_SEASON = 2014
 
 
