@@ -78,3 +78,16 @@ def test_required_table_raises(spark):
     paths = LayerPaths(tempfile.mkdtemp(prefix="matchlake-ingest-"))
     with pytest.raises(AnalysisException):
         jobs.ingest_all(spark, paths, ["players"], require=["players"])
+
+
+def test_command_line_runs_every_stage(spark, raw_base, capsys):
+    from matchlake.__main__ import main
+
+    args = ["--base", raw_base, "--edition", "compact", "--null-marker",
+            "--param", "report03_compact.season=1998"]
+    assert main(["ingest", *args], spark=spark) == 0
+    assert main(["conform", *args], spark=spark) == 0
+    assert main(["model", *args], spark=spark) == 0
+    assert main(["reports", *args], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "report15_compact\tok" in out and "fact_appearance\tok" in out
