@@ -27,7 +27,7 @@ from .star import DIM_TABLES, FACT_TABLES, Star, build_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Fixed value: the driver's orders span 1992-1998+, so the season report asks for 1998.
+# Fixed value: the driver's orders span 1995-2001, so the season report asks for 1998.
 SEASON = 1998
 REPORT_PARAMS = {"report03_compact": {"season": SEASON}, "report03_full": {"season": SEASON}}
 
