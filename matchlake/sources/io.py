@@ -115,6 +115,14 @@ def write_counted(df: DataFrame, path: str, fmt: str = "parquet",
     return int(obs.get["rows"])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """File-system metadata check (driver side, no job), for any Hadoop URI."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
+
+
 def _is_missing(err: AnalysisException) -> bool:
     cond = (err.getCondition() if hasattr(err, "getCondition") else err.getErrorClass()) or ""
     return "PATH_NOT_FOUND" in cond
@@ -133,6 +141,8 @@ def ingest_all(spark: SparkSession, paths: LayerPaths,
 
     def one(t: str) -> tuple:
         try:
+            if t not in required and not path_exists(spark, paths.raw(t)):
+                return (t, "missing", None, "no such file")
             df = read_csv(spark, paths.raw(t), SCHEMAS.get(t), null_value=null_value)
             return (t, "ok", write_counted(df, paths.bronze(t), paths.fmt), None)
         except AnalysisException as e:
