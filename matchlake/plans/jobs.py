@@ -15,7 +15,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..sources.io import STATUS_SCHEMA, LayerPaths, ingest_all, read_table, write_counted
+from ..sources.io import (STATUS_SCHEMA, LayerPaths, check_format, ingest_all, read_table,
+                          write_counted)
 from ..sources.schemas import SOURCE_TABLES
 from . import reports as R
 from .edition import Edition
@@ -143,6 +144,7 @@ def run_all(spark: SparkSession, base: str, ed: Edition,
     from pyspark.sql import functions as F
 
     paths = LayerPaths(base)
+    check_format(spark, paths.fmt)
     ep = paths.for_edition(ed.name)
     stages = [("ingest", run_ingest(spark, paths, null_value=null_value))]
     stages.append(("conform", run_conform(spark, ep, ed)))

@@ -93,6 +93,23 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = True,
      .csv(path))
 
 
+_BUILTIN_FORMATS = {"parquet", "orc", "json", "csv", "avro", "text"}
+
+
+def check_format(spark: SparkSession, fmt: str) -> None:
+    """Fail early, with a clear message, when a layer format has no connector
+    on the classpath (e.g. ``delta`` without its package)."""
+    if fmt in _BUILTIN_FORMATS:
+        return
+    try:
+        jvm = spark.sparkContext._jvm
+        jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource(
+            fmt, spark._jsparkSession.sessionState().conf())
+    except Exception as e:  # noqa: BLE001
+        raise ValueError(f"table format {fmt!r} is not available in this Spark session; "
+                         f"add its connector or use 'parquet'") from e
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 

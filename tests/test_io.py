@@ -57,3 +57,13 @@ def test_cluster_defaults_fill_only_unset(spark):
         assert "spark.sql.files.maxPartitionBytes" in applied
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_unknown_format_fails_early(spark):
+    import pytest
+
+    from matchlake.sources.io import check_format
+
+    check_format(spark, "parquet")
+    with pytest.raises(ValueError, match="not available"):
+        check_format(spark, "no_such_format_xyz")

@@ -113,3 +113,11 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["full_name", "total_goals", "country_of_citizenship"]
     assert df.count() == 10
+
+
+def test_report_status_matches_brute_force(spark, sf_small):
+    status = {r.report: r for r in entry.queries()["report_status"](spark, sf_small).collect()}
+    assert set(status) == set(R.report_names("full"))
+    for name, row in status.items():
+        assert row.status == "present", row
+        assert row.row_count == entry.queries()[name](spark, sf_small).count(), name
