@@ -17,7 +17,7 @@ from .plans import jobs
 from .plans.edition import by_name
 from .sources.io import NULL_MARK, LayerPaths
 
-STAGES = ("ingest", "conform", "model", "reports", "all")
+STAGES = ("ingest", "conform", "model", "reports", "quality", "all")
 
 
 def _params(items: list[str]) -> dict[str, dict]:
@@ -59,6 +59,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         status = jobs.run_model(spark, ep, ed)
     elif args.stage == "reports":
         status = jobs.run_reports(spark, ep, ed, params=params)
+    elif args.stage == "quality":
+        status = jobs.run_quality(spark, ep, ed)
     else:
         status = jobs.run_all(spark, args.base, ed, params=params, null_value=null_value)
     rows = status.collect()  # status rows only: one per table or report

@@ -134,12 +134,40 @@ def report_status(spark: SparkSession, paths: LayerPaths,
     return spark.createDataFrame(rows, REPORT_STATUS_SCHEMA)
 
 
+def run_quality(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
+    """Quality tables of one edition, computed from the written layers:
+    ``layer_row_counts`` (bronze, silver, dimensions, facts), ``report_status``
+    and ``quality_metrics``; each is written under ``gold/<edition>/quality``."""
+    from . import quality
+
+    tables = COMPACT_TABLES if ed.name == "compact" else FULL_TABLES
+    layers = {
+        "bronze": {t: read_table(spark, paths.bronze(t), paths.fmt) for t in SOURCE_TABLES
+                   if _exists(spark, paths.bronze(t))},
+        "silver": {t: read_table(spark, paths.silver(t), paths.fmt) for t in tables},
+        "gold": read_star(spark, paths).tables(),
+    }
+    outputs = {
+        "layer_row_counts": quality.layer_row_counts(layers),
+        "report_status": report_status(spark, paths, R.report_names(ed.name)),
+        "quality_metrics": quality.quality_metrics(read_star(spark, paths)),
+    }
+    return _write_all(spark, outputs, paths.quality, paths.fmt)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    from ..sources.io import path_exists
+
+    return path_exists(spark, path)
+
+
 def run_all(spark: SparkSession, base: str, ed: Edition,
             params: dict[str, dict] | None = None, null_value: str | None = None) -> DataFrame:
     """Raw CSV under ``base/raw`` -> every layer of one edition.
 
     Returns one status table: (stage, name, status, row_count, error) for
-    every ingested table, conformed table, star table and report.
+    every ingested table, conformed table, star table, report and quality
+    table.
     """
     from pyspark.sql import functions as F
 
@@ -151,6 +179,7 @@ def run_all(spark: SparkSession, base: str, ed: Edition,
     stages.append(("model", run_model(spark, ep, ed)))
     stages.append(("reports", run_reports(spark, ep, ed, params=params)
                    .withColumnRenamed("report", "table_name")))
+    stages.append(("quality", run_quality(spark, ep, ed)))
     out = None
     for stage, df in stages:
         df = df.select(F.lit(stage).alias("stage"), F.col("table_name").alias("name"),

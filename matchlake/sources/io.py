@@ -60,6 +60,9 @@ class LayerPaths:
     def report(self, name: str) -> str:
         return self._e("gold", "reports", name)
 
+    def quality(self, name: str) -> str:
+        return self._e("gold", "quality", name)
+
 
 # NULL marker of our own CSV exports, so that NULL and the empty string both
 # survive a round trip (plain CSV cannot tell an empty field from NULL).

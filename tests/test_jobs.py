@@ -27,7 +27,12 @@ def test_run_all_writes_every_layer(spark, sf_small, raw_base, edition):
     ed = compact() if edition == "compact" else full()
     status = jobs.run_all(spark, raw_base, ed, params=REPORT_PARAMS, null_value=NULL_MARK)
     all_rows = status.collect()
-    assert {r.stage for r in all_rows} == {"ingest", "conform", "model", "reports"}
+    assert {r.stage for r in all_rows} == {"ingest", "conform", "model", "reports", "quality"}
+    ep_q = LayerPaths(raw_base).for_edition(edition)
+    metrics = {r.metric: r.value for r in read_table(spark, ep_q.quality("quality_metrics")).collect()}
+    assert metrics["total_games"] == read_table(spark, ep_q.fact("fact_game")).count()
+    counts = read_table(spark, ep_q.quality("layer_row_counts"))
+    assert counts.filter("layer = 'gold'").count() == 7
     assert all(r.status == "ok" for r in all_rows if r.stage != "reports"), all_rows
     rows = {r.name: r for r in all_rows if r.stage == "reports"}
     assert set(rows) == set(R.report_names(edition))
@@ -89,5 +94,6 @@ def test_command_line_runs_every_stage(spark, raw_base, capsys):
     assert main(["conform", *args], spark=spark) == 0
     assert main(["model", *args], spark=spark) == 0
     assert main(["reports", *args], spark=spark) == 0
+    assert main(["quality", *args], spark=spark) == 0
     out = capsys.readouterr().out
     assert "report15_compact\tok" in out and "fact_appearance\tok" in out
