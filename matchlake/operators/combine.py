@@ -13,7 +13,7 @@ _KEEPS_RIGHT_ROWS = {"right", "rightouter", "right_outer", "full", "fullouter",
 
 
 def merge_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
-               how: str = "inner") -> DataFrame:
+               how: str = "inner", hot_keys: Sequence | None = None) -> DataFrame:
     """Join on same-named keys and resolve name clashes.
 
     Output columns, in this order: the keys once; every left column in left
@@ -23,7 +23,9 @@ def merge_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     those rows keep their key.  Semi and anti joins return the left columns.
 
     The join itself is a plain equi-join: Catalyst/AQE pick broadcast or
-    sort-merge from the sizes it sees.
+    sort-merge from the sizes it sees.  ``hot_keys`` (single key, inner or
+    left join, right side unique on the key) splits those keys off into a
+    bounded broadcast join (see ``operators.skew``).
     """
     keys = [on] if isinstance(on, str) else list(on)
     how_n = how.lower()
@@ -32,27 +34,43 @@ def merge_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     missing = [k for k in keys if k not in left.columns or k not in right.columns]
     if missing:
         raise KeyError(f"merge_join: key(s) {missing} missing on one side")
+    if hot_keys:
+        if len(keys) != 1 or how_n not in ("inner", "left", "leftouter", "left_outer"):
+            raise ValueError("hot_keys needs a single key and an inner or left join")
+        from .skew import split_hot_join
+
+        k = keys[0]
+        rk = f"__r_{k}"
+        right_ren = right.withColumnsRenamed({c: f"__r_{c}" for c in right.columns})
+        joined = split_hot_join(left.withColumn(rk, F.col(k)), right_ren, rk, how_n, hot_keys)
+        l_cols, r_cols = F.col, (lambda c: F.col(f"__r_{c}"))
+        return _merge_select(joined, left, right, keys, how_n, l_cols, r_cols)
     l, r = left.alias("l"), right.alias("r")
     cond = None
     for k in keys:
         p = F.col(f"l.{k}") == F.col(f"r.{k}")
         cond = p if cond is None else cond & p
     joined = l.join(r, cond, how_n)
+    return _merge_select(joined, left, right, keys, how_n,
+                         lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}"))
+
+
+def _merge_select(joined: DataFrame, left: DataFrame, right: DataFrame, keys: list[str],
+                  how_n: str, lcol, rcol) -> DataFrame:
     right_cols = set(right.columns)
     out = []
     for k in keys:
         if how_n in _KEEPS_RIGHT_ROWS:
-            out.append(F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k))
+            out.append(F.coalesce(lcol(k), rcol(k)).alias(k))
         else:
-            out.append(F.col(f"l.{k}").alias(k))
+            out.append(lcol(k).alias(k))
     for c in left.columns:
         if c in keys:
             continue
         if c in right_cols:
-            out.append(F.coalesce(F.col(f"l.{c}"), F.col(f"r.{c}")).alias(c))
+            out.append(F.coalesce(lcol(c), rcol(c)).alias(c))
         else:
-            out.append(F.col(f"l.{c}").alias(c))
+            out.append(lcol(c).alias(c))
     left_cols = set(left.columns)
-    out += [F.col(f"r.{c}").alias(c) for c in right.columns
-            if c not in keys and c not in left_cols]
+    out += [rcol(c).alias(c) for c in right.columns if c not in keys and c not in left_cols]
     return joined.select(out)

@@ -1,0 +1,66 @@
+"""Explicit handling of hot join keys (a key may hold a third of all rows).
+
+AQE splits skewed sort-merge join partitions by itself when both join inputs
+are shuffle stages (the materialising ``jobs`` path).  When one input keeps an
+aggregate's partitioning (a de-duplicated table joined in the same plan), AQE
+cannot split, and ``split_hot_join`` does it explicitly:
+
+* rows of the large side whose key is hot join a broadcast of the small
+  side's rows for those keys -- at most one row per hot key when the small
+  side is unique on the key (checked: ``max_hot_rows``), so the broadcast has
+  a proven size bound;
+* all other rows take the ordinary shuffle join.
+
+Each large-side row goes to exactly one branch, so inner and left joins are
+exact.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.05, fraction: float = 0.01,
+             seed: int = 17, max_keys: int = 64) -> list:
+    """Keys estimated, from a Bernoulli sample, to hold at least ``share`` of the rows.
+
+    Returns at most ``min(max_keys, 1/share)`` keys (a bounded list: the only
+    thing brought to the driver).  NULL keys never match a join and are left out.
+    """
+    sample = df.select(key).sample(fraction=fraction, seed=seed)
+    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = sample.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    if not total:
+        return []
+    limit = max(1, min(max_keys, int(1 / share)))
+    rows = (counts.filter(F.col(key).isNotNull() & (F.col("n") >= share * total))
+            .orderBy(F.desc("n"), F.asc(key)).limit(limit).collect())
+    return [r[key] for r in rows]
+
+
+def split_hot_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner",
+                   hot: Sequence | None = None, max_hot_rows: int = 10_000) -> DataFrame:
+    """Equi-join ``big`` to ``small`` on ``on`` with hot keys split off.
+
+    ``how`` is ``inner`` or ``left`` (rows of ``big`` are never duplicated
+    across branches).  ``small`` must hold at most ``max_hot_rows`` rows for
+    the hot keys; more raises instead of broadcasting an unbounded side.
+    """
+    how = how.lower()
+    if how not in ("inner", "left", "left_outer", "leftouter"):
+        raise ValueError("split_hot_join supports inner and left joins")
+    if not hot:
+        return big.join(small, on, how)
+    is_hot = F.col(on).isin(list(hot))
+    hot_small = small.filter(is_hot)
+    n_hot_small = hot_small.count()  # size check of the side to broadcast
+    if n_hot_small > max_hot_rows:
+        raise ValueError(f"{n_hot_small} rows of the small side match the hot keys; "
+                         f"more than max_hot_rows={max_hot_rows}, refusing to broadcast")
+    hot_part = big.filter(is_hot).join(F.broadcast(hot_small), on, how)
+    cold_part = big.filter(~is_hot | F.col(on).isNull()).join(
+        small.filter(~is_hot | F.col(on).isNull()), on, how)
+    return hot_part.unionByName(cold_part)

@@ -74,11 +74,12 @@ def run_conform(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFram
     return _write_all(spark, silver, paths.silver, paths.fmt)
 
 
-def run_model(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
+def run_model(spark: SparkSession, paths: LayerPaths, ed: Edition,
+              skew_share: float | None = None) -> DataFrame:
     tables = COMPACT_TABLES if ed.name == "compact" else FULL_TABLES
     silver = {t: read_table(spark, paths.silver(t), paths.fmt) for t in tables}
     raw = {"club_games": read_table(spark, paths.bronze("club_games"), paths.fmt)}
-    return write_star(spark, build_star(silver, raw, ed), paths)
+    return write_star(spark, build_star(silver, raw, ed, skew_share), paths)
 
 
 def write_star(spark: SparkSession, star: Star, paths: LayerPaths) -> DataFrame:

@@ -36,8 +36,8 @@ class Layers:
     """Lazy raw / conformed / star plans over one driver folder (each table is
     built on first access, so a query only analyses what it reads)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, skew_share: float | None = None):
+        self.spark, self.sf_dir, self.skew_share = spark, sf_dir, skew_share
         self.raw = adapter.raw_tables(spark, sf_dir)
         self._silver: dict[str, object] = {}
 
@@ -47,7 +47,7 @@ class Layers:
         return self._silver[ed.name]
 
     def star(self, ed: Edition) -> Star:
-        return build_star(self.silver(ed), self.raw, ed)
+        return build_star(self.silver(ed), self.raw, ed, self.skew_share)
 
 
 QUERIES: dict[str, Query] = {}

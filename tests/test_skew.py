@@ -79,3 +79,63 @@ def test_hot_key_aggregate_and_dedupe_are_combined_map_side(spark, sf_small):
     first = apps.filter("game_id = 0").orderBy(
         *[F.col(c).asc_nulls_first() for c in apps.columns if c != "game_id"]).first()
     assert tuple(kept[0]) == tuple(first)
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_hot_keys_found_from_a_sample(spark, sf_small):
+    from matchlake.operators import hot_keys
+
+    apps = _hot_appearances(spark, sf_small)
+    keys = hot_keys(apps, "game_id", share=0.05, fraction=0.5)
+    assert keys == [0]
+
+
+def test_split_hot_join_is_exact_and_broadcasts_only_hot_rows(spark, sf_small):
+    from matchlake.operators import split_hot_join
+
+    apps = _hot_appearances(spark, sf_small)
+    games = conform_table(adapter.games(spark, sf_small), SPECS["games"], compact())
+    small = games.select("game_id", "season", "attendance")
+    for how in ("inner", "left"):
+        split = split_hot_join(apps, small, "game_id", how, hot=[0])
+        assert _rows(split.select(*apps.columns, "season", "attendance")) == \
+            _rows(apps.join(small, "game_id", how).select(*apps.columns, "season", "attendance"))
+    plan = split_hot_join(apps, small, "game_id", "inner", hot=[0]) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Union" in plan
+
+
+def test_split_hot_join_refuses_an_unbounded_broadcast(spark):
+    import pytest
+
+    from matchlake.operators import split_hot_join
+
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(50).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    with pytest.raises(ValueError, match="max_hot_rows"):
+        split_hot_join(big, small, "k", hot=[0], max_hot_rows=10)
+
+
+def test_merge_join_with_hot_keys_equals_plain(spark, sf_small):
+    apps = _hot_appearances(spark, sf_small)
+    games = conform_table(adapter.games(spark, sf_small), SPECS["games"], compact())
+    plain = merge_join(apps, games, "game_id")
+    split = merge_join(apps, games, "game_id", hot_keys=[0])
+    assert split.columns == plain.columns
+    assert _rows(split) == _rows(plain)
+    left_plain = merge_join(apps, games, "game_id", "left")
+    left_split = merge_join(apps, games, "game_id", "left", hot_keys=[0, 1])
+    assert _rows(left_split) == _rows(left_plain)
+
+
+def test_star_with_skew_split_equals_default(spark, sf_small):
+    from matchlake.plans.star import fact_appearance
+
+    apps = _hot_appearances(spark, sf_small)
+    games = conform_table(adapter.games(spark, sf_small), SPECS["games"], compact())
+    for ed in (compact(),):
+        assert _rows(fact_appearance(apps, games, ed, skew_share=0.05)) == \
+            _rows(fact_appearance(apps, games, ed))
