@@ -1,4 +1,4 @@
-"""Batch jobs: ingest -> conform -> model -> reports, each writing its layer once.
+"""Batch jobs: ingest -> conform -> model -> reports -> quality, each writing its layer once.
 
 Every job reads the previous layer back from storage, so lineage is cut at
 each layer boundary and a lost executor only recomputes work of the current

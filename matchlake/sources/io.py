@@ -104,13 +104,14 @@ def check_format(spark: SparkSession, fmt: str) -> None:
     on the classpath (e.g. ``delta`` without its package)."""
     if fmt in _BUILTIN_FORMATS:
         return
+    import uuid
+
     try:
-        jvm = spark.sparkContext._jvm
-        jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource(
-            fmt, spark._jsparkSession.sessionState().conf())
-    except Exception as e:  # noqa: BLE001
-        raise ValueError(f"table format {fmt!r} is not available in this Spark session; "
-                         f"add its connector or use 'parquet'") from e
+        spark.read.format(fmt).load(f"/nonexistent-{uuid.uuid4().hex}")
+    except Exception as e:  # noqa: BLE001 -- only a missing data source is an error here
+        if "DATA_SOURCE_NOT_FOUND" in str(e):
+            raise ValueError(f"table format {fmt!r} is not available in this Spark session; "
+                             f"add its connector or use 'parquet'") from e
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
