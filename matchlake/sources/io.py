@@ -71,19 +71,32 @@ NULL_MARK = "\\N"
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = False, null_value: str | None = None) -> DataFrame:
-    """Headed CSV with a declared schema (inference only on request).
-
-    ``null_value=None`` reads empty fields as NULL (plain CSV); pass
-    ``NULL_MARK`` for files written by ``write_csv``.
+    """Headed CSV, typed by a declared schema (inference only on request).
+
+    Columns are matched by header name, not position: the file is read as
+    text and each declared column is ``try_cast`` to its type, so reordered or
+    extra columns are harmless, a missing column is a typed NULL, and
+    unparsable text (``'null'`` in a number column) is NULL rather than a
+    failed job.  ``null_value=None`` reads empty fields as NULL (plain CSV);
+    pass ``NULL_MARK`` for files written by ``write_csv``.
     """
     reader = spark.read.option("header", True)
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
-    if schema is not None and not infer:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None or infer:
+        return reader.option("inferSchema", True).csv(path)
+    text = reader.csv(path)
+    present = set(text.columns)
+    cols = []
+    for f in schema.fields:
+        if f.name not in present:
+            c = F.lit(None).cast(f.dataType)
+        elif isinstance(f.dataType, T.StringType):
+            c = text[f.name]
+        else:
+            c = text[f.name].try_cast(f.dataType)
+        cols.append(c.alias(f.name))
+    return text.select(cols)
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = True,

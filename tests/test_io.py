@@ -67,3 +67,17 @@ def test_unknown_format_fails_early(spark):
     check_format(spark, "parquet")
     with pytest.raises(ValueError, match="not available"):
         check_format(spark, "no_such_format_xyz")
+
+
+def test_csv_columns_matched_by_name(spark):
+    from pyspark.sql import types as T
+
+    path = tempfile.mkdtemp(prefix="matchlake-csv-") + "/t.csv"
+    df = spark.createDataFrame([("b", "7", "extra"), ("a", "null", "x")],
+                               "name string, squad_size string, unrelated string")
+    df.coalesce(1).write.option("header", True).csv(path)
+    schema = T.StructType([CLUBS["squad_size"], CLUBS["name"], CLUBS["average_age"]])
+    got = read_csv(spark, path, schema)
+    assert got.columns == ["squad_size", "name", "average_age"]
+    assert dict(got.dtypes) == {"squad_size": "int", "name": "string", "average_age": "double"}
+    assert sorted(map(tuple, got.collect()), key=repr) == [(7, "b", None), (None, "a", None)]
