@@ -110,7 +110,8 @@ SELECT CAST(n_nationkey AS VARCHAR) AS competition_id,
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "raw_games": """
 SELECT o_orderkey AS game_id,
-  CAST(o_custkey % 25 AS VARCHAR) AS competition_id,
+  CASE WHEN o_orderkey % 103 = 0 THEN '99' ELSE CAST(o_custkey % 25 AS VARCHAR) END
+    AS competition_id,
   CASE WHEN o_orderkey % 89 = 0 THEN 'null'
        WHEN o_orderkey % 97 = 0 THEN CAST(year(o_orderdate) AS VARCHAR) || '/'
             || lpad(CAST((year(o_orderdate) + 1) % 100 AS VARCHAR), 2, '0')
@@ -131,7 +132,7 @@ FROM orders""",
     "raw_appearances": """
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
          || CAST(l_partkey AS VARCHAR) AS appearance_id,
-  l_orderkey AS game_id,
+  CASE WHEN l_linenumber = 7 THEN -1 - l_orderkey ELSE l_orderkey END AS game_id,
   CASE WHEN CAST(floor(l_extendedprice) AS BIGINT) % 50 = 0 THEN NULL ELSE l_partkey END
     AS player_id,
   l_suppkey AS player_club_id,

@@ -80,7 +80,9 @@ MAPPINGS: dict[str, dict[str, str]] = {
     },
     "games": {
         "game_id": "o_orderkey",
-        "competition_id": "CAST(o_custkey % 25 AS STRING)",
+        # Every 103rd game names a competition that does not exist.
+        "competition_id": "CASE WHEN o_orderkey % 103 = 0 THEN '99' "
+                          "ELSE CAST(o_custkey % 25 AS STRING) END",
         "season": "CASE WHEN o_orderkey % 89 = 0 THEN 'null' "
                   "WHEN o_orderkey % 97 = 0 THEN concat(CAST(year(o_orderdate) AS STRING), '/', "
                   "lpad(CAST((year(o_orderdate) + 1) % 100 AS STRING), 2, '0')) "
@@ -101,7 +103,8 @@ MAPPINGS: dict[str, dict[str, str]] = {
     "appearances": {
         "appearance_id": "concat_ws('-', CAST(l_orderkey AS STRING), "
                          "CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING))",
-        "game_id": "l_orderkey",
+        # Line 7 points at a game that does not exist (an orphan appearance).
+        "game_id": "CASE WHEN l_linenumber = 7 THEN -1 - l_orderkey ELSE l_orderkey END",
         "player_id": "CASE WHEN floor(l_extendedprice) % 50 = 0 THEN NULL ELSE l_partkey END",
         "player_club_id": "l_suppkey",
         "competition_id": "CASE WHEN l_linenumber = 1 THEN NULL "
