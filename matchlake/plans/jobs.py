@@ -163,7 +163,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def run_all(spark: SparkSession, base: str, ed: Edition,
-            params: dict[str, dict] | None = None, null_value: str | None = None) -> DataFrame:
+            params: dict[str, dict] | None = None, null_value: str | None = None,
+            skew_share: float | None = None) -> DataFrame:
     """Raw CSV under ``base/raw`` -> every layer of one edition.
 
     Returns one status table: (stage, name, status, row_count, error) for
@@ -177,7 +178,7 @@ def run_all(spark: SparkSession, base: str, ed: Edition,
     ep = paths.for_edition(ed.name)
     stages = [("ingest", run_ingest(spark, paths, null_value=null_value))]
     stages.append(("conform", run_conform(spark, ep, ed)))
-    stages.append(("model", run_model(spark, ep, ed)))
+    stages.append(("model", run_model(spark, ep, ed, skew_share)))
     stages.append(("reports", run_reports(spark, ep, ed, params=params)
                    .withColumnRenamed("report", "table_name")))
     stages.append(("quality", run_quality(spark, ep, ed)))
