@@ -372,17 +372,39 @@ def report12_compact(star: Star, k: int = 50) -> DataFrame:
 
 @report(12, "full")
 def report12_full(star: Star, k: int = 20) -> DataFrame:
-    # Every dimension below is unique on its key and joined LEFT, so each game
-    # keeps exactly one row with unchanged attendance: the top k games can be
-    # chosen before the joins, which then touch k rows instead of every game.
+    """Top k attended games with club, competition and date attributes.
+
+    Every dimension is unique on its key and joined LEFT, so each game keeps
+    exactly one row with unchanged attendance: the k games are chosen first.
+    They are checkpointed (k rows, in the shared checkpoint folder) so the
+    fact is scanned once.  Each dimension is then filtered to the keys of
+    those games by a semi join against a broadcast of at most 2k keys, so no
+    dimension is shuffled, and the filtered dimensions (at most 2k rows each,
+    keys being unique) are broadcast into the final left joins.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(star.fact_game.sparkSession)
     top = top_k(star.fact_game.filter(F.col("attendance").isNotNull()), k,
-                [F.desc("attendance")], tie=["game_key"])
-    home = star.dim_club.select(F.col("club_key").alias("home_club_key"),
-                                F.col("name").alias("home_club_name"))
-    away = star.dim_club.select(F.col("club_key").alias("away_club_key"),
-                                F.col("name").alias("away_club_name"))
-    comp = star.dim_competition.select("competition_key", F.col("name").alias("competition_name"))
-    dates = star.dim_date.select("date_key", "date")
+                [F.desc("attendance")], tie=["game_key"]).checkpoint(eager=True)
+
+    def needed(dim: DataFrame, key: str, *fact_keys: str) -> DataFrame:
+        keys = None
+        for fk in fact_keys:
+            part = top.select(F.col(fk).alias(key))
+            keys = part if keys is None else keys.unionByName(part)
+        return F.broadcast(dim.join(F.broadcast(keys), key, "left_semi"))
+
+    clubs = needed(star.dim_club.select("club_key", "name"), "club_key",
+                   "home_club_key", "away_club_key")
+    home = clubs.select(F.col("club_key").alias("home_club_key"),
+                        F.col("name").alias("home_club_name"))
+    away = clubs.select(F.col("club_key").alias("away_club_key"),
+                        F.col("name").alias("away_club_name"))
+    comp = needed(star.dim_competition.select("competition_key",
+                                              F.col("name").alias("competition_name")),
+                  "competition_key", "competition_key")
+    dates = needed(star.dim_date.select("date_key", "date"), "date_key", "date_key")
     out = (top.join(home, "home_club_key", "left").join(away, "away_club_key", "left")
            .join(comp, "competition_key", "left").join(dates, "date_key", "left")
            .select("game_key", "home_club_name", "away_club_name", "home_club_goals",

@@ -32,11 +32,25 @@ def test_top_k_is_not_a_full_sort(spark, sf_small):
     assert "TakeOrderedAndProject" in p
 
 
-def test_report12_full_limits_before_dimension_joins(spark, sf_small):
-    df = QUERIES["report12_full"](spark, sf_small)
-    tree = df._jdf.queryExecution().optimizedPlan().toString()
-    # The GlobalLimit sits below the first dimension join in the optimized plan.
-    assert tree.index("Join LeftOuter") < tree.index("GlobalLimit")
+def test_report12_full_joins_dimensions_without_shuffling_them(spark, sf_small):
+    # Even with size-based broadcasts off (large dimensions), the k chosen
+    # games reach their dimensions through broadcasts bounded by k: no
+    # dimension joins through a sort-merge join.
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        df = QUERIES["report12_full"](spark, sf_small)
+        assert df.count() == 20
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        smj = [ln for ln in final.splitlines() if "SortMergeJoin" in ln]
+        # The only sort-merge join left is the adapter's nation/region pairing.
+        assert all("regionkey" in ln for ln in smj), smj
+        assert final.count("BroadcastHashJoin") >= 4
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
 
 
 def test_dedupe_combines_before_shuffle(spark, sf_small):
