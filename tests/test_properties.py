@@ -60,3 +60,20 @@ def test_merge_join_matches_model(spark, left, right, how):
     if how in ("right", "full"):
         out += [(rk, rc, None, rv) for j, (rk, rc, rv) in enumerate(right) if j not in hit_r]
     assert got == sorted(out, key=repr)
+
+
+@SETTINGS
+@given(pairs=st.lists(st.tuples(st.integers(0, 10_000), st.integers(1, 2_000)),
+                      min_size=1, max_size=40))
+def test_ratio_rounds_half_up_on_decimal_text(spark, pairs):
+    """``ratio(..., digits=2)`` equals half-up rounding of the double's shortest
+    decimal text -- the rule the DuckDB oracle reproduces."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from matchlake.operators import ratio
+
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = [r[0] for r in df.select(ratio("n", "d", digits=2)).collect()]
+    want = [float(Decimal(repr(n / d)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+            for n, d in pairs]
+    assert got == want
