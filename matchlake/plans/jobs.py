@@ -125,13 +125,16 @@ def run_reports(spark: SparkSession, paths: LayerPaths, ed: Edition,
 def report_status(spark: SparkSession, paths: LayerPaths,
                   names: Iterable[str]) -> DataFrame:
     """Which reports exist, with their row counts (from file metadata)."""
-    rows = []
-    for name in names:
-        try:
-            n = read_table(spark, paths.report(name), paths.fmt).count()
-            rows.append((name, "present", n, None))
-        except Exception:  # noqa: BLE001
-            rows.append((name, "missing", None, None))
+    def check(name: str):
+        def run():
+            try:
+                return (name, "present", read_table(spark, paths.report(name), paths.fmt).count(),
+                        None)
+            except Exception:  # noqa: BLE001
+                return (name, "missing", None, None)
+        return run
+
+    rows = _parallel([check(n) for n in names], DEFAULT_PARALLEL_WRITES)
     return spark.createDataFrame(rows, REPORT_STATUS_SCHEMA)
 
 
