@@ -40,10 +40,11 @@ def conform_quality(raw, ed) -> DataFrame:
     """Per conformed table: rows in, duplicates dropped, rows rejected for a
     missing required key, rows out, and date texts that did not parse.
 
-    One global aggregate per table, all in one union (no driver loop over
-    data).  Duplicates are counted on the distinct keys alone, which is exact
-    because every spec's required columns are among its keys when it
-    de-duplicates.
+    Per table: one partial-aggregated group-by on the keys (when the table is
+    de-duplicated) and one global sum, all tables in one union (no driver loop
+    over data, no distinct-aggregate expansion).  Rejects are counted per key,
+    which is exact because every spec's required columns are among its keys
+    when it de-duplicates.
     """
     from pyspark.sql import types as T
 
@@ -65,21 +66,28 @@ def conform_quality(raw, ed) -> DataFrame:
         unparsed = F.lit(0)
         for c in spec.dates:
             if isinstance(types[c], T.StringType):
-                unparsed = unparsed + F.count_if(F.col(c).isNotNull() & F.try_to_date(c).isNull())
+                unparsed = unparsed + (F.col(c).isNotNull() & F.try_to_date(c).isNull()).cast("int")
         if spec.dedupe:
             if not set(spec.required) <= set(spec.keys):
                 raise ValueError(f"{t}: required columns must be keys to count rejects")
-            # A struct of the keys is never NULL, so a NULL key counts as one
-            # group, exactly as the de-duplication keeps one row for it.
-            key = F.struct(*spec.keys)
-            kept, rejected = F.count_distinct(key), F.count_distinct(F.when(missing, key))
+            # One row per key (the NULL key is one group, as in the dedupe),
+            # combined map-side; then a global sum over those rows.
+            per_key = n.groupBy(*spec.keys).agg(
+                F.count(F.lit(1)).alias("c"), F.max(missing.cast("int")).alias("m"),
+                F.sum(unparsed).alias("u"))
+            agg = per_key.agg(F.sum("c").alias("rows_in"), F.count(F.lit(1)).alias("kept"),
+                              F.sum("m").alias("rejected"), F.sum("u").alias("unparsed_dates"))
         else:
-            kept, rejected = F.count(F.lit(1)), F.count_if(missing)
-        row = (n.agg(F.count(F.lit(1)).alias("rows_in"), kept.alias("kept"),
-                     rejected.alias("rejected"), unparsed.cast("bigint").alias("unparsed_dates"))
-               .select(F.lit(t).alias("table_name"), "rows_in",
-                       (F.col("rows_in") - F.col("kept")).alias("duplicates_dropped"),
-                       "rejected", (F.col("kept") - F.col("rejected")).alias("rows_out"),
-                       "unparsed_dates"))
+            agg = n.agg(F.count(F.lit(1)).alias("rows_in"), F.count(F.lit(1)).alias("kept"),
+                        F.sum(missing.cast("int")).alias("rejected"),
+                        F.sum(unparsed).alias("unparsed_dates"))
+        rows_in = F.coalesce(F.col("rows_in"), F.lit(0))
+        row = agg.select(
+            F.lit(t).alias("table_name"), rows_in.cast("bigint").alias("rows_in"),
+            (rows_in - F.col("kept")).cast("bigint").alias("duplicates_dropped"),
+            F.coalesce(F.col("rejected"), F.lit(0)).cast("bigint").alias("rejected"),
+            (F.col("kept") - F.coalesce(F.col("rejected"), F.lit(0))).cast("bigint")
+            .alias("rows_out"),
+            F.coalesce(F.col("unparsed_dates"), F.lit(0)).cast("bigint").alias("unparsed_dates"))
         parts.append(row)
     return reduce(DataFrame.unionByName, parts)

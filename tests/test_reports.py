@@ -127,3 +127,13 @@ def test_report_status_matches_brute_force(spark, sf_small):
     for name, row in status.items():
         assert row.status == "present", row
         assert row.row_count == entry.queries()[name](spark, sf_small).count(), name
+
+
+def test_conform_quality_on_empty_tables(spark, sf_small):
+    from matchlake.sources import adapter
+
+    raw = {t: df.limit(0) for t, df in adapter.raw_tables(spark, sf_small).items()}
+    rows = quality.conform_quality(raw, compact()).collect()
+    assert len(rows) == 8
+    assert all((r.rows_in, r.duplicates_dropped, r.rejected, r.rows_out, r.unparsed_dates)
+               == (0, 0, 0, 0, 0) for r in rows), rows
