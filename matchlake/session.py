@@ -68,15 +68,12 @@ def cluster_session(app: str = "matchlake") -> SparkSession:
 
 
 def apply_defaults(spark: SparkSession, conf: dict[str, str]) -> list[str]:
-    """Set each runtime setting the launcher did not set; return the keys set.
-
-    ``spark.conf.get`` would report Spark's built-in default for an unset key,
-    so "unset" is judged from the launch configuration (SparkConf).
-    """
+    """Set each runtime setting nobody set (neither the launch configuration
+    nor the session at run time); return the keys set."""
     launch = spark.sparkContext.getConf()
     applied = []
     for k, v in conf.items():
-        if not launch.contains(k):
+        if not launch.contains(k) and spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
             applied.append(k)
     return applied

@@ -81,3 +81,12 @@ def test_csv_columns_matched_by_name(spark):
     assert got.columns == ["squad_size", "name", "average_age"]
     assert dict(got.dtypes) == {"squad_size": "int", "name": "string", "average_age": "double"}
     assert sorted(map(tuple, got.collect()), key=repr) == [(7, "b", None), (None, "a", None)]
+
+
+def test_cluster_defaults_keep_runtime_settings(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    try:
+        assert apply_defaults(spark, {"spark.sql.files.maxPartitionBytes": "256m"}) == []
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
