@@ -42,6 +42,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     ap.add_argument("--skew-share", type=float, default=None,
                     help="split game keys holding at least this share of appearances "
                          "into a bounded broadcast join when building facts")
+    ap.add_argument("--unordered", action="store_true",
+                    help="write reports without their final global sort (readers sort)")
     ap.add_argument("--local", action="store_true", help="run on local[*] instead of a cluster")
     args = ap.parse_args(argv)
 
@@ -61,12 +63,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.stage == "model":
         status = jobs.run_model(spark, ep, ed, skew_share=args.skew_share)
     elif args.stage == "reports":
-        status = jobs.run_reports(spark, ep, ed, params=params)
+        status = jobs.run_reports(spark, ep, ed, params=params, ordered=not args.unordered)
     elif args.stage == "quality":
         status = jobs.run_quality(spark, ep, ed)
     else:
         status = jobs.run_all(spark, args.base, ed, params=params, null_value=null_value,
-                              skew_share=args.skew_share)
+                              skew_share=args.skew_share, ordered=not args.unordered)
     rows = status.collect()  # status rows only: one per table or report
     for r in rows:
         print("\t".join("" if v is None else str(v) for v in r))

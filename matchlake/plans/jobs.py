@@ -99,14 +99,22 @@ def read_star(spark: SparkSession, paths: LayerPaths) -> Star:
 def run_reports(spark: SparkSession, paths: LayerPaths, ed: Edition,
                 names: Iterable[str] | None = None,
                 params: dict[str, dict] | None = None,
-                parallel: int = DEFAULT_PARALLEL_WRITES) -> DataFrame:
-    """Write each report of the edition; a failing report is a status row, not a crash."""
+                parallel: int = DEFAULT_PARALLEL_WRITES,
+                ordered: bool = True) -> DataFrame:
+    """Write each report of the edition; a failing report is a status row, not a crash.
+
+    ``ordered=False`` writes reports without their final global sort (their
+    readers sort); top-k reports keep their order, which defines the cut.
+    """
     star = read_star(spark, paths)
     plans = {}
     rows = []
     for name in names or R.report_names(ed.name):
         try:
-            plans[name] = R.REPORTS[name](star, **(params or {}).get(name, {}))
+            kwargs = dict((params or {}).get(name, {}))
+            if not ordered and name in R.REPORTS and R.takes_order(name):
+                kwargs["ordered"] = False
+            plans[name] = R.REPORTS[name](star, **kwargs)
         except Exception as e:  # noqa: BLE001 -- per-report isolation
             rows.append((name, "failed", None, str(e).splitlines()[0][:200]))
 
@@ -167,7 +175,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def run_all(spark: SparkSession, base: str, ed: Edition,
             params: dict[str, dict] | None = None, null_value: str | None = None,
-            skew_share: float | None = None) -> DataFrame:
+            skew_share: float | None = None, ordered: bool = True) -> DataFrame:
     """Raw CSV under ``base/raw`` -> every layer of one edition.
 
     Returns one status table: (stage, name, status, row_count, error) for
@@ -182,7 +190,7 @@ def run_all(spark: SparkSession, base: str, ed: Edition,
     stages = [("ingest", run_ingest(spark, paths, null_value=null_value))]
     stages.append(("conform", run_conform(spark, ep, ed)))
     stages.append(("model", run_model(spark, ep, ed, skew_share)))
-    stages.append(("reports", run_reports(spark, ep, ed, params=params)
+    stages.append(("reports", run_reports(spark, ep, ed, params=params, ordered=ordered)
                    .withColumnRenamed("report", "table_name")))
     stages.append(("quality", run_quality(spark, ep, ed)))
     out = None

@@ -3,8 +3,9 @@
 Plan shape used throughout: aggregate the fact on its key first, then join the
 (deduplicated, key-unique) dimension, so the large dimension joins see one row
 per key instead of one per appearance.  Top-k reports break ties on the
-dimension key, so the cut is repeatable.  Sorting without a limit is kept
-where the report defines an order.
+dimension key, so the cut is repeatable.  Reports without a limit sort their
+output by default, as defined; ``ordered=False`` skips that global sort for
+consumers that sort on read.
 """
 
 from __future__ import annotations
@@ -31,6 +32,12 @@ def report(num: int, edition: str):
     return deco
 
 
+def _order(df: DataFrame, ordered: bool, *cols) -> DataFrame:
+    """Sort for read-out, or leave unordered (``ordered=False``) when the
+    consumer sorts: a global sort is a range shuffle plus a sampling job."""
+    return df.orderBy(*cols) if ordered else df
+
+
 def _per_player(star: Star, *aggs, where=None) -> DataFrame:
     fact = star.fact_appearance if where is None else star.fact_appearance.filter(where)
     return fact.groupBy("player_key").agg(*aggs)
@@ -38,7 +45,7 @@ def _per_player(star: Star, *aggs, where=None) -> DataFrame:
 
 # ---------------------------------------------------------------- R01 clubs per player
 @report(1, "compact")
-def report01_compact(star: Star) -> DataFrame:
+def report01_compact(star: Star, ordered: bool = True) -> DataFrame:
     # Distinct (player, club) pairs first: the club join then sees one row per pair.
     pairs = star.fact_appearance.select("player_key", "club_key").distinct()
     named = pairs.join(star.dim_club.select("club_key", "name"), "club_key")
@@ -49,11 +56,11 @@ def report01_compact(star: Star) -> DataFrame:
         F.size(F.collect_set("name")).cast("bigint").alias("number_of_clubs"))
     return (star.dim_player.join(clubs, "player_key")
             .select("full_name", "country_of_citizenship", "position", "number_of_clubs")
-            .orderBy(F.desc("number_of_clubs")))
+            .transform(_order, ordered, F.desc("number_of_clubs")))
 
 
 @report(1, "full")
-def report01_full(star: Star) -> DataFrame:
+def report01_full(star: Star, ordered: bool = True) -> DataFrame:
     pairs = star.fact_appearance.select("player_key", "club_key").distinct()
     named = pairs.join(star.dim_club.select("club_key", F.col("name").alias("club_name")),
                        "club_key", "left")
@@ -65,7 +72,8 @@ def report01_full(star: Star) -> DataFrame:
     players = star.dim_player.select("player_key", "full_name", "country_of_citizenship",
                                      "position", "date_of_birth", "age", "current_club_name")
     out = players.join(clubs, "player_key", "left")
-    return fill_defaults(out, {"number_of_clubs": 0}).orderBy(F.desc("number_of_clubs"))
+    return (fill_defaults(out, {"number_of_clubs": 0})
+            .transform(_order, ordered, F.desc("number_of_clubs")))
 
 
 # ---------------------------------------------------------------- R02 international apps
@@ -75,12 +83,12 @@ def _international(star: Star) -> DataFrame:
 
 
 @report(2, "compact")
-def report02_compact(star: Star) -> DataFrame:
+def report02_compact(star: Star, ordered: bool = True) -> DataFrame:
     stats = _international(star).groupBy("player_key").agg(
         F.count("*").alias("intl_apps"), F.sum("goals").alias("intl_goals"))
     return (star.dim_player.join(stats, "player_key")
             .select("full_name", "country_of_citizenship", "intl_apps", "intl_goals")
-            .orderBy(F.desc("intl_apps")))
+            .transform(_order, ordered, F.desc("intl_apps")))
 
 
 @report(2, "full")
@@ -124,12 +132,12 @@ def report03_full(star: Star, season: int = DEFAULT_SEASON, k: int = 10) -> Data
 
 # ---------------------------------------------------------------- R04 red cards
 @report(4, "compact")
-def report04_compact(star: Star) -> DataFrame:
+def report04_compact(star: Star, ordered: bool = True) -> DataFrame:
     stats = _per_player(star, F.sum("red_cards").alias("total_reds"),
                         F.count("game_key").alias("total_games")).filter(F.col("total_reds") > 0)
     return (star.dim_player.join(stats, "player_key")
             .select("full_name", "total_reds", "total_games")
-            .orderBy(F.desc("total_reds")))
+            .transform(_order, ordered, F.desc("total_reds")))
 
 
 @report(4, "full")
@@ -178,16 +186,16 @@ def report05_full(star: Star, k: int = 5) -> DataFrame:
 
 # ---------------------------------------------------------------- R06 player performance
 @report(6, "compact")
-def report06_compact(star: Star) -> DataFrame:
+def report06_compact(star: Star, ordered: bool = True) -> DataFrame:
     stats = _per_player(star, F.sum("goals").alias("total_goals"),
                         F.sum("assists").alias("total_assists"), F.count("game_key").alias("apps"))
     return (stats.join(star.dim_player, "player_key")
             .select("full_name", "total_goals", "total_assists", "apps")
-            .orderBy(F.desc("total_goals")))
+            .transform(_order, ordered, F.desc("total_goals")))
 
 
 @report(6, "full")
-def report06_full(star: Star) -> DataFrame:
+def report06_full(star: Star, ordered: bool = True) -> DataFrame:
     stats = _per_player(
         star, F.count("game_key").alias("total_appearances"), F.sum("goals").alias("total_goals"),
         F.sum("assists").alias("total_assists"), F.sum("yellow_cards").alias("total_yellows"),
@@ -201,23 +209,23 @@ def report06_full(star: Star) -> DataFrame:
                 "goal_contribution": F.col("total_goals") + F.col("total_assists"),
                 "goals_per_appearance": ratio("total_goals", "total_appearances", digits=2),
             })
-            .orderBy(F.desc("goal_contribution")))
+            .transform(_order, ordered, F.desc("goal_contribution")))
 
 
 # ---------------------------------------------------------------- R07 competition statistics
 @report(7, "compact")
-def report07_compact(star: Star) -> DataFrame:
+def report07_compact(star: Star, ordered: bool = True) -> DataFrame:
     # The competition dimension is tiny, so the join is planned as a broadcast.
     return (star.fact_game.join(star.dim_competition, "competition_key")
             .groupBy("name", "type", "country_name")
             .agg(F.count("game_key").alias("total_games"),
                  F.avg("total_goals").alias("avg_goals"),
                  F.avg("attendance").alias("avg_attendance"))
-            .orderBy(F.desc("avg_attendance")))
+            .transform(_order, ordered, F.desc("avg_attendance")))
 
 
 @report(7, "full")
-def report07_full(star: Star) -> DataFrame:
+def report07_full(star: Star, ordered: bool = True) -> DataFrame:
     games = star.fact_game.groupBy("competition_key").agg(
         F.count("game_key").alias("total_games"), F.sum("total_goals").alias("total_goals"),
         F.avg("total_goals").alias("avg_goals_per_game"),
@@ -233,7 +241,7 @@ def report07_full(star: Star) -> DataFrame:
     return (fill_numeric(out, 0)
             .withColumns({"avg_goals_per_game": F.round("avg_goals_per_game", 2),
                           "avg_attendance": F.round("avg_attendance", 0)})
-            .orderBy(F.desc("total_games")))
+            .transform(_order, ordered, F.desc("total_games")))
 
 
 # ---------------------------------------------------------------- R08 top assists
@@ -278,7 +286,7 @@ def report09_compact(star: Star) -> DataFrame:
 
 
 @report(9, "full")
-def report09_full(star: Star) -> DataFrame:
+def report09_full(star: Star, ordered: bool = True) -> DataFrame:
     won_int = F.col("won").cast("int")
     stats = star.fact_club_perf.groupBy("club_key").agg(
         sum_where(_home(), won_int).alias("home_wins"),
@@ -295,20 +303,20 @@ def report09_full(star: Star) -> DataFrame:
                     "home_goals_scored", "away_games", "away_wins", "away_win_pct",
                     "away_goals_scored")
             .filter(F.col("home_games") + F.col("away_games") > 0)
-            .orderBy(F.desc("home_win_pct")))
+            .transform(_order, ordered, F.desc("home_win_pct")))
 
 
 # ---------------------------------------------------------------- R10 season trends
 @report(10, "compact")
-def report10_compact(star: Star) -> DataFrame:
+def report10_compact(star: Star, ordered: bool = True) -> DataFrame:
     return (star.fact_game.groupBy("season_year")
             .agg(F.sum("total_goals").alias("total_goals"),
                  F.avg("attendance").alias("avg_attendance"))
-            .orderBy("season_year"))
+            .transform(_order, ordered, "season_year"))
 
 
 @report(10, "full")
-def report10_full(star: Star) -> DataFrame:
+def report10_full(star: Star, ordered: bool = True) -> DataFrame:
     games = star.fact_game.groupBy("season_year").agg(
         F.count("game_key").alias("total_games"), F.sum("total_goals").alias("total_goals"),
         F.avg("total_goals").alias("avg_goals_per_game"),
@@ -322,12 +330,12 @@ def report10_full(star: Star) -> DataFrame:
     return (fill_numeric(out, 0)
             .withColumns({"avg_goals_per_game": F.round("avg_goals_per_game", 2),
                           "avg_attendance": F.round("avg_attendance", 0)})
-            .orderBy("season_year"))
+            .transform(_order, ordered, "season_year"))
 
 
 # ---------------------------------------------------------------- R11 position analysis
 @report(11, "compact")
-def report11_compact(star: Star) -> DataFrame:
+def report11_compact(star: Star, ordered: bool = True) -> DataFrame:
     # Averages are per appearance row.  Summing and counting per player first
     # keeps the player join at one row per player; sum/count gives the same
     # value as avg over the raw rows.
@@ -337,11 +345,11 @@ def report11_compact(star: Star) -> DataFrame:
             .groupBy("position")
             .agg((F.sum("g") / F.sum("ng")).alias("avg_goals_per_player"),
                  (F.sum("a") / F.sum("na")).alias("avg_assists_per_player"))
-            .orderBy(F.desc("avg_goals_per_player")))
+            .transform(_order, ordered, F.desc("avg_goals_per_player")))
 
 
 @report(11, "full")
-def report11_full(star: Star) -> DataFrame:
+def report11_full(star: Star, ordered: bool = True) -> DataFrame:
     per = _per_player(star, F.sum("goals").alias("g"), F.sum("assists").alias("a"),
                       F.sum("yellow_cards").alias("y"), F.sum("red_cards").alias("r"),
                       F.count("game_key").alias("n"))
@@ -355,7 +363,7 @@ def report11_full(star: Star) -> DataFrame:
     return (stats.withColumns({
         "goals_per_player": ratio("total_goals", "total_players", digits=2),
         "assists_per_player": ratio("total_assists", "total_players", digits=2)})
-        .orderBy(F.desc("total_goals")))
+        .transform(_order, ordered, F.desc("total_goals")))
 
 
 # ---------------------------------------------------------------- R12 top matches
@@ -418,14 +426,14 @@ def report12_full(star: Star, k: int = 20) -> DataFrame:
 
 # ---------------------------------------------------------------- R13 nationality
 @report(13, "compact")
-def report13_compact(star: Star) -> DataFrame:
+def report13_compact(star: Star, ordered: bool = True) -> DataFrame:
     return (star.dim_player.groupBy("country_of_citizenship")
             .agg(F.count("*").alias("player_count"))
-            .orderBy(F.desc("player_count")))
+            .transform(_order, ordered, F.desc("player_count")))
 
 
 @report(13, "full")
-def report13_full(star: Star) -> DataFrame:
+def report13_full(star: Star, ordered: bool = True) -> DataFrame:
     per = _per_player(star, F.sum("goals").alias("g"), F.sum("assists").alias("a"),
                       F.count("game_key").alias("n"))
     players = star.dim_player.select("player_key", "country_of_citizenship")
@@ -437,19 +445,19 @@ def report13_full(star: Star) -> DataFrame:
             .select("country_of_citizenship", "total_players", "total_goals", "total_assists",
                     "total_appearances")
             .withColumn("goals_per_player", ratio("total_goals", "total_players", digits=2))
-            .orderBy(F.desc("total_players")))
+            .transform(_order, ordered, F.desc("total_players")))
 
 
 # ---------------------------------------------------------------- R14 monthly trends
 @report(14, "compact")
-def report14_compact(star: Star) -> DataFrame:
+def report14_compact(star: Star, ordered: bool = True) -> DataFrame:
     return (star.fact_game.join(star.dim_date, "date_key")
             .groupBy("month_name", "month").agg(F.sum("total_goals").alias("goals"))
-            .orderBy("month"))
+            .transform(_order, ordered, "month"))
 
 
 @report(14, "full")
-def report14_full(star: Star) -> DataFrame:
+def report14_full(star: Star, ordered: bool = True) -> DataFrame:
     stats = (star.fact_game.join(star.dim_date, "date_key")
              .groupBy("month", "month_name")
              .agg(F.count("game_key").alias("total_games"),
@@ -458,18 +466,18 @@ def report14_full(star: Star) -> DataFrame:
                   F.avg("attendance").alias("avg_attendance")))
     return (stats.withColumns({"avg_goals_per_game": F.round("avg_goals_per_game", 2),
                                "avg_attendance": F.round("avg_attendance", 0)})
-            .orderBy("month"))
+            .transform(_order, ordered, "month"))
 
 
 # ---------------------------------------------------------------- R15 squad analysis
 @report(15, "compact")
-def report15_compact(star: Star) -> DataFrame:
+def report15_compact(star: Star, ordered: bool = True) -> DataFrame:
     return (star.dim_club.select("name", "squad_size", "foreigners_number", "average_age")
-            .orderBy(F.desc("squad_size")))
+            .transform(_order, ordered, F.desc("squad_size")))
 
 
 @report(15, "full")
-def report15_full(star: Star) -> DataFrame:
+def report15_full(star: Star, ordered: bool = True) -> DataFrame:
     perf = (star.fact_club_perf.groupBy("club_key")
             .agg(count_where(F.col("won")).alias("total_wins"), F.count("*").alias("total_matches"))
             .withColumn("win_rate", ratio("total_wins", "total_matches", scale=100, digits=2)))
@@ -478,7 +486,15 @@ def report15_full(star: Star) -> DataFrame:
         "foreigners_percentage", "national_team_players", "total_wins", "total_matches",
         "win_rate")
     out = fill_defaults(out, {"total_wins": 0, "total_matches": 0, "win_rate": 0})
-    return out.filter(F.col("squad_size") > 0).orderBy(F.desc("foreigners_percentage"))
+    return (out.filter(F.col("squad_size") > 0)
+            .transform(_order, ordered, F.desc("foreigners_percentage")))
+
+
+def takes_order(name: str) -> bool:
+    """Whether the report has an ``ordered`` switch (reports without a limit)."""
+    import inspect
+
+    return "ordered" in inspect.signature(REPORTS[name]).parameters
 
 
 def report_names(edition: str | None = None) -> list[str]:

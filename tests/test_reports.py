@@ -137,3 +137,15 @@ def test_conform_quality_on_empty_tables(spark, sf_small):
     assert len(rows) == 8
     assert all((r.rows_in, r.duplicates_dropped, r.rejected, r.rows_out, r.unparsed_dates)
                == (0, 0, 0, 0, 0) for r in rows), rows
+
+
+def test_unordered_reports_have_same_rows_and_no_range_sort(stars):
+    for name in R.report_names():
+        if not R.takes_order(name):
+            continue
+        star = stars["compact" if name.endswith("compact") else "full"]
+        a, b = R.REPORTS[name](star), R.REPORTS[name](star, ordered=False)
+        assert sorted(map(tuple, a.collect()), key=repr) == \
+            sorted(map(tuple, b.collect()), key=repr), name
+        plan = b._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan, name
