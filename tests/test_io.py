@@ -90,3 +90,19 @@ def test_cluster_defaults_keep_runtime_settings(spark):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_partitioned_write_is_rebalanced(spark):
+    import glob
+
+    from matchlake.sources.io import write_table
+    from pyspark.sql import functions as F
+
+    base = tempfile.mkdtemp(prefix="matchlake-part-")
+    df = spark.range(0, 20000, 1, 16).withColumn("season", F.col("id") % 4)
+    write_table(df, f"{base}/plain", partition_by=["season"], rebalance=False)
+    write_table(df, f"{base}/rebal", partition_by=["season"])
+    plain = len(glob.glob(f"{base}/plain/*/*.parquet"))
+    rebal = len(glob.glob(f"{base}/rebal/*/*.parquet"))
+    assert rebal < plain
+    assert spark.read.parquet(f"{base}/rebal").count() == 20000
