@@ -149,3 +149,15 @@ def test_unordered_reports_have_same_rows_and_no_range_sort(stars):
             sorted(map(tuple, b.collect()), key=repr), name
         plan = b._jdf.queryExecution().executedPlan().toString()
         assert "rangepartitioning" not in plan, name
+
+
+def test_editions_agree_on_appearance_totals(stars):
+    """The editions differ in sentinels and stamps, not in appearance measures."""
+    c = R.report06_compact(stars["compact"]).agg(F.sum("total_goals"), F.sum("total_assists"),
+                                                   F.sum("apps")).first()
+    f = R.report06_full(stars["full"]).agg(F.sum("total_goals"), F.sum("total_assists"),
+                                             F.sum("total_appearances")).first()
+    assert tuple(c) == tuple(f)
+    fact = stars["compact"].fact_appearance.join(
+        stars["compact"].dim_player.select("player_key"), "player_key", "left_semi")
+    assert c[0] == _sum(fact, "goals")
