@@ -161,3 +161,15 @@ def test_editions_agree_on_appearance_totals(stars):
     fact = stars["compact"].fact_appearance.join(
         stars["compact"].dim_player.select("player_key"), "player_key", "left_semi")
     assert c[0] == _sum(fact, "goals")
+
+
+def test_club_win_reports_agree(stars):
+    star = stars["full"]
+    r05 = {r.club_key: (r.total_wins, r.total_matches)
+           for r in R.report05_full(star, k=10_000).collect()}
+    r09 = {r.club_key: (r.home_wins + r.away_wins, r.home_games + r.away_games)
+           for r in R.report09_full(star).collect()}
+    r15 = {r.club_key: (r.total_wins, r.total_matches)
+           for r in R.report15_full(star).collect()}
+    assert r05 and r05 == r09
+    assert all(r15[k] == v for k, v in r05.items() if k in r15)
