@@ -77,3 +77,26 @@ def test_ratio_rounds_half_up_on_decimal_text(spark, pairs):
     want = [float(Decimal(repr(n / d)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
             for n, d in pairs]
     assert got == want
+
+
+@SETTINGS
+@given(days=st.lists(st.integers(-20_000, 30_000), min_size=1, max_size=40))
+def test_calendar_columns_match_python(spark, days):
+    import calendar
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from matchlake.functions import calendar_columns
+
+    dates = [dt.date(1970, 1, 1) + dt.timedelta(days=d) for d in days]
+    df = spark.createDataFrame([(d,) for d in dates], "d date")
+    cols = calendar_columns(F.col("d"), quarter=True)
+    got = [tuple(r) for r in df.select(*[c.alias(k) for k, c in cols.items()]).collect()]
+    want = []
+    for d in dates:
+        dow = (d.isoweekday() % 7) + 1  # 1 = Sunday ... 7 = Saturday
+        want.append((d.year * 10000 + d.month * 100 + d.day, d.year, d.month, d.day,
+                     (d.month - 1) // 3 + 1, dow, calendar.day_name[d.weekday()],
+                     calendar.month_name[d.month], dow in (1, 7)))
+    assert got == want
