@@ -10,11 +10,11 @@ report); no data passes through the driver.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import run_concurrently
 from ..sources.io import (STATUS_SCHEMA, LayerPaths, check_format, ingest_all, read_table,
                           write_counted)
 from ..sources.schemas import SOURCE_TABLES
@@ -29,11 +29,9 @@ from .star import DIM_TABLES, FACT_TABLES, Star, build_star
 DEFAULT_PARALLEL_WRITES = 4
 
 
-def _parallel(tasks: list[Callable[[], tuple]], parallel: int) -> list[tuple]:
-    if parallel <= 1 or len(tasks) <= 1:
-        return [t() for t in tasks]
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        return list(pool.map(lambda t: t(), tasks))
+def _parallel(spark: SparkSession, tasks: list[Callable[[], tuple]],
+              parallel: int) -> list[tuple]:
+    return run_concurrently(spark, tasks, parallel)
 
 
 # Facts are partitioned by season so season-filtered reports prune whole folders.
@@ -64,7 +62,7 @@ def _write_all(spark: SparkSession, frames: dict[str, DataFrame], where,
         return lambda: (name, "ok",
                         write_counted(df, where(name), fmt, (partitions or {}).get(name)), None)
 
-    rows = _parallel([task(n, df) for n, df in frames.items()], parallel)
+    rows = _parallel(spark, [task(n, df) for n, df in frames.items()], parallel)
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
@@ -126,7 +124,7 @@ def run_reports(spark: SparkSession, paths: LayerPaths, ed: Edition,
                 return (name, "failed", None, str(e).splitlines()[0][:200])
         return run
 
-    rows += _parallel([task(n, df) for n, df in plans.items()], parallel)
+    rows += _parallel(spark, [task(n, df) for n, df in plans.items()], parallel)
     return spark.createDataFrame(rows, REPORT_STATUS_SCHEMA)
 
 
@@ -142,7 +140,7 @@ def report_status(spark: SparkSession, paths: LayerPaths,
                 return (name, "missing", None, None)
         return run
 
-    rows = _parallel([check(n) for n in names], DEFAULT_PARALLEL_WRITES)
+    rows = _parallel(spark, [check(n) for n in names], DEFAULT_PARALLEL_WRITES)
     return spark.createDataFrame(rows, REPORT_STATUS_SCHEMA)
 
 

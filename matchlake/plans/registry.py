@@ -8,14 +8,13 @@ star -> report); the ``jobs`` module is the materialising path.
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.clean import (NULL_TOKENS, NULL_TOKENS_STRICT, conform_dates, dedupe,
                                fill_defaults, normalize_nulls)
 from ..operators.combine import merge_join
-from ..session import scratch_path
+from ..session import run_concurrently, scratch_path
 from ..sources import adapter
 from ..sources.io import NULL_MARK, LayerPaths, ingest_all, read_csv, read_table, write_csv, write_table
 from ..sources.schemas import SCHEMAS, SOURCE_TABLES, SPECS
@@ -85,8 +84,8 @@ def ingest_status(spark, sf):
     """Raw CSVs for seven tables (player_valuations left out on purpose) -> bronze."""
     paths = LayerPaths(scratch_path(spark, "ingest"))
     present = [t for t in SOURCE_TABLES if t != "player_valuations"]
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        list(pool.map(lambda t: write_csv(adapter.BUILDERS[t](spark, sf), paths.raw(t)), present))
+    run_concurrently(spark, [lambda t=t: write_csv(adapter.BUILDERS[t](spark, sf), paths.raw(t))
+                             for t in present])
     return ingest_all(spark, paths, null_value=NULL_MARK)
 
 

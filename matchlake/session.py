@@ -108,3 +108,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/matchlake-{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Thread-local job properties a concurrent submission must carry over, so its
+# jobs stay in the caller's job group (cancellable together), description and
+# scheduler pool.
+_INHERITED = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel",
+              "spark.scheduler.pool")
+
+
+def run_concurrently(spark: SparkSession, tasks, parallel: int = 4) -> list:
+    """Run zero-argument callables that each submit Spark jobs, ``parallel`` at a
+    time from driver threads, carrying the caller's job properties; results in
+    task order.  Only job submission happens on these threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    tasks = list(tasks)
+    if parallel <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    sc = spark.sparkContext
+    props = {k: sc.getLocalProperty(k) for k in _INHERITED}
+
+    def run(task):
+        for k, v in props.items():
+            if v is not None:
+                sc.setLocalProperty(k, v)
+        return task()
+
+    with ThreadPoolExecutor(max_workers=min(parallel, len(tasks))) as pool:
+        return list(pool.map(run, tasks))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -201,7 +200,7 @@ def ingest_all(spark: SparkSession, paths: LayerPaths,
             return (t, "failed", None, str(e).splitlines()[0][:200])
 
     # Tables are independent: submit their jobs concurrently from driver threads.
-    tables = list(tables)
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(tables)))) as pool:
-        rows = list(pool.map(one, tables))
+    from ..session import run_concurrently
+
+    rows = run_concurrently(spark, [lambda t=t: one(t) for t in tables], parallel)
     return spark.createDataFrame(rows, STATUS_SCHEMA)

@@ -106,3 +106,15 @@ def test_partitioned_write_is_rebalanced(spark):
     rebal = len(glob.glob(f"{base}/rebal/*/*.parquet"))
     assert rebal < plain
     assert spark.read.parquet(f"{base}/rebal").count() == 20000
+
+
+def test_concurrent_submissions_keep_the_job_group(spark):
+    from matchlake.session import run_concurrently
+
+    sc = spark.sparkContext
+    sc.setJobGroup("matchlake-test-group", "concurrency")
+    try:
+        seen = run_concurrently(spark, [lambda: sc.getLocalProperty("spark.jobGroup.id")] * 4, 4)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert seen == ["matchlake-test-group"] * 4
