@@ -15,7 +15,7 @@ import sys
 
 from .plans import jobs
 from .plans.edition import by_name
-from .sources.io import NULL_MARK, LayerPaths
+from .sources.io import NULL_MARK, LayerPaths, check_format
 
 STAGES = ("ingest", "conform", "model", "reports", "quality", "all")
 
@@ -51,6 +51,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from .session import cluster_session, local_session
         spark = local_session() if args.local else cluster_session()
     ed = by_name(args.edition, as_of=None)
+    check_format(spark, args.format)
     paths = LayerPaths(args.base, args.format)
     ep = paths.for_edition(ed.name)
     null_value = NULL_MARK if args.null_marker else None

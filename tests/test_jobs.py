@@ -97,3 +97,10 @@ def test_command_line_runs_every_stage(spark, raw_base, capsys):
     assert main(["quality", *args], spark=spark) == 0
     out = capsys.readouterr().out
     assert "report15_compact\tok" in out and "fact_appearance\tok" in out
+
+
+def test_command_line_rejects_unknown_format(spark, raw_base):
+    from matchlake.__main__ import main
+
+    with pytest.raises(ValueError, match="not available"):
+        main(["ingest", "--base", raw_base, "--format", "no_such_format_xyz"], spark=spark)
