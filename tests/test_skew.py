@@ -139,3 +139,13 @@ def test_star_with_skew_split_equals_default(spark, sf_small):
     for ed in (compact(),):
         assert _rows(fact_appearance(apps, games, ed, skew_share=0.05)) == \
             _rows(fact_appearance(apps, games, ed))
+
+
+def test_hot_keys_list_is_bounded(spark):
+    from matchlake.operators import hot_keys
+
+    df = spark.range(0, 50_000, 1, 8).select((F.col("id") % 500).alias("k"))
+    # Every key holds 0.2% of rows: with share=0.001 all 500 qualify, but at
+    # most max_keys come back to the driver.
+    assert len(hot_keys(df, "k", share=0.001, fraction=1.0, max_keys=16)) == 16
+    assert hot_keys(df, "k", share=0.5, fraction=1.0) == []
