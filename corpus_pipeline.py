@@ -1,8 +1,6 @@
 """A training corpus from ``documents``: five stages, each written as Parquet and
 read again as the documents of the next one.
 
-    python -c "import corpus_pipeline as p; ..."   # run(spark, sf_dir)
-
 Stages: quality rules (rejected documents go), near-duplicate join (one document
 of each group stays), benchmark decontamination (contaminated documents go),
 mixing to source weights (a document as often as it is taken), sharding (adds
@@ -13,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import decontaminate, mixing, quality_rules, sharding
+from matchlake.llm import decontaminate, mixing, ngram_join, quality_rules, sharding
 from matchlake.llm.common import stored, table
 
 
@@ -21,6 +19,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(docs)
+
+
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
 
@@ -33,7 +35,13 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.sharded(docs)
 
 
-STAGES = [("quality_rules", quality), ("benchmark_decontamination", benchmark), ("source_mix", mix), ("sharding", shards)]
+STAGES = [
+    ("quality_rules", quality),
+    ("ngram_join", near_duplicates),
+    ("benchmark_decontamination", benchmark),
+    ("source_mix", mix),
+    ("sharding", shards),
+]
 
 # Expectation-maximisation, and crc32 of the text, have no DuckDB SQL.
 ORACLE_SQL = None

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, mixing, quality_rules, secret_scan, sharding
+from . import chat_format, decontaminate, html_extract, mixing, ngram_join, quality_rules, secret_scan, sharding, toxicity, url_filter
 from .common import table
 
 QUERIES = {
+    "op1_toxic_segments": lambda spark, sf: toxicity.report(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op2_source_mix": lambda spark, sf: mixing.report(table(spark, sf, "documents")),
+    "op3_ngram_join": lambda spark, sf: ngram_join.report(table(spark, sf, "documents")),
     "op4_sampled_splitters": lambda spark, sf: sharding.report(table(spark, sf, "documents")),
+    "op5_url_words": lambda spark, sf: url_filter.report(table(spark, sf, "pages")),
     "op6_secret_ledger": lambda spark, sf: secret_scan.report(table(spark, sf, "documents")),
     "op7_decontaminate": lambda spark, sf: decontaminate.report(
         table(spark, sf, "documents"), table(spark, sf, "benchmark")),
