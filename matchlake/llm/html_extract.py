@@ -57,7 +57,7 @@ NAMED = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comment
 
 # Fixed values of the block rules.
 LINKED = 0.35          # link density above which a block is bad
-SHORT, LONG = 60, 160  # characters
+SHORT, LONG = 60, 100  # characters
 FEW, MANY = 0.12, 0.22  # stop-word density
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"

@@ -71,7 +71,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 def offset_of(source: Column) -> Column:
     """In [0, 1), from the seed and the source."""
-    name = F.concat(F.lit(SEED + ":"), F.coalesce(source, F.lit("\x00null")))
+    name = F.concat(F.lit(SEED + ":"), F.coalesce(source, F.lit("(null)")))
     return F.conv(F.substring(F.md5(name.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(2 ** 32))
 
 

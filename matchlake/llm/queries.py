@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import chat_format, decontaminate, html_extract, mixing, ngram_join, quality_rules, secret_scan, sharding, toxicity, url_filter
 from .common import table
+from .oracles import ORACLES  # noqa: F401
 
 QUERIES = {
     "op1_toxic_segments": lambda spark, sf: toxicity.report(table(spark, sf, "documents"), table(spark, sf, "labels")),
@@ -19,4 +20,4 @@ QUERIES = {
     "op10_quality_votes": lambda spark, sf: quality_rules.report(table(spark, sf, "documents")),
 }
 
-ORACLES: dict[str, str] = {}
+
