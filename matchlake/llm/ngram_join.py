@@ -51,10 +51,10 @@ MORE = 16                   # k = n // MORE shingles beyond the least prefix
 SAMPLE = 4_000              # documents, about, to find common shingles in
 COMMON = 0.01               # share of the sample
 MOST_BROADCAST = 1_000_000  # representatives
-BLOCK = 4_000_000           # shingles of a cluster in one task
+BLOCK = 1_000_000           # shingles of a cluster in one task
 MU = 0.0085                 # weighs probes against merging when the long lists are chosen
 
-_KNOWN_WORDS = 500_000      # hashes that a task remembers
+_KNOWN_WORDS = 200_000      # hashes that a task remembers
 
 
 def least_overlap(n):
