@@ -39,9 +39,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                     help="report parameter, e.g. report03_compact.season=2014")
     ap.add_argument("--null-marker", action="store_true",
                     help=f"raw CSVs write NULL as {NULL_MARK!r} (files from write_csv)")
-    ap.add_argument("--skew-share", type=float, default=None,
-                    help="split game keys holding at least this share of appearances "
-                         "into a bounded broadcast join when building facts")
+    ap.add_argument("--csv", action="store_true", help="also export every report as headed CSV")
     ap.add_argument("--unordered", action="store_true",
                     help="write reports without their final global sort (readers sort)")
     ap.add_argument("--local", action="store_true", help="run on local[*] instead of a cluster")
@@ -62,14 +60,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.stage == "conform":
         status = jobs.run_conform(spark, ep, ed)
     elif args.stage == "model":
-        status = jobs.run_model(spark, ep, ed, skew_share=args.skew_share)
+        status = jobs.run_model(spark, ep, ed)
     elif args.stage == "reports":
-        status = jobs.run_reports(spark, ep, ed, params=params, ordered=not args.unordered)
+        status = jobs.run_reports(spark, ep, ed, params=params, ordered=not args.unordered, csv=args.csv)
     elif args.stage == "quality":
         status = jobs.run_quality(spark, ep, ed)
     else:
         status = jobs.run_all(spark, args.base, ed, params=params, null_value=null_value,
-                              skew_share=args.skew_share, ordered=not args.unordered)
+                              ordered=not args.unordered, fmt=args.format, csv=args.csv)
     rows = status.collect()  # status rows only: one per table or report
     for r in rows:
         print("\t".join("" if v is None else str(v) for v in r))

@@ -43,4 +43,6 @@ def stamp(as_of: _dt.datetime | None = None) -> Column:
     """Load-time stamp: a literal when ``as_of`` is given (repeatable), else now."""
     if as_of is None:
         return F.current_timestamp()
-    return F.lit(as_of).cast("timestamp")
+    # As text in UTC: a datetime literal would be read in the Python process's time zone.
+    utc = as_of.astimezone(_dt.timezone.utc) if as_of.tzinfo else as_of
+    return F.lit(utc.strftime("%Y-%m-%d %H:%M:%S.%f") + "+00:00").cast("timestamp")

@@ -2,12 +2,11 @@
 
 from .clean import (NULL_TOKENS, NULL_TOKENS_STRICT, conform_dates, dedupe, fill_defaults,
                     fill_numeric, normalize_nulls, require)
-from .combine import merge_join
+from .combine import merge_join, spread_join
 from .metrics import count_where, ratio, sum_where, top_k
-from .skew import hot_keys, split_hot_join
 
 __all__ = [
     "NULL_TOKENS", "NULL_TOKENS_STRICT", "normalize_nulls", "dedupe", "fill_defaults",
-    "fill_numeric", "require", "conform_dates", "merge_join", "count_where", "sum_where",
-    "ratio", "top_k", "hot_keys", "split_hot_join",
+    "fill_numeric", "require", "conform_dates", "merge_join", "spread_join", "count_where", "sum_where",
+    "ratio", "top_k",
 ]

@@ -1,7 +1,8 @@
 """Cleaning operators of the conformed (silver) layer.
 
-All of them build a single projection or one aggregation, so Catalyst keeps
-them inside whole-stage codegen and pushes later filters through them.
+Each builds a single projection or one aggregation, so Catalyst pushes later
+filters through them.  Projections stay in whole-stage codegen; the de-duplicating
+aggregate packs a row into a struct, which Spark runs as a sort aggregate.
 """
 
 from __future__ import annotations
@@ -99,10 +100,11 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
 
     Ascending, NULLs first, column by column; remaining ties fall to the other
     columns, so the survivor does not depend on partitioning.  Written as
-    ``groupBy(keys).agg(min(struct(...)))`` rather than a ``row_number``
-    window: ``min`` is combined map-side, so a key holding a third of all rows
-    is reduced before the shuffle instead of being sorted in one task.  NULL
-    keys form one group, as with ``dropDuplicates``.
+    ``groupBy(keys).agg(min(struct(...)))``: every task reduces its rows of a key to
+    one before the shuffle, so a key holding a third of all rows sends one row per
+    task.  (A ``row_number = 1`` window also cuts before its shuffle on recent
+    Spark versions; there the cut is the optimizer's choice, here it is the plan.)
+    NULL keys form one group, as with ``dropDuplicates``.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]

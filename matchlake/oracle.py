@@ -747,6 +747,16 @@ SELECT * REPLACE (TRY_CAST(date AS DATE) AS date) FROM raw_appearances"""
               for t in LAYERS["raw"] if t != "player_valuations"]
     counts.append("SELECT 'player_valuations', 'missing', CAST(NULL AS BIGINT), 'no such file'")
     q["ingest_status"] = "\nUNION ALL ".join(counts)
+    q["csv_ingest_rejects"] = """
+WITH n AS (SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE player_club_id % 7 = 0) AS a,
+  COUNT(*) FILTER (WHERE player_club_id % 11 = 0) AS m FROM raw_appearances)
+SELECT c AS column_name, kind, row_count,
+  CAST(CASE c WHEN 'assists' THEN a WHEN 'minutes_played' THEN m ELSE 0 END AS BIGINT) AS unparsed_cells
+FROM n, (VALUES ('game_id', 'typed'), ('player_id', 'typed'), ('player_club_id', 'typed'),
+  ('goals', 'typed'), ('assists', 'typed'), ('yellow_cards', 'typed'), ('minutes_played', 'typed'),
+  ('note', 'extra'), ('red_cards', 'missing')) AS t(c, kind)"""
+    for t in ("players", "appearances", "games", "clubs", "competitions", "game_events"):
+        q[f"silver_{t}_full"] = f"SELECT * FROM sf_{t}"
     q["layer_row_counts"] = _layer_counts()
     q["quality_metrics"] = """
 SELECT 'players_with_valid_dob' AS metric, COUNT(*) FILTER (WHERE date_of_birth IS NOT NULL)
@@ -795,7 +805,12 @@ def oracle_queries() -> dict[str, str]:
     bodies = {}
     bodies.update(_others())
     bodies.update(_reports())
+    bodies["report_csv_export"] = bodies["report05_compact"]
     bodies["conform_quality"] = _conform_quality("s_", LAYERS["silver"])
     bodies["conform_quality_full"] = _conform_quality(
         "sf_", ["players", "appearances", "games", "clubs", "competitions", "game_events"])
-    return {name: with_ctes(body) for name, body in bodies.items()}
+    out = {name: with_ctes(body) for name, body in bodies.items()}
+    out["report_status"] = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS report, 'present' AS status, (SELECT COUNT(*) FROM ({sql})) AS row_count, "
+        f"CAST(NULL AS VARCHAR) AS error" for name, sql in sorted(out.items()) if re.fullmatch(r"report\d\d_full", name))
+    return out

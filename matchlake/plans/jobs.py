@@ -9,19 +9,21 @@ report); no data passes through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import json
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import run_concurrently
-from ..sources.io import (STATUS_SCHEMA, LayerPaths, check_format, ingest_all, read_table,
-                          write_counted)
+from ..sources.io import (STATUS_SCHEMA, LayerPaths, check_format, error_text, ingest_all, path_exists,
+                          read_table, write_counted, write_csv)
 from ..sources.schemas import SOURCE_TABLES
 from . import reports as R
 from .edition import Edition
 from .silver import COMPACT_TABLES, FULL_TABLES, conform_all
-from .star import DIM_TABLES, FACT_TABLES, Star, build_star
+from .star import DIM_TABLES, FACT_TABLES, LazyTables, Star, build_star
 
 # Independent writes of one layer are submitted concurrently (driver threads only
 # submit jobs; the work runs on executors), so small tables do not leave the
@@ -50,47 +52,70 @@ def run_ingest(spark: SparkSession, paths: LayerPaths,
     return ingest_all(spark, paths, tables, null_value=null_value)
 
 
-def read_bronze(spark: SparkSession, paths: LayerPaths,
-                tables: Iterable[str] = SOURCE_TABLES) -> dict[str, DataFrame]:
-    return {t: read_table(spark, paths.bronze(t), paths.fmt) for t in tables}
-
-
-def _write_all(spark: SparkSession, frames: dict[str, DataFrame], where,
+def _write_all(spark: SparkSession, frames: Mapping[str, DataFrame], where,
                fmt: str, partitions: dict | None = None,
                parallel: int = DEFAULT_PARALLEL_WRITES) -> DataFrame:
-    def task(name: str, df: DataFrame):
-        return lambda: (name, "ok",
-                        write_counted(df, where(name), fmt, (partitions or {}).get(name)), None)
+    """Write each table; one that cannot be built or written is a status row, and
+    the others go on.  ``frames`` may build its tables on access."""
+    def task(name: str):
+        def run():
+            try:
+                return (name, "ok", write_counted(frames[name], where(name), fmt, (partitions or {}).get(name)), None)
+            except Exception as e:  # noqa: BLE001 -- per-table isolation
+                return (name, "failed", None, error_text(e))
+        return run
 
-    rows = _parallel(spark, [task(n, df) for n, df in frames.items()], parallel)
+    rows = _parallel(spark, [task(n) for n in frames], parallel)
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
+def _tables(ed: Edition) -> tuple[str, ...]:
+    return COMPACT_TABLES if ed.name == "compact" else FULL_TABLES
+
+
+def _lazy(spark: SparkSession, tables: Iterable[str], where, fmt: str) -> LazyTables:
+    return LazyTables({t: (lambda t=t: read_table(spark, where(t), fmt)) for t in tables})
+
+
 def run_conform(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
-    tables = COMPACT_TABLES if ed.name == "compact" else FULL_TABLES
-    silver = conform_all(read_bronze(spark, paths, tables), ed)
-    return _write_all(spark, silver, paths.silver, paths.fmt)
+    bronze = _lazy(spark, _tables(ed), paths.bronze, paths.fmt)
+    return _write_all(spark, conform_all(bronze, ed), paths.silver, paths.fmt)
 
 
-def run_model(spark: SparkSession, paths: LayerPaths, ed: Edition,
-              skew_share: float | None = None) -> DataFrame:
-    tables = COMPACT_TABLES if ed.name == "compact" else FULL_TABLES
-    silver = {t: read_table(spark, paths.silver(t), paths.fmt) for t in tables}
-    raw = {"club_games": read_table(spark, paths.bronze("club_games"), paths.fmt)}
-    return write_star(spark, build_star(silver, raw, ed, skew_share), paths)
+def run_model(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
+    silver = _lazy(spark, _tables(ed), paths.silver, paths.fmt)
+    raw = _lazy(spark, ["club_games"], paths.bronze, paths.fmt)
+    return write_star(spark, build_star(silver, raw, ed), paths)
 
 
 def write_star(spark: SparkSession, star: Star, paths: LayerPaths) -> DataFrame:
-    """Write the four dimensions and three facts (facts partitioned by season)."""
-    dims = {t: getattr(star, t) for t in DIM_TABLES}
-    facts = {t: getattr(star, t) for t in FACT_TABLES}
-    return _write_all(spark, dims, paths.dim, paths.fmt).unionByName(
+    """Write the four dimensions and three facts (facts partitioned by season).
+
+    A partitioned table is read back with its partition columns last and their types
+    guessed from folder names, so its schema is written beside it."""
+    dims = LazyTables({t: (lambda t=t: getattr(star, t)) for t in DIM_TABLES})
+    facts = LazyTables({t: (lambda t=t: getattr(star, t)) for t in FACT_TABLES})
+    status = _write_all(spark, dims, paths.dim, paths.fmt).unionByName(
         _write_all(spark, facts, paths.fact, paths.fmt, FACT_PARTITIONS))
+    failed = {r["table_name"] for r in status.filter("status = 'failed'").collect()}
+    for t in FACT_PARTITIONS:
+        if t not in failed:
+            spark.createDataFrame([(facts[t].schema.json(),)], "schema string").coalesce(1).write.mode(
+                "overwrite").text(paths.fact(f"_schema_of_{t}"))
+    return status
+
+
+def _read_fact(spark: SparkSession, paths: LayerPaths, t: str) -> DataFrame:
+    table = read_table(spark, paths.fact(t), paths.fmt)
+    if t not in FACT_PARTITIONS or not path_exists(spark, paths.fact(f"_schema_of_{t}")):
+        return table
+    schema = T.StructType.fromJson(json.loads(spark.read.text(paths.fact(f"_schema_of_{t}")).first()[0]))
+    return table.select(*[table[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_star(spark: SparkSession, paths: LayerPaths) -> Star:
     tables = {t: read_table(spark, paths.dim(t), paths.fmt) for t in DIM_TABLES}
-    tables.update({t: read_table(spark, paths.fact(t), paths.fmt) for t in FACT_TABLES})
+    tables.update({t: _read_fact(spark, paths, t) for t in FACT_TABLES})
     return Star(**tables)
 
 
@@ -98,11 +123,12 @@ def run_reports(spark: SparkSession, paths: LayerPaths, ed: Edition,
                 names: Iterable[str] | None = None,
                 params: dict[str, dict] | None = None,
                 parallel: int = DEFAULT_PARALLEL_WRITES,
-                ordered: bool = True) -> DataFrame:
+                ordered: bool = True, csv: bool = False) -> DataFrame:
     """Write each report of the edition; a failing report is a status row, not a crash.
 
     ``ordered=False`` writes reports without their final global sort (their
-    readers sort); top-k reports keep their order, which defines the cut.
+    readers sort); top-k reports keep their order, which defines the cut.  ``csv``
+    also exports each report as headed, quoted CSV, from the written table.
     """
     star = read_star(spark, paths)
     plans = {}
@@ -114,30 +140,40 @@ def run_reports(spark: SparkSession, paths: LayerPaths, ed: Edition,
                 kwargs["ordered"] = False
             plans[name] = R.REPORTS[name](star, **kwargs)
         except Exception as e:  # noqa: BLE001 -- per-report isolation
-            rows.append((name, "failed", None, str(e).splitlines()[0][:200]))
+            rows.append((name, "failed", None, error_text(e)))
 
     def task(name: str, df: DataFrame):
         def run():
             try:
-                return (name, "ok", write_counted(df, paths.report(name), paths.fmt), None)
+                n = write_counted(df, paths.report(name), paths.fmt)
+                if csv:
+                    write_csv(_flat(read_table(spark, paths.report(name), paths.fmt)), paths.report_csv(name))
+                return (name, "ok", n, None)
             except Exception as e:  # noqa: BLE001
-                return (name, "failed", None, str(e).splitlines()[0][:200])
+                return (name, "failed", None, error_text(e))
         return run
 
     rows += _parallel(spark, [task(n, df) for n, df in plans.items()], parallel)
     return spark.createDataFrame(rows, REPORT_STATUS_SCHEMA)
 
 
+def _flat(df: DataFrame) -> DataFrame:
+    """Lists as one text, for CSV."""
+    return df.select(*[F.concat_ws("; ", c).alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes])
+
+
 def report_status(spark: SparkSession, paths: LayerPaths,
                   names: Iterable[str]) -> DataFrame:
-    """Which reports exist, with their row counts (from file metadata)."""
+    """Which reports exist (``present`` with their row count, ``missing``), and which
+    exist but cannot be read (``failed`` with the error)."""
     def check(name: str):
         def run():
             try:
-                return (name, "present", read_table(spark, paths.report(name), paths.fmt).count(),
-                        None)
-            except Exception:  # noqa: BLE001
-                return (name, "missing", None, None)
+                if not path_exists(spark, paths.report(name)):
+                    return (name, "missing", None, None)
+                return (name, "present", read_table(spark, paths.report(name), paths.fmt).count(), None)
+            except Exception as e:  # noqa: BLE001
+                return (name, "failed", None, error_text(e))
         return run
 
     rows = _parallel(spark, [check(n) for n in names], DEFAULT_PARALLEL_WRITES)
@@ -150,45 +186,39 @@ def run_quality(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFram
     and ``quality_metrics``; each is written under ``gold/<edition>/quality``."""
     from . import quality
 
-    tables = COMPACT_TABLES if ed.name == "compact" else FULL_TABLES
     layers = {
         "bronze": {t: read_table(spark, paths.bronze(t), paths.fmt) for t in SOURCE_TABLES
-                   if _exists(spark, paths.bronze(t))},
-        "silver": {t: read_table(spark, paths.silver(t), paths.fmt) for t in tables},
+                   if path_exists(spark, paths.bronze(t))},
+        "silver": {t: read_table(spark, paths.silver(t), paths.fmt) for t in _tables(ed)},
         "gold": read_star(spark, paths).tables(),
     }
+    reports = report_status(spark, paths, R.report_names(ed.name))
     outputs = {
         "layer_row_counts": quality.layer_row_counts(layers),
-        "report_status": report_status(spark, paths, R.report_names(ed.name)),
+        "report_status": reports,
         "quality_metrics": quality.quality_metrics(read_star(spark, paths)),
     }
-    return _write_all(spark, outputs, paths.quality, paths.fmt)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    from ..sources.io import path_exists
-
-    return path_exists(spark, path)
+    # A report that cannot be read is a failure of the stage, and so of the exit code.
+    broken = reports.filter("status = 'failed'").withColumnRenamed("report", "table_name")
+    return _write_all(spark, outputs, paths.quality, paths.fmt).unionByName(broken)
 
 
 def run_all(spark: SparkSession, base: str, ed: Edition,
             params: dict[str, dict] | None = None, null_value: str | None = None,
-            skew_share: float | None = None, ordered: bool = True) -> DataFrame:
+            ordered: bool = True, fmt: str = "parquet", csv: bool = False) -> DataFrame:
     """Raw CSV under ``base/raw`` -> every layer of one edition.
 
     Returns one status table: (stage, name, status, row_count, error) for
     every ingested table, conformed table, star table, report and quality
     table.
     """
-    from pyspark.sql import functions as F
-
-    paths = LayerPaths(base)
+    paths = LayerPaths(base, fmt)
     check_format(spark, paths.fmt)
     ep = paths.for_edition(ed.name)
     stages = [("ingest", run_ingest(spark, paths, null_value=null_value))]
     stages.append(("conform", run_conform(spark, ep, ed)))
-    stages.append(("model", run_model(spark, ep, ed, skew_share)))
-    stages.append(("reports", run_reports(spark, ep, ed, params=params, ordered=ordered)
+    stages.append(("model", run_model(spark, ep, ed)))
+    stages.append(("reports", run_reports(spark, ep, ed, params=params, ordered=ordered, csv=csv)
                    .withColumnRenamed("report", "table_name")))
     stages.append(("quality", run_quality(spark, ep, ed)))
     out = None

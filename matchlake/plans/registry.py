@@ -10,18 +10,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.clean import (NULL_TOKENS, NULL_TOKENS_STRICT, conform_dates, dedupe,
                                fill_defaults, normalize_nulls)
 from ..operators.combine import merge_join
 from ..session import run_concurrently, scratch_path
 from ..sources import adapter
-from ..sources.io import NULL_MARK, LayerPaths, ingest_all, read_csv, read_table, write_csv, write_table
+from ..sources.io import (NULL_MARK, LayerPaths, csv_rejects, ingest_all, read_csv, read_table, write_csv,
+                          write_table)
 from ..sources.schemas import SCHEMAS, SOURCE_TABLES, SPECS
 from . import jobs, quality
 from . import reports as R
 from .edition import Edition, compact, full
-from .silver import conform_all, conform_table
+from .silver import FULL_TABLES, conform_all, conform_table
 from .star import DIM_TABLES, FACT_TABLES, Star, build_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,8 +37,8 @@ class Layers:
     """Lazy raw / conformed / star plans over one driver folder (each table is
     built on first access, so a query only analyses what it reads)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, skew_share: float | None = None):
-        self.spark, self.sf_dir, self.skew_share = spark, sf_dir, skew_share
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
         self.raw = adapter.raw_tables(spark, sf_dir)
         self._silver: dict[str, object] = {}
 
@@ -46,7 +48,7 @@ class Layers:
         return self._silver[ed.name]
 
     def star(self, ed: Edition) -> Star:
-        return build_star(self.silver(ed), self.raw, ed, self.skew_share)
+        return build_star(self.silver(ed), self.raw, ed)
 
 
 QUERIES: dict[str, Query] = {}
@@ -89,6 +91,21 @@ def ingest_status(spark, sf):
     return ingest_all(spark, paths, null_value=NULL_MARK)
 
 
+@register("csv_ingest_rejects")
+def csv_ingest_rejects(spark, sf):
+    """Appearances exported with decimals in a whole-number column, text in others, a
+    header in another case, a column nobody declared and one column missing."""
+    raw = adapter.appearances(spark, sf).drop("red_cards")
+    odd = raw.withColumnsRenamed({"game_id": "Game_ID"}).withColumns({
+        "goals": F.concat(F.col("goals").cast("string"), F.lit(".0")),
+        "assists": F.when(F.col("player_club_id") % 7 == 0, "n/a").otherwise(F.col("assists").cast("string")),
+        "minutes_played": F.when(F.col("player_club_id") % 11 == 0, "90.5").otherwise(F.col("minutes_played").cast("string")),
+        "note": F.lit("late")})
+    path = scratch_path(spark, "appearances-csv")
+    write_csv(odd, path)
+    return csv_rejects(spark, path, SCHEMAS["appearances"], NULL_MARK)
+
+
 @register("layer_row_counts")
 def layer_row_counts(spark, sf):
     lay = Layers(spark, sf)
@@ -170,6 +187,14 @@ for _t in SOURCE_TABLES:
     register("silver_valuations" if _t == "player_valuations" else f"silver_{_t}")(_silver(_t))
 
 
+def _silver_full(table: str) -> Query:
+    return lambda spark, sf: Layers(spark, sf).silver(full())[table]
+
+
+for _t in FULL_TABLES:
+    register(f"silver_{_t}_full")(_silver_full(_t))
+
+
 # ---------------------------------------------------------------- star tables
 def _star_table(table: str, ed_factory) -> Query:
     def q(spark, sf):
@@ -213,12 +238,22 @@ def q_conform_quality_full(spark, sf):
 
 @register("report_status")
 def q_report_status(spark, sf):
-    """Materialise the full-edition star, write its 15 reports, report which exist."""
+    """The jobs from bronze on, full edition: conform, model, reports; then which reports exist."""
     paths = LayerPaths(scratch_path(spark, "reports")).for_edition("full")
-    lay = Layers(spark, sf)
     ed = full()
-    star = lay.star(ed)
-    jobs.write_star(spark, star, paths)
+    raw = adapter.raw_tables(spark, sf)
+    run_concurrently(spark, [lambda t=t: write_table(raw[t], paths.bronze(t)) for t in (*FULL_TABLES, "club_games")])
+    jobs.run_conform(spark, paths, ed)
+    jobs.run_model(spark, paths, ed)
     names = R.report_names("full")
     jobs.run_reports(spark, paths, ed, names, REPORT_PARAMS)
     return jobs.report_status(spark, paths, names)
+
+
+@register("report_csv_export")
+def q_report_csv_export(spark, sf):
+    """A report exported as headed, quoted CSV and read back."""
+    report = R.REPORTS["report05_compact"](Layers(spark, sf).star(compact()))
+    path = scratch_path(spark, "report-csv")
+    write_csv(report, path)
+    return read_csv(spark, path, report.schema, null_value=NULL_MARK)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.clean import fill_defaults, fill_numeric
+from ..operators.combine import spread_join
 from ..operators.metrics import count_where, ratio, sum_where, top_k
 from .star import Star
 
@@ -48,12 +49,10 @@ def _per_player(star: Star, *aggs, where=None) -> DataFrame:
 def report01_compact(star: Star, ordered: bool = True) -> DataFrame:
     # Distinct (player, club) pairs first: the club join then sees one row per pair.
     pairs = star.fact_appearance.select("player_key", "club_key").distinct()
-    named = pairs.join(star.dim_club.select("club_key", "name"), "club_key")
-    # Distinct names per player as the size of a map-side combined set: one
-    # shuffle after the join, where count_distinct plans a second exchange
-    # (measured at sf0.1: 768k instead of 1.21M shuffled rows).
-    clubs = named.groupBy("player_key").agg(
-        F.size(F.collect_set("name")).cast("bigint").alias("number_of_clubs"))
+    named = spread_join(pairs, star.dim_club.select("club_key", "name"), "club_key")
+    # Distinct names as rows, then a count: no set of a player's clubs in memory.
+    clubs = (named.select("player_key", "name").distinct()
+             .groupBy("player_key").agg(F.count("name").alias("number_of_clubs")))
     return (star.dim_player.join(clubs, "player_key")
             .select("full_name", "country_of_citizenship", "position", "number_of_clubs")
             .transform(_order, ordered, F.desc("number_of_clubs")))
@@ -62,13 +61,13 @@ def report01_compact(star: Star, ordered: bool = True) -> DataFrame:
 @report(1, "full")
 def report01_full(star: Star, ordered: bool = True) -> DataFrame:
     pairs = star.fact_appearance.select("player_key", "club_key").distinct()
-    named = pairs.join(star.dim_club.select("club_key", F.col("name").alias("club_name")),
-                       "club_key", "left")
-    # Distinct club names per player in one aggregate: the set is combined
-    # map-side and holds at most one entry per club name.
-    clubs = (named.groupBy("player_key")
-             .agg(F.array_sort(F.collect_set("club_name")).alias("clubs_played"))
-             .withColumn("number_of_clubs", F.size("clubs_played").cast("bigint")))
+    named = spread_join(pairs, star.dim_club.select("club_key", F.col("name").alias("club_name")),
+                        "club_key", "left")
+    # Distinct names as rows; the count does not need the array, which is a column
+    # of the report and as long as the player's list of clubs.
+    clubs = (named.select("player_key", "club_name").distinct().groupBy("player_key")
+             .agg(F.array_sort(F.collect_list("club_name")).alias("clubs_played"),
+                  F.count("club_name").alias("number_of_clubs")))
     players = star.dim_player.select("player_key", "full_name", "country_of_citizenship",
                                      "position", "date_of_birth", "age", "current_club_name")
     out = players.join(clubs, "player_key", "left")
@@ -215,12 +214,15 @@ def report06_full(star: Star, ordered: bool = True) -> DataFrame:
 # ---------------------------------------------------------------- R07 competition statistics
 @report(7, "compact")
 def report07_compact(star: Star, ordered: bool = True) -> DataFrame:
-    # The competition dimension is tiny, so the join is planned as a broadcast.
-    return (star.fact_game.join(star.dim_competition, "competition_key")
+    # Per competition first: the join and the names see one row per competition.
+    games = star.fact_game.groupBy("competition_key").agg(
+        F.count("game_key").alias("n"), F.sum("total_goals").alias("g"), F.count("total_goals").alias("ng"),
+        F.sum("attendance").alias("a"), F.count("attendance").alias("na"))
+    return (games.join(star.dim_competition, "competition_key")
             .groupBy("name", "type", "country_name")
-            .agg(F.count("game_key").alias("total_games"),
-                 F.avg("total_goals").alias("avg_goals"),
-                 F.avg("attendance").alias("avg_attendance"))
+            .agg(F.sum("n").alias("total_games"),
+                 F.try_divide(F.sum("g"), F.sum("ng")).alias("avg_goals"),
+                 F.try_divide(F.sum("a"), F.sum("na")).alias("avg_attendance"))
             .transform(_order, ordered, F.desc("avg_attendance")))
 
 
@@ -367,15 +369,46 @@ def report11_full(star: Star, ordered: bool = True) -> DataFrame:
 
 
 # ---------------------------------------------------------------- R12 top matches
+MOST_BROADCAST = 10_000  # games whose keys, and the dimension rows for them, are broadcast
+
+
+def _few(top: DataFrame, k: int) -> DataFrame:
+    """The k games, checkpointed (in the shared folder) while they are few, so that
+    the fact is read once however often they are joined."""
+    if k > MOST_BROADCAST:
+        return top
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(top.sparkSession)
+    return top.checkpoint(eager=True)
+
+
+def _needed(dim: DataFrame, key: str, top: DataFrame, k: int, *fact_keys: str) -> DataFrame:
+    """Rows of ``dim`` (unique on ``key``) for the keys of the k games: at most
+    2k, broadcast while k is at most ``MOST_BROADCAST``, else joined as Spark plans it."""
+    keys = None
+    for fk in fact_keys:
+        part = top.select(F.col(fk).alias(key))
+        keys = part if keys is None else keys.unionByName(part)
+    if k > MOST_BROADCAST:
+        return dim.join(keys.distinct(), key, "left_semi")
+    return F.broadcast(dim.join(F.broadcast(keys), key, "left_semi"))
+
+
 @report(12, "compact")
 def report12_compact(star: Star, k: int = 50) -> DataFrame:
-    home = star.dim_club.select(F.col("club_key").alias("home_club_key"),
-                                F.col("name").alias("home_name"))
-    away = star.dim_club.select(F.col("club_key").alias("away_club_key"),
-                                F.col("name").alias("away_name"))
-    out = (star.fact_game.join(home, "home_club_key").join(away, "away_club_key")
-           .select("game_key", "home_name", "away_name", "attendance", "total_goals", "date_key"))
-    return (top_k(out, k, [F.desc("attendance")], tie=["game_key"])
+    # Games whose clubs both exist (key-only joins), the k first of them, and names for those only.
+    keys = star.dim_club.select("club_key")
+    games = star.fact_game.select("game_key", "home_club_key", "away_club_key", "attendance",
+                                  "total_goals", "date_key")
+    for side in ("home_club_key", "away_club_key"):
+        games = spread_join(games, keys.withColumnRenamed("club_key", side), side, "left_semi")
+    top = _few(top_k(games, k, [F.desc("attendance")], tie=["game_key"]), k)
+    names = _needed(star.dim_club.select("club_key", "name"), "club_key", top, k, "home_club_key", "away_club_key")
+    home = names.select(F.col("club_key").alias("home_club_key"), F.col("name").alias("home_name"))
+    away = names.select(F.col("club_key").alias("away_club_key"), F.col("name").alias("away_name"))
+    out = top.join(home, "home_club_key").join(away, "away_club_key")
+    return (out.orderBy(F.desc("attendance"), F.asc("game_key"))
             .select("home_name", "away_name", "attendance", "total_goals", "date_key"))
 
 
@@ -384,36 +417,21 @@ def report12_full(star: Star, k: int = 20) -> DataFrame:
     """Top k attended games with club, competition and date attributes.
 
     Every dimension is unique on its key and joined LEFT, so each game keeps
-    exactly one row with unchanged attendance: the k games are chosen first.
-    They are checkpointed (k rows, in the shared checkpoint folder) so the
-    fact is scanned once.  Each dimension is then filtered to the keys of
-    those games by a semi join against a broadcast of at most 2k keys, so no
-    dimension is shuffled, and the filtered dimensions (at most 2k rows each,
-    keys being unique) are broadcast into the final left joins.
+    exactly one row with unchanged attendance: the k games are chosen first, and
+    each dimension is cut to the keys of those games.
     """
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(star.fact_game.sparkSession)
-    top = top_k(star.fact_game.filter(F.col("attendance").isNotNull()), k,
-                [F.desc("attendance")], tie=["game_key"]).checkpoint(eager=True)
-
-    def needed(dim: DataFrame, key: str, *fact_keys: str) -> DataFrame:
-        keys = None
-        for fk in fact_keys:
-            part = top.select(F.col(fk).alias(key))
-            keys = part if keys is None else keys.unionByName(part)
-        return F.broadcast(dim.join(F.broadcast(keys), key, "left_semi"))
-
-    clubs = needed(star.dim_club.select("club_key", "name"), "club_key",
-                   "home_club_key", "away_club_key")
+    top = _few(top_k(star.fact_game.filter(F.col("attendance").isNotNull()), k,
+                     [F.desc("attendance")], tie=["game_key"]), k)
+    clubs = _needed(star.dim_club.select("club_key", "name"), "club_key", top, k,
+                    "home_club_key", "away_club_key")
     home = clubs.select(F.col("club_key").alias("home_club_key"),
                         F.col("name").alias("home_club_name"))
     away = clubs.select(F.col("club_key").alias("away_club_key"),
                         F.col("name").alias("away_club_name"))
-    comp = needed(star.dim_competition.select("competition_key",
-                                              F.col("name").alias("competition_name")),
-                  "competition_key", "competition_key")
-    dates = needed(star.dim_date.select("date_key", "date"), "date_key", "date_key")
+    comp = _needed(star.dim_competition.select("competition_key",
+                                               F.col("name").alias("competition_name")),
+                   "competition_key", top, k, "competition_key")
+    dates = _needed(star.dim_date.select("date_key", "date"), "date_key", top, k, "date_key")
     out = (top.join(home, "home_club_key", "left").join(away, "away_club_key", "left")
            .join(comp, "competition_key", "left").join(dates, "date_key", "left")
            .select("game_key", "home_club_name", "away_club_name", "home_club_goals",
@@ -451,19 +469,23 @@ def report13_full(star: Star, ordered: bool = True) -> DataFrame:
 # ---------------------------------------------------------------- R14 monthly trends
 @report(14, "compact")
 def report14_compact(star: Star, ordered: bool = True) -> DataFrame:
-    return (star.fact_game.join(star.dim_date, "date_key")
-            .groupBy("month_name", "month").agg(F.sum("total_goals").alias("goals"))
+    # Per day first: the calendar join sees one row per day.
+    days = star.fact_game.groupBy("date_key").agg(F.sum("total_goals").alias("g"))
+    return (days.join(star.dim_date.select("date_key", "month_name", "month"), "date_key")
+            .groupBy("month_name", "month").agg(F.sum("g").alias("goals"))
             .transform(_order, ordered, "month"))
 
 
 @report(14, "full")
 def report14_full(star: Star, ordered: bool = True) -> DataFrame:
-    stats = (star.fact_game.join(star.dim_date, "date_key")
+    days = star.fact_game.groupBy("date_key").agg(
+        F.count("game_key").alias("n"), F.sum("total_goals").alias("g"), F.count("total_goals").alias("ng"),
+        F.sum("attendance").alias("a"), F.count("attendance").alias("na"))
+    stats = (days.join(star.dim_date.select("date_key", "month", "month_name"), "date_key")
              .groupBy("month", "month_name")
-             .agg(F.count("game_key").alias("total_games"),
-                  F.sum("total_goals").alias("total_goals"),
-                  F.avg("total_goals").alias("avg_goals_per_game"),
-                  F.avg("attendance").alias("avg_attendance")))
+             .agg(F.sum("n").alias("total_games"), F.sum("g").alias("total_goals"),
+                  F.try_divide(F.sum("g"), F.sum("ng")).alias("avg_goals_per_game"),
+                  F.try_divide(F.sum("a"), F.sum("na")).alias("avg_attendance")))
     return (stats.withColumns({"avg_goals_per_game": F.round("avg_goals_per_game", 2),
                                "avg_attendance": F.round("avg_attendance", 0)})
             .transform(_order, ordered, "month"))

@@ -122,20 +122,10 @@ def dim_date(games: DataFrame, ed: Edition) -> DataFrame:
     return dates.withColumns(cols)
 
 
-def fact_appearance(appearances: DataFrame, games: DataFrame, ed: Edition,
-                    skew_share: float | None = None) -> DataFrame:
-    """Appearances merged with their game (inner): competition and date fall back to the game's.
-
-    ``skew_share``: game keys estimated to hold at least this share of the
-    appearances are joined through a bounded broadcast (games are unique per
-    key after de-duplication); see ``operators.skew``.
-    """
-    hot = None
-    if skew_share:
-        from ..operators.skew import hot_keys
-
-        hot = hot_keys(appearances, "game_id", share=skew_share)
-    merged = merge_join(appearances, games, "game_id", "inner", hot_keys=hot)
+def fact_appearance(appearances: DataFrame, games: DataFrame, ed: Edition) -> DataFrame:
+    """Appearances merged with their game (inner): competition and date fall back to
+    the game's.  A game with very many appearances is split (``merge_join``)."""
+    merged = merge_join(appearances, games, "game_id", "inner")
     if ed.name == "compact":
         return merged.select(
             F.col("appearance_id").alias("appearance_key"),
@@ -170,7 +160,8 @@ def fact_game(games: DataFrame, ed: Edition) -> DataFrame:
 
 
 def fact_club_perf(club_games: DataFrame, ed: Edition) -> DataFrame:
-    """Club-per-game facts; ``won`` is a boolean read from either is_win encoding."""
+    """Club-per-game facts; ``won``, a column that this library adds, is a boolean read
+    from either is_win encoding, so that every report counts wins alike."""
     win_type = club_games.schema["is_win"].dataType
     cols = [
         F.col("game_id").alias("game_key"),
@@ -187,7 +178,7 @@ def fact_club_perf(club_games: DataFrame, ed: Edition) -> DataFrame:
 
 
 def build_star(silver: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
-               ed: Edition, skew_share: float | None = None) -> Star:
+               ed: Edition) -> Star:
     """All seven gold tables as lazy plans over the conformed tables.
 
     The compact edition reads club games from the conformed layer, the full
@@ -201,8 +192,7 @@ def build_star(silver: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
         dim_club=lambda: dim_club(silver["clubs"], ed),
         dim_competition=lambda: dim_competition(silver["competitions"], ed),
         dim_date=lambda: dim_date(silver["games"], ed),
-        fact_appearance=lambda: fact_appearance(silver["appearances"], silver["games"], ed,
-                                                skew_share),
+        fact_appearance=lambda: fact_appearance(silver["appearances"], silver["games"], ed),
         fact_game=lambda: fact_game(silver["games"], ed),
         fact_club_perf=lambda: fact_club_perf(club_games(), ed),
     )

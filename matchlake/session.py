@@ -79,6 +79,11 @@ def apply_defaults(spark: SparkSession, conf: dict[str, str]) -> list[str]:
     return applied
 
 
+def _on_cluster(sc) -> bool:
+    """Executors outside this process (``local-cluster`` among them)."""
+    return not sc.master.startswith("local") or sc.master.startswith("local-cluster")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
@@ -94,7 +99,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if _on_cluster(sc):
             raise RuntimeError("spark.checkpoint.dir is not set: give the cluster a shared "
                                "folder for checkpoints and scratch tables")
         configured = tempfile.mkdtemp(prefix="matchlake-ckpt-")

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schemas import SCHEMAS, SOURCE_TABLES
+from ..operators.clean import NULL_TOKENS
+from .schemas import SCHEMAS, SOURCE_TABLES, SPECS
 
 STATUS_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -59,6 +60,9 @@ class LayerPaths:
     def report(self, name: str) -> str:
         return self._e("gold", "reports", name)
 
+    def report_csv(self, name: str) -> str:
+        return self._e("gold", "reports_csv", f"{name}.csv")
+
     def quality(self, name: str) -> str:
         return self._e("gold", "quality", name)
 
@@ -68,34 +72,85 @@ class LayerPaths:
 NULL_MARK = "\\N"
 
 
+_INTEGRAL = r"^\s*[+-]?[0-9]+\.0*\s*$"      # an integer written as a decimal: 2.0
+
+
+def _typed(text, kind: T.DataType):
+    """``text`` as ``kind``, NULL where it does not parse."""
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        whole = F.when(text.rlike(_INTEGRAL), F.substring_index(F.trim(text), ".", 1))
+        return F.coalesce(text.try_cast(kind), whole.try_cast(kind))
+    return text.try_cast(kind)
+
+
+def _match(text: DataFrame, schema: T.StructType) -> tuple[list, list[str]]:
+    """(declared field, its column in the file or None) for each field, and the
+    columns nobody declared.  An exact header wins over one that differs in case."""
+    exact, folded = set(text.columns), {}
+    for c in text.columns:
+        folded.setdefault(c.strip().lower(), c)
+    pairs = [(f, f.name if f.name in exact else folded.get(f.name.lower())) for f in schema.fields]
+    used = {c for _, c in pairs if c}
+    return pairs, [c for c in text.columns if c not in used]
+
+
+def _read_text(spark: SparkSession, path: str, null_value: str | None) -> DataFrame:
+    reader = spark.read.option("header", True)
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    return reader.csv(path)
+
+
+def _unparsed(text: DataFrame, pairs: list) -> dict:
+    """Per typed column: whether a cell holds text that is neither a value nor a NULL sentinel."""
+    out = {}
+    for f, c in pairs:
+        if c and not isinstance(f.dataType, T.StringType):
+            cell = text[f"`{c}`"]
+            out[f.name] = cell.isNotNull() & ~F.trim(cell).isin(*NULL_TOKENS) & _typed(cell, f.dataType).isNull()
+    return out
+
+
+def _select(text: DataFrame, pairs: list, extra: list[str]) -> list:
+    cols = [(_typed(text[f"`{c}`"], f.dataType) if c else F.lit(None).cast(f.dataType)).alias(f.name) for f, c in pairs]
+    return cols + [text[f"`{c}`"] for c in extra]
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = False, null_value: str | None = None) -> DataFrame:
     """Headed CSV, typed by a declared schema (inference only on request).
 
-    Columns are matched by header name, not position: the file is read as
-    text and each declared column is ``try_cast`` to its type, so reordered or
-    extra columns are harmless, a missing column is a typed NULL, and
-    unparsable text (``'null'`` in a number column) is NULL rather than a
-    failed job.  ``null_value=None`` reads empty fields as NULL (plain CSV);
-    pass ``NULL_MARK`` for files written by ``write_csv``.
+    Columns are matched by header name without regard to case, not by position:
+    the file is read as text and each declared column is cast to its type
+    (``2.0`` is an integer).  Columns nobody declared follow as text.  A missing
+    column is a typed NULL, and unparsable text (``'n/a'`` in a number column) is
+    NULL rather than a failed job; ``ingest_all`` and ``csv_rejects`` count such
+    cells.  ``null_value=None`` reads empty fields as NULL (plain CSV); pass
+    ``NULL_MARK`` for files written by ``write_csv``.
     """
-    reader = spark.read.option("header", True)
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
     if schema is None or infer:
-        return reader.option("inferSchema", True).csv(path)
-    text = reader.csv(path)
-    present = set(text.columns)
-    cols = []
-    for f in schema.fields:
-        if f.name not in present:
-            c = F.lit(None).cast(f.dataType)
-        elif isinstance(f.dataType, T.StringType):
-            c = text[f.name]
-        else:
-            c = text[f.name].try_cast(f.dataType)
-        cols.append(c.alias(f.name))
-    return text.select(cols)
+        reader = spark.read.option("header", True).option("inferSchema", True)
+        return (reader.option("nullValue", null_value) if null_value is not None else reader).csv(path)
+    text = _read_text(spark, path, null_value)
+    return text.select(_select(text, *_match(text, schema)))
+
+
+def csv_rejects(spark: SparkSession, path: str, schema: T.StructType,
+                null_value: str | None = None) -> DataFrame:
+    """(column_name, kind, row_count, unparsed_cells), one aggregate over the file:
+    a row per typed column (``typed``), per column nobody declared (``extra``) and
+    per declared column that the file lacks (``missing``)."""
+    text = _read_text(spark, path, null_value)
+    pairs, extra = _match(text, schema)
+    bad = _unparsed(text, pairs)
+    names = [(n, "typed") for n in bad] + [(c, "extra") for c in extra] + [(f.name, "missing") for f, c in pairs if not c]
+    counts = text.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(x).alias(f"u{i}") for i, x in enumerate(bad.values())])
+    rows = F.array(*[F.struct(F.lit(n).alias("column_name"), F.lit(kind).alias("kind"), F.col("rows").alias("row_count"),
+                              (F.col(f"u{i}") if kind == "typed" else F.lit(0)).cast("bigint").alias("unparsed_cells"))
+                     for i, (n, kind) in enumerate(names)])
+    return counts.select(F.inline(rows))
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = True,
@@ -108,20 +163,25 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = True,
      .csv(path))
 
 
-_BUILTIN_FORMATS = {"parquet", "orc", "json", "csv", "avro", "text"}
+# Formats that keep a typed table as it is; text formats lose types or names.
+_TYPED_FORMATS = {"parquet", "orc"}
+_TEXT_FORMATS = {"csv", "text", "json", "xml"}
 
 
 def check_format(spark: SparkSession, fmt: str) -> None:
-    """Fail early, with a clear message, when a layer format has no connector
-    on the classpath (e.g. ``delta`` without its package)."""
-    if fmt in _BUILTIN_FORMATS:
+    """Fail early, with a clear message, when a layer format cannot hold a typed
+    table or has no connector on the classpath (``delta`` without its package)."""
+    if fmt in _TYPED_FORMATS:
         return
+    if fmt in _TEXT_FORMATS:
+        raise ValueError(f"{fmt!r} does not keep column types; use 'parquet', 'orc' or a table format")
     import uuid
 
     try:
         spark.read.format(fmt).load(f"/nonexistent-{uuid.uuid4().hex}")
     except Exception as e:  # noqa: BLE001 -- only a missing data source is an error here
-        if "DATA_SOURCE_NOT_FOUND" in str(e):
+        if any(x in str(e) for x in ("DATA_SOURCE_NOT_FOUND", "Failed to find data source", "is built-in but external",
+                                     "AVRO", "Avro")):
             raise ValueError(f"table format {fmt!r} is not available in this Spark session; "
                              f"add its connector or use 'parquet'") from e
 
@@ -144,7 +204,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     partition_by = list(partition_by or [])
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
-    w = df.write.mode("overwrite").format(fmt)
+    # Static: all old partitions go, also in a session set to dynamic overwrite.
+    w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -158,6 +219,11 @@ def write_counted(df: DataFrame, path: str, fmt: str = "parquet",
     return int(obs.get["rows"])
 
 
+def error_text(e: BaseException) -> str:
+    """Type and whole message, for status rows."""
+    return f"{type(e).__name__}: {e}".rstrip(": ")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """File-system metadata check (driver side, no job), for any Hadoop URI."""
     jvm = spark.sparkContext._jvm
@@ -171,6 +237,31 @@ def _is_missing(err: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in cond
 
 
+def ingest_table(spark: SparkSession, paths: LayerPaths, t: str, null_value: str | None = None) -> tuple[int, str | None]:
+    """Raw CSV of one table -> bronze.  Returns the rows written and a note on cells
+    that did not parse (counted while writing), None without any.  A file without
+    one of the table's key columns is an error."""
+    if t not in SCHEMAS:
+        return write_counted(read_csv(spark, paths.raw(t), null_value=null_value), paths.bronze(t), paths.fmt), None
+    text = _read_text(spark, paths.raw(t), null_value)
+    pairs, extra = _match(text, SCHEMAS[t])
+    spec = SPECS.get(t)
+    keys = {*spec.keys, *spec.required} if spec else set()
+    lacking = sorted(f.name for f, c in pairs if not c and f.name in keys)
+    if lacking:
+        raise ValueError(f"key column(s) missing: {', '.join(lacking)}")
+    bad = _unparsed(text, pairs)
+    flags = {f"__unparsed_{n}": x for n, x in bad.items()}
+    # Flags are counted before the projection that drops them.
+    obs = Observation()
+    counted = text.withColumns(flags).observe(obs, F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(F.col(f)).alias(f"u{i}") for i, f in enumerate(flags)])
+    write_table(counted.select(_select(counted, pairs, extra)), paths.bronze(t), paths.fmt)
+    seen = obs.get
+    note = ", ".join(f"{n} {seen[f'u{i}']}" for i, n in enumerate(bad) if seen[f"u{i}"])
+    return int(seen["rows"]), f"unparsed cells: {note}" if note else None
+
+
 def ingest_all(spark: SparkSession, paths: LayerPaths,
                tables: Iterable[str] = SOURCE_TABLES,
                require: Iterable[str] = (), null_value: str | None = None,
@@ -178,7 +269,9 @@ def ingest_all(spark: SparkSession, paths: LayerPaths,
     """Raw CSV -> bronze, table by table; a failing table does not stop the rest.
 
     Returns one status row per table (``ok`` / ``missing`` / ``failed``) with
-    the row count observed while writing.  Tables in ``require`` raise instead.
+    the row count observed while writing; ``error`` holds the whole error, or for
+    an ``ok`` table how many cells of which columns did not parse.  Tables in
+    ``require`` raise instead.
     """
     required = set(require)
 
@@ -186,18 +279,14 @@ def ingest_all(spark: SparkSession, paths: LayerPaths,
         try:
             if t not in required and not path_exists(spark, paths.raw(t)):
                 return (t, "missing", None, "no such file")
-            df = read_csv(spark, paths.raw(t), SCHEMAS.get(t), null_value=null_value)
-            return (t, "ok", write_counted(df, paths.bronze(t), paths.fmt), None)
-        except AnalysisException as e:
-            if t in required:
-                raise
-            if _is_missing(e):
-                return (t, "missing", None, "no such file")
-            return (t, "failed", None, str(e).splitlines()[0][:200])
+            rows, note = ingest_table(spark, paths, t, null_value)
+            return (t, "ok", rows, note)
         except Exception as e:  # noqa: BLE001 -- isolation is the point
             if t in required:
                 raise
-            return (t, "failed", None, str(e).splitlines()[0][:200])
+            if isinstance(e, AnalysisException) and _is_missing(e):
+                return (t, "missing", None, "no such file")
+            return (t, "failed", None, error_text(e))
 
     # Tables are independent: submit their jobs concurrently from driver threads.
     from ..session import run_concurrently

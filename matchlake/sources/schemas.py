@@ -95,7 +95,6 @@ class TableSpec:
     required  -- rows with NULL in any of these are dropped (counted as rejects).
     defaults  -- typed fill values for NULLs.
     dates     -- text/timestamp columns conformed to DATE.
-    dedupe_first -- de-duplicate before dropping rows lacking a key (games).
     """
 
     name: str

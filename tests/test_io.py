@@ -2,8 +2,11 @@
 
 import tempfile
 
+import pytest
+
 from matchlake.session import CLUSTER_CONF, apply_defaults
-from matchlake.sources.io import NULL_MARK, LayerPaths, read_csv, write_counted, write_csv
+from matchlake.sources.io import (NULL_MARK, LayerPaths, check_format, ingest_all, read_csv, read_table, write_counted,
+                                  write_csv, write_table)
 from matchlake.sources.schemas import CLUBS
 
 
@@ -78,9 +81,10 @@ def test_csv_columns_matched_by_name(spark):
     df.coalesce(1).write.option("header", True).csv(path)
     schema = T.StructType([CLUBS["squad_size"], CLUBS["name"], CLUBS["average_age"]])
     got = read_csv(spark, path, schema)
-    assert got.columns == ["squad_size", "name", "average_age"]
-    assert dict(got.dtypes) == {"squad_size": "int", "name": "string", "average_age": "double"}
-    assert sorted(map(tuple, got.collect()), key=repr) == [(7, "b", None), (None, "a", None)]
+    # Declared columns first; a column nobody declared follows as text.
+    assert got.columns == ["squad_size", "name", "average_age", "unrelated"]
+    assert dict(got.dtypes) == {"squad_size": "int", "name": "string", "average_age": "double", "unrelated": "string"}
+    assert sorted(map(tuple, got.collect()), key=repr) == [(7, "b", None, "extra"), (None, "a", None, "x")]
 
 
 def test_cluster_defaults_keep_runtime_settings(spark):
@@ -118,3 +122,64 @@ def test_concurrent_submissions_keep_the_job_group(spark):
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert seen == ["matchlake-test-group"] * 4
+
+
+def _csv(spark, path, header, *rows):
+    spark.createDataFrame([(",".join(r),) for r in (header, *rows)], "line string").coalesce(1).write.text(path)
+
+
+def test_ingest_loses_nothing_in_silence(spark):
+    base = LayerPaths(tempfile.mkdtemp(prefix="matchlake-lossless-"))
+    _csv(spark, base.raw("appearances"), ["appearance_id", "Game_Id", "player_id", "goals", "minutes_played", "kit"],
+         ["a", "7", "1", "2.0", "90.0", "red"], ["b", "8", "2", "2.5", "null", "blue"], ["c", "9", "3", "x", "", ""])
+    status = {r.table_name: r for r in ingest_all(spark, base, ["appearances"]).collect()}["appearances"]
+    assert (status.status, status.row_count, status.error) == ("ok", 3, "unparsed cells: goals 2")
+    rows = {r.appearance_id: r for r in read_table(spark, base.bronze("appearances")).collect()}
+    assert (rows["a"].game_id, rows["a"].goals, rows["a"].minutes_played, rows["a"].kit) == (7, 2, 90, "red")
+    assert rows["b"].goals is None and rows["b"].minutes_played is None and rows["c"].goals is None
+
+
+def test_a_missing_key_column_fails_the_table(spark):
+    base = LayerPaths(tempfile.mkdtemp(prefix="matchlake-nokey-"))
+    _csv(spark, base.raw("games"), ["id", "season"], ["1", "2014"])
+    _csv(spark, base.raw("clubs"), ["club_id", "name"], ["1", "x"])
+    status = {r.table_name: (r.status, r.error) for r in ingest_all(spark, base, ["games", "clubs"]).collect()}
+    assert status["clubs"] == ("ok", None)
+    assert status["games"] == ("failed", "ValueError: key column(s) missing: game_id")
+
+
+def test_an_error_without_text_stays_in_its_table(spark, monkeypatch):
+    from matchlake.sources import io
+
+    base = LayerPaths(tempfile.mkdtemp(prefix="matchlake-empty-error-"))
+    _csv(spark, base.raw("clubs"), ["club_id", "name"], ["1", "x"])
+    _csv(spark, base.raw("games"), ["game_id"], ["1"])
+    write = io.write_table
+
+    def failing(df, path, *rest, **more):
+        if path.endswith("clubs"):
+            raise AssertionError
+        return write(df, path, *rest, **more)
+
+    monkeypatch.setattr(io, "write_table", failing)
+    status = {r.table_name: (r.status, r.error) for r in ingest_all(spark, base, ["games", "clubs"]).collect()}
+    assert status == {"games": ("ok", None), "clubs": ("failed", "AssertionError")}
+    long = "x" * 500 + "\nsecond line"
+    assert io.error_text(ValueError(long)) == f"ValueError: {long}"
+
+
+def test_overwrite_is_full_in_a_dynamic_session(spark):
+    path = tempfile.mkdtemp(prefix="matchlake-static-") + "/t"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string"), path, partition_by=["p"])
+        write_table(spark.createDataFrame([(3, "c")], "v int, p string"), path, partition_by=["p"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.v for r in read_table(spark, path).collect()] == [3]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "text", "avro", "no-such-format"])
+def test_formats_that_cannot_hold_a_table_are_refused(spark, fmt):
+    with pytest.raises(ValueError):
+        check_format(spark, fmt)

@@ -42,7 +42,8 @@ def test_run_all_writes_every_layer(spark, sf_small, raw_base, edition):
     for name in R.report_names(edition):
         written = read_table(spark, ep.report(name))
         direct = QUERIES[name](spark, sf_small)
-        assert sorted(map(tuple, written.select(*direct.columns).collect()), key=repr) == \
+        assert written.dtypes == direct.dtypes, name
+        assert sorted(map(tuple, written.collect()), key=repr) == \
             sorted(map(tuple, direct.collect()), key=repr), name
         assert rows[name].row_count == written.count(), name
 
@@ -104,3 +105,66 @@ def test_command_line_rejects_unknown_format(spark, raw_base):
 
     with pytest.raises(ValueError, match="not available"):
         main(["ingest", "--base", raw_base, "--format", "no_such_format_xyz"], spark=spark)
+
+
+@pytest.mark.parametrize("edition", [compact(), full()], ids=lambda e: e.name)
+def test_written_facts_keep_their_schema(spark, sf_small, raw_base, edition):
+    ep = LayerPaths(raw_base).for_edition(edition.name)
+    jobs.run_conform(spark, ep, edition)
+    jobs.run_model(spark, ep, edition)
+    suffix = "" if edition.name == "compact" else "_full"
+    for t, df in jobs.read_star(spark, ep).tables().items():
+        assert df.dtypes == QUERIES[t + suffix](spark, sf_small).dtypes, t
+
+
+def test_every_layer_has_the_format_asked_for(spark, raw_base):
+    import glob
+    import shutil
+
+    from matchlake.__main__ import main
+
+    base = tempfile.mkdtemp(prefix="matchlake-orc-")
+    shutil.copytree(f"{raw_base}/raw", f"{base}/raw")
+    assert main(["all", "--base", base, "--format", "orc", "--null-marker", "--csv"], spark=spark) == 0
+    assert glob.glob(f"{base}/gold/**/*.orc", recursive=True) and not glob.glob(f"{base}/**/*.parquet", recursive=True)
+    # Every report is exported too, quoted and with its header.
+    assert len(glob.glob(f"{base}/gold/compact/reports_csv/*.csv/part-*")) >= 15
+    lines = open(glob.glob(f"{base}/gold/compact/reports_csv/report05_compact.csv/part-*")[0]).read().splitlines()
+    assert lines[0] in ('"name","total_wins"', "name,total_wins") and lines[1].startswith('"')
+
+
+def test_one_missing_table_does_not_end_a_stage(spark, sf_small):
+    base = LayerPaths(tempfile.mkdtemp(prefix="matchlake-partial-"))
+    for t in ("players", "clubs", "games", "competitions"):
+        write_csv(adapter.BUILDERS[t](spark, sf_small), base.raw(t))
+    jobs.run_ingest(spark, base, null_value=NULL_MARK)
+    ep = base.for_edition("compact")
+    conform = {r.table_name: r for r in jobs.run_conform(spark, ep, compact()).collect()}
+    assert conform["players"].status == "ok" and conform["appearances"].status == "failed"
+    assert "PATH_NOT_FOUND" in conform["appearances"].error
+    model = {r.table_name: r.status for r in jobs.run_model(spark, ep, compact()).collect()}
+    assert model["fact_game"] == "ok" and model["fact_appearance"] == model["fact_club_perf"] == "failed"
+
+
+def test_a_report_that_cannot_be_read_is_a_failure(spark, raw_base, capsys):
+    import glob
+
+    from matchlake.__main__ import main
+
+    ep = LayerPaths(raw_base).for_edition("full")
+    names = R.report_names("full")
+    jobs.run_conform(spark, ep, full())
+    jobs.run_model(spark, ep, full())
+    jobs.run_reports(spark, ep, full(), names)
+    for part in glob.glob(f"{ep.report('report13_full')}/part-*"):
+        with open(part, "wb") as f:
+            f.write(b"not a table")
+    for crc in glob.glob(f"{ep.report('report13_full')}/.part-*.crc"):
+        with open(crc, "wb") as f:
+            f.write(b"")
+    status = {r.report: r for r in jobs.report_status(spark, ep, [*names, "report99_full"]).collect()}
+    assert status["report13_full"].status == "failed" and status["report13_full"].error
+    assert status["report99_full"].status == "missing" and status["report12_full"].status == "present"
+    assert main(["quality", "--base", raw_base, "--edition", "full"], spark=spark) == 1
+    assert "report13_full\tfailed" in capsys.readouterr().out
+    jobs.run_reports(spark, ep, full(), names)

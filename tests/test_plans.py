@@ -1,5 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
+import pytest
+
 from matchlake.plans.registry import QUERIES
 
 
@@ -65,3 +67,39 @@ def test_no_python_udfs_or_cartesian(spark, sf_small):
         p = plan(fn(spark, sf_small))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name,key", [("report14_compact", "date_key"), ("report14_full", "date_key"),
+                                      ("report07_compact", "competition_key")])
+def test_facts_are_aggregated_before_their_dimension_is_joined(spark, sf_small, name, key):
+    plan = _optimized(QUERIES[name](spark, sf_small))
+    lines = plan.splitlines()
+    join = next(i for i, x in enumerate(lines) if "Join Inner" in x)
+    assert any(f"Aggregate [{key}" in x for x in lines[join:]), plan
+
+
+def test_names_are_joined_to_the_top_games_only(spark, sf_small):
+    plan = _optimized(QUERIES["report12_compact"](spark, sf_small))
+    assert "LogicalRDD" in plan and "o_orderkey" not in plan  # the k games were written; no fact below the joins
+
+
+def test_large_k_is_not_broadcast(spark, sf_small):
+    from matchlake.plans import reports as R
+    from matchlake.plans.edition import compact, full
+    from matchlake.plans.registry import Layers
+
+    for name, ed in (("report12_compact", compact()), ("report12_full", full())):
+        star = Layers(spark, sf_small).star(ed)
+        large = R.REPORTS[name](star, k=R.MOST_BROADCAST + 1)
+        assert "broadcast)" not in _optimized(large) and "LogicalRDD" not in _optimized(large)
+        few = [tuple(r) for r in R.REPORTS[name](star, k=7).collect()]
+        assert [tuple(r) for r in large.limit(7).collect()] == few
+
+
+def test_clubs_of_a_player_are_counted_without_a_set(spark, sf_small):
+    assert "collect_" not in _optimized(QUERIES["report01_compact"](spark, sf_small))
+    assert "collect_set" not in _optimized(QUERIES["report01_full"](spark, sf_small))

@@ -173,3 +173,68 @@ def test_club_win_reports_agree(stars):
            for r in R.report15_full(star).collect()}
     assert r05 and r05 == r09
     assert all(r15[k] == v for k, v in r05.items() if k in r15)
+
+
+# The order in which each report without a limit is read out.
+ORDERS = {
+    "report01_compact": [("number_of_clubs", "desc")], "report01_full": [("number_of_clubs", "desc")],
+    "report02_compact": [("intl_apps", "desc")], "report04_compact": [("total_reds", "desc")],
+    "report06_compact": [("total_goals", "desc")], "report06_full": [("goal_contribution", "desc")],
+    "report07_compact": [("avg_attendance", "desc")], "report07_full": [("total_games", "desc")],
+    "report09_full": [("home_win_pct", "desc")], "report10_compact": [("season_year", "asc")],
+    "report10_full": [("season_year", "asc")], "report11_compact": [("avg_goals_per_player", "desc")],
+    "report11_full": [("total_goals", "desc")], "report13_compact": [("player_count", "desc")],
+    "report13_full": [("total_players", "desc")], "report14_compact": [("month", "asc")],
+    "report14_full": [("month", "asc")], "report15_compact": [("squad_size", "desc")],
+    "report15_full": [("foreigners_percentage", "desc")],
+    "report02_full": [("international_appearances", "desc")], "report03_compact": [("total_goals", "desc")],
+    "report03_full": [("total_goals", "desc"), ("goals_per_match", "desc")],
+    "report04_full": [("total_red_cards", "desc"), ("total_yellow_cards", "desc")],
+    "report05_compact": [("total_wins", "desc")],
+    "report05_full": [("total_wins", "desc"), ("win_percentage", "desc"), ("goal_difference", "desc")],
+    "report08_compact": [("total_assists", "desc")], "report08_full": [("total_assists", "desc")],
+    "report12_compact": [("attendance", "desc")], "report12_full": [("attendance", "desc")],
+}
+
+
+def test_every_ordered_report_has_its_order_listed():
+    assert set(R.REPORTS) - set(ORDERS) == {"report09_compact"}  # defined without an order
+    assert {n for n in R.REPORTS if R.takes_order(n)} <= set(ORDERS)
+
+
+@pytest.fixture(scope="module")
+def with_nulls(stars):
+    """Both stars with NULLs in what the reports sort by."""
+    from pyspark.sql import functions as F
+
+    out = {}
+    for name, star in stars.items():
+        tables = star.tables()
+        club, game, perf = tables["dim_club"], tables["fact_game"], tables["fact_club_perf"]
+        odd = F.col("club_key") % 3 == 0
+        tables["dim_club"] = club.withColumns({c: F.when(~odd, F.col(c)) for c in ("squad_size",) if name == "compact"} | {
+            c: F.when(~odd, F.col(c)) for c in ("foreigners_percentage",) if name == "full"})
+        tables["fact_game"] = game.withColumns({
+            "attendance": F.when(F.col("competition_key") != "3", F.col("attendance")),
+            "season_year": F.when(F.col("season_year") != 1997, F.col("season_year"))})
+        tables["fact_club_perf"] = perf.filter((F.col("club_key") % 4 != 0) | (F.col("hosting") == "Away"))
+        out[name] = type(star)(**tables)
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_reports_come_out_in_order(with_nulls, name):
+    """NULLs last when descending, first when ascending, as Spark sorts by default."""
+    params = {"season": 1998} if name.startswith("report03") else {}
+    rows = R.REPORTS[name](with_nulls[name.split("_")[1]], **params).collect()
+
+    def key(row):
+        out = []
+        for column, way in ORDERS[name]:
+            v = row[column]
+            out.append((v is None, 0 if v is None else -v) if way == "desc" else (v is not None, v or 0))
+        return out
+
+    assert len(rows) > 1 and [key(r) for r in rows] == sorted(key(r) for r in rows)
+    if name in ("report07_compact", "report10_compact", "report15_compact", "report15_full", "report09_full"):
+        assert any(r[ORDERS[name][0][0]] is None for r in rows), "the case has a NULL to place"

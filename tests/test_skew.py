@@ -1,151 +1,81 @@
-"""A key holding a third of all rows: results stay exact and AQE splits the join."""
+"""Hot join keys are split by AQE in the registered plans, for every join type."""
 
-from pyspark.sql import functions as F
+import re
+from collections import Counter
 
-from matchlake.operators import dedupe, merge_join
-from matchlake.plans.edition import compact
-from matchlake.plans.silver import conform_table
+import pytest
+
+from matchlake.operators.combine import merge_join, spread_join
+from matchlake.plans import registry
 from matchlake.sources import adapter
-from matchlake.sources.schemas import SPECS
 
-SKEW_CONF = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
+# Small inputs stand for large ones: no broadcasts, many partitions, low thresholds.
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-    "spark.sql.adaptive.coalescePartitions.enabled": "false",
 }
 
 
-def _with_conf(spark, conf):
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
+@pytest.fixture
+def split(spark):
+    before = {k: spark.conf.get(k, None) for k in SPLIT}
+    for k, v in SPLIT.items():
         spark.conf.set(k, v)
-    return old
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
 
+def ran(df) -> tuple[Counter, str]:
+    """Rows, and the plan that ran."""
+    rows = Counter(map(str, df.collect()))
+    return rows, df._jdf.queryExecution().executedPlan().toString()
 
-def _restore(spark, old):
-    for k, v in old.items():
-        if v is None:
-            spark.conf.unset(k)
-        else:
-            spark.conf.set(k, v)
 
+@pytest.fixture
+def hot_games(monkeypatch, sf_small):
+    """A third of all appearances belong to one game."""
+    plain = adapter.BUILDERS["appearances"]
 
-def _hot_appearances(spark, sf):
-    apps = conform_table(adapter.appearances(spark, sf), SPECS["appearances"], compact())
-    # Every third appearance moves to game 0: one key holds a third of the rows.
-    return apps.withColumn("game_id", F.when(F.col("minutes_played") % 3 == 0, F.lit(0))
-                           .otherwise(F.col("game_id")))
+    def appearances(spark, sf):
+        df = plain(spark, sf).repartition(8)  # many map tasks, as a large table has: a partition is split between them
+        game = spark.read.parquet(f"{sf}/orders.parquet").agg({"o_orderkey": "min"}).first()[0]
+        return df.selectExpr(*[f"CASE WHEN player_club_id % 3 = 0 THEN {game} ELSE game_id END AS game_id" if c == "game_id" else c
+                               for c in df.columns])
 
+    monkeypatch.setitem(adapter.BUILDERS, "appearances", appearances)
 
-def test_skewed_join_is_split_and_exact(spark, sf_small):
-    """The materialised path: both join inputs are file scans with many map
-    tasks (as at scale), so AQE splits the hot partition across tasks."""
-    import tempfile
 
-    base = tempfile.mkdtemp(prefix="matchlake-skew-")
-    apps = _hot_appearances(spark, sf_small)
-    games = conform_table(adapter.games(spark, sf_small), SPECS["games"], compact())
-    apps.repartition(16).write.parquet(f"{base}/appearances")
-    games.write.parquet(f"{base}/games")
-    old = _with_conf(spark, SKEW_CONF)
+@pytest.mark.parametrize("name", ["fact_appearance", "fact_appearance_full", "merge_join_inner", "merge_join_left",
+                                  "merge_join_right", "merge_join_full"])
+def test_registered_plans_split_a_hot_game(split, sf_small, hot_games, name):
+    rows, plan = ran(registry.QUERIES[name](split, sf_small))
+    assert re.search(r"SortMergeJoin\(skew=true\)", plan), plan
+    split.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
     try:
-        a = spark.read.parquet(f"{base}/appearances")
-        g = spark.read.parquet(f"{base}/games")
-        joined = merge_join(a, g, "game_id")
-        rows = joined.collect()
-        final = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in final, final
-        assert len(rows) == a.join(g.select("game_id"), "game_id", "left_semi").count()
-        hot = sum(1 for r in rows if r.game_id == 0)
-        assert hot == a.filter("game_id = 0").count()
+        again, plan = ran(registry.QUERIES[name](split, sf_small))
     finally:
-        _restore(spark, old)
-
-
-def test_hot_key_aggregate_and_dedupe_are_combined_map_side(spark, sf_small):
-    apps = _hot_appearances(spark, sf_small)
-    hot = apps.filter("game_id = 0").count()
-    total = apps.count()
-    assert hot * 4 > total  # roughly a third
-    per_game = apps.groupBy("game_id").agg(F.count(F.lit(1)).alias("n"))
-    assert per_game.filter("game_id = 0").first().n == hot
-    # The de-duplication of the hot key keeps one row, chosen by the full row order.
-    kept = dedupe(apps, ["game_id"]).filter("game_id = 0").collect()
-    assert len(kept) == 1
-    first = apps.filter("game_id = 0").orderBy(
-        *[F.col(c).asc_nulls_first() for c in apps.columns if c != "game_id"]).first()
-    assert tuple(kept[0]) == tuple(first)
-
-
-def _rows(df):
-    return sorted(map(tuple, df.collect()), key=repr)
-
-
-def test_hot_keys_found_from_a_sample(spark, sf_small):
-    from matchlake.operators import hot_keys
-
-    apps = _hot_appearances(spark, sf_small)
-    keys = hot_keys(apps, "game_id", share=0.05, fraction=0.5)
-    assert keys == [0]
-
-
-def test_split_hot_join_is_exact_and_broadcasts_only_hot_rows(spark, sf_small):
-    from matchlake.operators import split_hot_join
-
-    apps = _hot_appearances(spark, sf_small)
-    games = conform_table(adapter.games(spark, sf_small), SPECS["games"], compact())
-    small = games.select("game_id", "season", "attendance")
-    for how in ("inner", "left"):
-        split = split_hot_join(apps, small, "game_id", how, hot=[0])
-        assert _rows(split.select(*apps.columns, "season", "attendance")) == \
-            _rows(apps.join(small, "game_id", how).select(*apps.columns, "season", "attendance"))
-    plan = split_hot_join(apps, small, "game_id", "inner", hot=[0]) \
-        ._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Union" in plan
-
-
-def test_split_hot_join_refuses_an_unbounded_broadcast(spark):
-    import pytest
-
-    from matchlake.operators import split_hot_join
-
-    big = spark.range(100).withColumnRenamed("id", "k")
-    small = spark.range(50).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
-    with pytest.raises(ValueError, match="max_hot_rows"):
-        split_hot_join(big, small, "k", hot=[0], max_hot_rows=10)
-
-
-def test_merge_join_with_hot_keys_equals_plain(spark, sf_small):
-    apps = _hot_appearances(spark, sf_small)
-    games = conform_table(adapter.games(spark, sf_small), SPECS["games"], compact())
-    plain = merge_join(apps, games, "game_id")
-    split = merge_join(apps, games, "game_id", hot_keys=[0])
-    assert split.columns == plain.columns
-    assert _rows(split) == _rows(plain)
-    left_plain = merge_join(apps, games, "game_id", "left")
-    left_split = merge_join(apps, games, "game_id", "left", hot_keys=[0, 1])
-    assert _rows(left_split) == _rows(left_plain)
-
-
-def test_star_with_skew_split_equals_default(spark, sf_small):
-    from matchlake.plans.star import fact_appearance
-
-    apps = _hot_appearances(spark, sf_small)
-    games = conform_table(adapter.games(spark, sf_small), SPECS["games"], compact())
-    for ed in (compact(),):
-        assert _rows(fact_appearance(apps, games, ed, skew_share=0.05)) == \
-            _rows(fact_appearance(apps, games, ed))
-
-
-def test_hot_keys_list_is_bounded(spark):
-    from matchlake.operators import hot_keys
-
-    df = spark.range(0, 50_000, 1, 8).select((F.col("id") % 500).alias("k"))
-    # Every key holds 0.2% of rows: with share=0.001 all 500 qualify, but at
-    # most max_keys come back to the driver.
-    assert len(hot_keys(df, "k", share=0.001, fraction=1.0, max_keys=16)) == 16
-    assert hot_keys(df, "k", share=0.5, fraction=1.0) == []
+        split.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+    assert "skew=true" not in plan and again == rows
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+def test_merge_join_equals_a_plain_join(spark, how):
+    left = spark.createDataFrame([(1, "a"), (1, None), (2, "c"), (None, "d"), (5, "e")], "k long, v string")
+    right = spark.createDataFrame([(1, "x", 1), (2, None, 2), (3, "z", 3), (None, "n", 4)], "k long, v string, w long")
+    got = Counter(map(tuple, merge_join(left, right, "k", how).collect()))
+    left.createOrReplaceTempView("l")
+    right.createOrReplaceTempView("r")
+    kind = {"left_semi": "LEFT SEMI", "left_anti": "LEFT ANTI"}.get(how, how.upper())
+    cols = "l.k, l.v" if "left_" in how else "coalesce(l.k, r.k) k, coalesce(l.v, r.v) v, w"
+    want = Counter(map(tuple, spark.sql(f"SELECT {cols} FROM l {kind} JOIN r ON l.k = r.k").collect()))
+    assert got == want
+
+
+def test_keys_of_two_types_still_match(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k int")
+    right = spark.createDataFrame([(1, "a"), (3, "b")], "k long, v string")
+    assert [tuple(r) for r in spread_join(left, right, "k").collect()] == [(1, "a")]
