@@ -54,7 +54,7 @@ MOST_BROADCAST = 1_000_000  # representatives
 BLOCK = 1_000_000           # shingles of a cluster in one task
 MU = 0.0085                 # weighs probes against merging when the long lists are chosen
 
-_KNOWN_WORDS = 200_000      # hashes that a task remembers
+_KNOWN_WORDS = 100_000      # hashes that a task remembers
 
 
 def least_overlap(n):

@@ -4,7 +4,8 @@ Each rule looks at a few counts of a document and votes good (1), bad (-1) or
 abstains (0).  Expectation-maximisation over the counts of vote patterns (at
 most ``3 ** len(RULES)`` of them, whatever the size of the corpus) estimates how
 often each rule votes how on good and on bad documents; a document is kept when
-its posterior probability of being good reaches ``threshold``.
+its posterior probability of being good reaches ``threshold``.  A base rule (fewer than 20
+words, or over 30 % of them in repeated windows) rejects beforehand.
 
 Plan: one scan computes the counts (array functions inside the row; no shuffle)
 and writes them as a scratch table, one aggregate groups the vote patterns, and
@@ -31,17 +32,20 @@ RULES: dict[str, tuple[str, str]] = {
     # rule: (bad when, good when)
     "symbols": ("n_symbols > 0.10 * n_words", "n_symbols <= 0.02 * n_words"),
     "capitals": ("n_upper > 0.40 * n_letters", "n_upper <= 0.15 * n_letters"),
-    "letters": ("n_letters < 0.70 * word_chars", "n_letters >= 0.88 * word_chars"),
-    "lines": ("n_dup_lines > 0.30 * n_lines", "n_dup_lines <= 0.05 * n_lines"),
-    "windows": ("n_repeat_words > 0.20 * n_words", "n_repeat_words <= 0.02 * n_words"),
+    "letters": ("n_letters < 0.60 * word_chars", "n_letters >= 0.88 * word_chars"),
+    "lines": ("n_dup_lines > 0.30 * n_lines and n_dup_lines >= 3", "n_dup_lines <= 0.05 * n_lines"),
+    "windows": ("n_repeat_words > 0.30 * n_words", "n_repeat_words <= 0.02 * n_words"),
+    "echoes": ("n_echoes > 0.25 * n_words", "n_echoes <= 0.05 * n_words"),
     "word_length": ("word_chars > 12 * n_words or word_chars < 2.2 * n_words",
                     "word_chars between 3 * n_words and 9 * n_words"),
     "marks": ("n_marks > 0.20 * n_words", "n_marks <= 0.05 * n_words"),
     "length": ("n_words < 20", "n_words >= 50"),
 }
 
+SHARE_GOOD, RIGHT_GOOD, RIGHT_BAD = 0.85, 0.998, 0.2
+
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "n_lines", "n_letters", "n_upper", "n_marks")
+            "n_lines", "n_letters", "n_upper", "n_marks", "n_echoes")
 
 
 def _repeated(words: str) -> list[dict[str, Column]]:
@@ -82,6 +86,7 @@ def with_features(docs: DataFrame, carry: list[str]) -> DataFrame:
     df = df.withColumns({
         "n_words": F.size("__words").cast("long"),
         "word_chars": length(F.concat_ws("", "__words")),
+        "n_echoes": F.size(F.filter("__words", lambda w, i: w == F.get(F.col("__words"), i - 1))).cast("long"),
         "n_marks": F.size(F.filter("__words", lambda w: ~w.rlike(r"[\p{L}\p{N}]"))).cast("long"),
         "n_symbols": length("__text") - without(r"[#*$%&|<>]+"),
         "n_lines": F.size("__lines").cast("long"),
@@ -101,15 +106,17 @@ def fit(patterns: dict[tuple[int, ...], int], rounds: int = 100) -> tuple[float,
     """Expectation-maximisation over counts of vote patterns.
 
     Returns the log odds of a good document and, for each rule, the log odds that
-    a vote adds; an abstention adds nothing.  The priors (a rule is right
-    four times in five, worth one document in a hundred) fix which class is good."""
+    a vote adds; an abstention adds nothing.  The priors, worth one document in a
+    hundred, fix which class is good: a rule seldom calls a good document bad
+    (1 - ``RIGHT_GOOD``), and catches one bad document in five (``RIGHT_BAD``), since each
+    looks for one kind of junk."""
     total = sum(patterns.values())
     n = len(RULES)
     if not total:
         return 0.0, [{-1: 0.0, 1: 0.0} for _ in range(n)]
     strength = 1 + 0.01 * total
-    share = 0.8                                # of good documents
-    right = [{1: 0.95, -1: 0.4} for _ in range(n)]  # P(vote = class | class, the rule votes)
+    share = SHARE_GOOD
+    right = [{1: RIGHT_GOOD, -1: RIGHT_BAD} for _ in range(n)]  # P(vote = class | class, the rule votes)
     weights: list[dict] = []
     prior = 0.0
     for _ in range(rounds):
@@ -126,9 +133,9 @@ def fit(patterns: dict[tuple[int, ...], int], rounds: int = 100) -> tuple[float,
                     hit[1][1] += p * count
                     hit[-1][0] += (1 - p) * count * (v == -1)
                     hit[-1][1] += (1 - p) * count
-        share = min(0.99, max(0.5, (good_mass + 0.8 * strength) / (total + strength)))
-        right = [{1: min(0.999, max(0.7, (h[1][0] + 0.95 * strength) / (h[1][1] + strength))),
-                  -1: min(0.95, max(0.1, (h[-1][0] + 0.4 * strength) / (h[-1][1] + strength)))} for h in hits]
+        share = min(0.99, max(0.5, (good_mass + SHARE_GOOD * strength) / (total + strength)))
+        right = [{1: min(0.999, max(0.7, (h[1][0] + RIGHT_GOOD * strength) / (h[1][1] + strength))),
+                  -1: min(0.95, max(0.02, (h[-1][0] + RIGHT_BAD * strength) / (h[-1][1] + strength)))} for h in hits]
     return prior, weights
 
 
@@ -136,13 +143,14 @@ def judge(docs: DataFrame, carry: list[str], threshold: float = 0.5) -> DataFram
     """Counts, ``base_failed``, ``posterior`` and ``kept`` of every row, and the
     ``carry`` columns under ``__c<i>``."""
     df = stored(with_features(docs, carry), "quality")
-    voted = df.select(*[v.alias(k) for k, v in votes().items()])
+    base = F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")
+    # Documents that the base rule rejects need no verdict, and would teach the rules its kind of junk only.
+    voted = df.filter(~base).select(*[v.alias(k) for k, v in votes().items()])
     rows = voted.groupBy(*voted.columns).count().collect()  # at most 3 ** rules rows
     prior, weights = fit({tuple(r[:-1]): r["count"] for r in rows})
     logit = F.lit(prior)
     for (_, vote), w in zip(votes().items(), weights):
         logit = logit + F.when(vote == 1, w[1]).when(vote == -1, w[-1]).otherwise(0.0)
-    base = F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")
     posterior = 1 / (1 + F.exp(-logit))
     return df.withColumns({"base_failed": base, "posterior": posterior,
                            "kept": ~base & (posterior >= threshold)})

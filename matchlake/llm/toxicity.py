@@ -3,8 +3,9 @@
 Training (labelled rows that are not held out, at most about ``MOST_LABELS`` of them):
 documents containing a word are counted per class; a word's log-odds has a Dirichlet
 prior centred on that of its leading 6, 5 and 4 letters in turn, so rare forms of a toxic
-stem lean on the stem.  Words score their log-odds where it is positive and a likelihood
-ratio rules out chance among all words tested; all others score a small negative drift.
+stem lean on the stem.  Words score their log-odds where most documents with them are toxic
+and a likelihood ratio rules out chance among all words tested; all others score a small
+negative drift.
 
 Scoring (every document, whole text): a linear scan (Ruzzo and Tompa) finds all
 maximal-scoring segments of the text; extreme-value theory turns a segment's score S in
@@ -38,11 +39,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import ship, stored, text_of
+from .common import SPACES, ship, stored, text_of
 
 MOST_LABELS = 200_000       # labelled rows that the words are learnt from
 PRIOR = 10.0                # documents that the prior of a word is worth
 LEAST_DOCS = 4              # toxic documents that a word must be in
+LEAST_SHARE = 0.5           # of the documents with a scored word, how many are toxic
 CHANCE = 3.0                # how much rarer than one in the words tested chance must be, in nats
 DRIFT = 0.25                # score of other words, negative
 MOST_SCORE = 8.0
@@ -87,7 +89,7 @@ def log_odds(counts: dict[str, tuple[float, float]], total: tuple[float, float])
         clean, toxic = clean + PRIOR * (1 - q), toxic + PRIOR * q
         known[key] = toxic / (clean + toxic)
         score = math.log(toxic / clean) - math.log(total[1] / total[0])
-        if counts[key][1] >= LEAST_DOCS and score > 0 and _surprise(*counts[key], base) > least:
+        if counts[key][1] >= LEAST_DOCS and known[key] >= LEAST_SHARE and _surprise(*counts[key], base) > least:
             out[key] = min(MOST_SCORE, score)
         return known[key]
 
@@ -167,17 +169,38 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == HELD_OUT
 
 
+def _sketches(text: Column) -> list[Column]:
+    """Two independent minima over the hashes of the text's 5-word shingles; near
+    copies share each with the probability of their Jaccard similarity."""
+    def of(words):
+        hashes = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 5, F.lit(0))),
+                             lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(5)]))
+        return F.struct(F.array_min(hashes).alias("a"), F.array_min(F.transform(hashes, lambda h: F.xxhash64(F.lit(2), h))).alias("b"))
+    # The one-element array computes the words once.
+    both = F.get(F.transform(F.array(F.split(F.lower(text), SPACES)), of), F.lit(0))
+    return [both["a"].alias("a"), both["b"].alias("b")]
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic, fold) of at most about ``MOST_LABELS`` labelled rows that are not held out."""
+    """(text, toxic, fold) of at most about ``MOST_LABELS`` labelled rows that are not held
+    out, one of each group of near copies: copies of a toxic document would make
+    all its words look toxic."""
     known = labels.filter(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
     n = known.count()
-    draw = F.pmod(F.xxhash64(F.lit("label"), "__id"), F.lit(1 << 30))
     if n > MOST_LABELS:
+        draw = F.pmod(F.xxhash64(F.lit("label"), "__id"), F.lit(1 << 30))
         known = known.filter(draw < (1 << 30) * MOST_LABELS // n)
     known = known.withColumn("fold", (F.pmod(F.xxhash64(F.lit("fold"), "__id"), F.lit(2))).cast("int"))
-    rows = docs.join(F.broadcast(known), F.col("doc_id") == F.col("__id"))  # bounded by MOST_LABELS
-    return rows.select(text_of().alias("text"), F.col("toxic"), F.col("fold"))
+
+    def with_text(rows):
+        return docs.join(F.broadcast(rows), F.col("doc_id") == F.col("__id"))  # bounded by MOST_LABELS
+
+    seen = with_text(known.select("__id")).select("__id", *_sketches(text_of()))
+    one = seen.groupBy("a").agg(F.min(F.struct("__id", "b")).alias("r")).select("r.*")
+    one = one.groupBy("b").agg(F.min("__id").alias("__id")).select("__id")
+    kept = stored(known.join(one, "__id"), "toxic-labels")
+    return with_text(kept).select(text_of().alias("text"), F.col("toxic"), F.col("fold"))
 
 
 COUNTS = "key string, c0 long, t0 long, c1 long, t1 long"

@@ -65,12 +65,12 @@ def test_expectation_maximisation_finds_a_useless_rule():
     patterns = Counter()
     for _ in range(4000):
         good = rnd.random() < 0.85
-        votes = [(1 if good else -1) if rnd.random() < 0.95 else 0 for _ in range(n - 1)]
+        votes = [(1 if good or rnd.random() < 0.5 else -1) if rnd.random() < 0.95 else 0 for _ in range(n - 1)]
         patterns[(*votes, rnd.choice([1, -1]))] += 1
     prior, weights = quality_rules.fit(patterns)
     assert prior > 1
-    assert all(w[1] > 1 and w[-1] < -1 for w in weights[:-1])
-    assert abs(weights[-1][1]) < abs(weights[0][1])
+    assert all(w[1] > 0.4 and w[-1] < -3 for w in weights[:-1])
+    assert abs(weights[-1][-1]) < 1  # it votes at random
     assert quality_rules.fit({}) == (0.0, [{-1: 0.0, 1: 0.0}] * n)
 
 
