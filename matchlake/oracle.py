@@ -744,8 +744,8 @@ SELECT * REPLACE (TRY_CAST(date AS DATE) AS date) FROM raw_appearances"""
     q["csv_roundtrip"] = "SELECT * FROM raw_players"
     counts = [f"SELECT '{t}' AS table_name, 'ok' AS status, COUNT(*) AS row_count, "
               f"CAST(NULL AS VARCHAR) AS error FROM raw_{t}"
-              for t in LAYERS["raw"] if t != "player_valuations"]
-    counts.append("SELECT 'player_valuations', 'missing', CAST(NULL AS BIGINT), 'no such file'")
+              for t in LAYERS["raw"]]
+    counts.append("SELECT 'transfers', 'missing', CAST(NULL AS BIGINT), 'no such file'")
     q["ingest_status"] = "\nUNION ALL ".join(counts)
     q["csv_ingest_rejects"] = """
 WITH n AS (SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE player_club_id % 7 = 0) AS a,

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from ..operators.clean import (NULL_TOKENS, NULL_TOKENS_STRICT, conform_dates, dedupe,
                                fill_defaults, normalize_nulls)
 from ..operators.combine import merge_join
-from ..session import run_concurrently, scratch_path
+from ..session import remove_scratch, run_concurrently, scratch_path
 from ..sources import adapter
-from ..sources.io import (NULL_MARK, LayerPaths, csv_rejects, ingest_all, read_csv, read_table, write_csv,
-                          write_table)
+from ..sources.io import (NULL_MARK, LayerPaths, csv_rejects, ingest_all, read_csv, read_table, write_counted,
+                          write_csv, write_table)
 from ..sources.schemas import SCHEMAS, SOURCE_TABLES, SPECS
 from . import jobs, quality
 from . import reports as R
@@ -83,12 +83,13 @@ def csv_roundtrip(spark, sf):
 
 @register("ingest_status")
 def ingest_status(spark, sf):
-    """Raw CSVs for seven tables (player_valuations left out on purpose) -> bronze."""
+    """Raw CSVs of all tables, and one name without a file -> bronze."""
     paths = LayerPaths(scratch_path(spark, "ingest"))
-    present = [t for t in SOURCE_TABLES if t != "player_valuations"]
     run_concurrently(spark, [lambda t=t: write_csv(adapter.BUILDERS[t](spark, sf), paths.raw(t))
-                             for t in present])
-    return ingest_all(spark, paths, null_value=NULL_MARK)
+                             for t in SOURCE_TABLES])
+    status = ingest_all(spark, paths, [*SOURCE_TABLES, "transfers"], null_value=NULL_MARK)  # rows on the driver, one per table
+    remove_scratch(spark, paths.base)
+    return status
 
 
 @register("csv_ingest_rejects")
@@ -108,14 +109,20 @@ def csv_ingest_rejects(spark, sf):
 
 @register("layer_row_counts")
 def layer_row_counts(spark, sf):
-    lay = Layers(spark, sf)
+    """Rows of every table of the three layers, counted while the jobs write them."""
+    paths = LayerPaths(scratch_path(spark, "layers")).for_edition("compact")
     ed = compact()
-    star = lay.star(ed)
-    return quality.layer_row_counts({
-        "raw": {t: lay.raw[t] for t in SOURCE_TABLES},
-        "silver": dict(lay.silver(ed).items()),
-        "gold": {t: getattr(star, t) for t in DIM_TABLES + FACT_TABLES},
-    })
+    raw = adapter.raw_tables(spark, sf)
+    layers = {"raw": run_concurrently(spark, [
+        lambda t=t: (t, "ok", write_counted(raw[t], paths.bronze(t)), None) for t in SOURCE_TABLES])}
+    layers["silver"] = jobs.run_conform(spark, paths, ed).collect()  # one row per table
+    layers["gold"] = jobs.run_model(spark, paths, ed).collect()
+    remove_scratch(spark, paths.base)
+    failed = [s for status in layers.values() for s in status if s[1] != "ok"]
+    if failed:
+        raise RuntimeError(f"tables that could not be written: {failed}")
+    rows = [(layer, name, n) for layer, status in layers.items() for name, _, n, _ in status]
+    return spark.createDataFrame(rows, "layer string, table_name string, row_count bigint")
 
 
 # ---------------------------------------------------------------- operators
@@ -247,7 +254,9 @@ def q_report_status(spark, sf):
     jobs.run_model(spark, paths, ed)
     names = R.report_names("full")
     jobs.run_reports(spark, paths, ed, names, REPORT_PARAMS)
-    return jobs.report_status(spark, paths, names)
+    status = jobs.report_status(spark, paths, names)  # rows on the driver, one per report
+    remove_scratch(spark, paths.base)
+    return status
 
 
 @register("report_csv_export")

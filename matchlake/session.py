@@ -115,6 +115,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/matchlake-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``scratch_path`` once no result reads it."""
+    if "/matchlake-" not in path:
+        raise ValueError(f"{path} is no scratch folder")
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 # Thread-local job properties a concurrent submission must carry over, so its
 # jobs stay in the caller's job group (cancellable together), description and
 # scheduler pool.
