@@ -3,9 +3,9 @@
 1. Draw keys (crc32 of the text) with probability in proportion to the size; the
    sample has about ``SAMPLE`` keys whatever the size of the corpus.
 2. Quantiles of the sample are the splitters of ``RANGES`` key ranges.
-3. An aggregate gives the exact bytes of each range.  A range above twice its
-   fair part (a text copied very often, whose key no splitter can divide) is
-   subdivided by a hash of doc_id into as many cells as bring it back to that.
+3. An aggregate gives the exact bytes of each range.  Ranges are subdivided into
+   cells of at most about ``CELL_BYTES``, by a hash of the key; a range above twice its fair
+   part (a text copied very often, whose key no splitter can divide) by a hash of doc_id.
 4. Cells in key order have exact byte and row offsets; a window inside each cell
    gives every row its position in the whole order, and so its shard: the byte
    position of its middle, in 24ths of all bytes.  Equal texts of one cell go
@@ -13,9 +13,9 @@
    larger groups are divided row by row.
 
 The order is (range, cell, crc32, doc_id); ``slot`` is the row's place in it less
-that of the shard's first row.  The largest window is one cell; only the offsets
-of cells (at most ``2 * RANGES``) are summed in one task, and only they and the
-sampled keys reach the driver or a broadcast.  Statistics are taken from a stored
+that of the shard's first row.  The largest window is one cell.  The offsets of cells
+are summed in one task (a row per 128 MB of input, or per range while that is more) and
+broadcast while they are at most ``MOST_BROADCAST``.  Statistics are taken from a stored
 table of keys and sizes; the rows themselves are shuffled once.
 
 Defined cases: null text has no bytes (size 8, crc32 0); repeated rows are rows of
@@ -33,6 +33,8 @@ from .common import stored
 SHARDS = 24
 SAMPLE = 20_000        # expected size of the key sample
 RANGES = 480           # key ranges before subdivision
+CELL_BYTES = 128 << 20  # of a cell, the unit that one task sorts
+MOST_BROADCAST = 50_000  # cells
 GROUP_SHARE = 0.01     # a group of equal texts under this part of a shard stays whole
 ROW_BYTES = 8          # counted for each row besides its text
 CELL = ["__range", "__cell"]
@@ -59,12 +61,16 @@ def with_range(rows: DataFrame, cuts: list[int]) -> DataFrame:
     return rows.withColumn("__range", at)
 
 
-def with_cell(rows: DataFrame, parts: dict[int, int]) -> DataFrame:
-    """``__cell``: which part of an overfull range, else 0."""
-    if not parts:
-        return rows.withColumn("__cell", F.lit(0))
-    n = F.element_at(F.create_map(*[F.lit(x) for item in sorted(parts.items()) for x in item]), F.col("__range"))
-    return rows.withColumn("__cell", F.coalesce(F.pmod(F.xxhash64(F.lit("cell"), "__id"), n).cast("int"), F.lit(0)))
+def with_cell(rows: DataFrame, parts: dict[int, tuple[int, bool]]) -> DataFrame:
+    """``__cell``: which part of a subdivided range, else 0.  ``parts``: for a range the
+    number of its parts, and whether one key makes it overfull."""
+    cell = F.lit(0)
+    for hot, what in ((False, "__crc"), (True, "__id")):
+        n = {r: k for r, (k, h) in parts.items() if h == hot}
+        if n:
+            of = F.element_at(F.create_map(*[F.lit(x) for item in sorted(n.items()) for x in item]), F.col("__range"))
+            cell = F.coalesce(F.pmod(F.xxhash64(F.lit("cell"), what), of).cast("int"), cell)
+    return rows.withColumn("__cell", cell)
 
 
 class Layout:
@@ -78,19 +84,22 @@ class Layout:
         fair = max(1, self.total // RANGES)
         keys = with_range(keys, self.cuts)
         ranges = keys.groupBy("__range").agg(F.sum("__size").alias("b")).collect()  # RANGES at most
-        self.parts = {r["__range"]: -(-r["b"] // fair) for r in ranges if r["b"] > 2 * fair}
+        unit = min(fair, CELL_BYTES)
+        self.parts = {r["__range"]: (-(-r["b"] // (unit if r["b"] > 2 * fair else CELL_BYTES)), r["b"] > 2 * fair)
+                      for r in ranges if r["b"] > min(2 * fair, CELL_BYTES)}
         cells = with_cell(keys, self.parts).groupBy(*CELL).agg(F.sum("__size").alias("__b"), F.count("*").alias("__n"))
         before = W.orderBy(*CELL).rowsBetween(W.unboundedPreceding, -1)
         cells = cells.select(*CELL, F.coalesce(F.sum("__b").over(before), F.lit(0)).alias("__cell_b"),
                              F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__cell_n"))
-        self.cells = stored(cells, "shard-cells")
+        cells = stored(cells, "shard-cells")
+        self.cells = F.broadcast(cells) if cells.count() <= MOST_BROADCAST else cells
         first = self._placed(keys).groupBy("__shard").agg(F.min("__at").alias("at")).collect()  # one row per shard
         self.first = {r["__shard"]: r["at"] for r in first}
 
     def _placed(self, rows: DataFrame) -> DataFrame:
         """Adds ``__shard`` and ``__at``, the place in the whole order."""
         rows = with_cell(with_range(rows, self.cuts), self.parts)
-        rows = rows.join(F.broadcast(self.cells), CELL)  # at most 2 * RANGES rows
+        rows = rows.join(self.cells, CELL)
         order = W.partitionBy(*CELL).orderBy("__crc", "__id", "__size")
         peers = W.partitionBy(*CELL).orderBy("__crc").rangeBetween(W.unboundedPreceding, W.currentRow)
         rows = rows.withColumns({

@@ -197,7 +197,10 @@ def test_components_of_a_long_chain(spark):
 
 # ---------------------------------------------------------------- sharding
 
-def test_shards_are_even_and_gapless(docs):
+@pytest.mark.parametrize("cell,broadcast", [(sharding.CELL_BYTES, sharding.MOST_BROADCAST), (300, 0)])
+def test_shards_are_even_and_gapless(docs, monkeypatch, cell, broadcast):
+    monkeypatch.setattr(sharding, "CELL_BYTES", cell)
+    monkeypatch.setattr(sharding, "MOST_BROADCAST", broadcast)
     got = sharding.report(docs).collect()
     raw = [(r[0], len(text(r).encode()) + 8, zlib.crc32(text(r).encode())) for r in ROWS]
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(raw)
