@@ -10,8 +10,10 @@ pieces between dots, hyphens and digits; it keeps the lexicon below, the pieces
 make up ``SHARE`` of all (so at most ``1 / SHARE``) and are no sequence of lexicon words.
 The classifier's examples are the distinct (host, shape of path) pairs: unwanted if they hold
 an unwanted word of the lexicon, wanted otherwise; the lexicon itself adds ``PRIOR``
-examples per word.  Words below ``SHARE`` of their class count as unknown, so both
-models have a bounded size and are broadcast.
+examples per word.  It has the exact counts of every token in both classes.  Tokens that make
+up ``SHARE`` of either class (at most ``2 / SHARE``) are broadcast with their log odds; the
+log odds of the rest, none of them frequent, are joined to the pages' tokens by a shuffle.
+Pages are scored once per shape and get the score by a join on it.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no rule
 and the verdict of a url without words (allow); repeated rows are judged alike; an empty
@@ -27,7 +29,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from .common import ship, stored
 
@@ -137,11 +138,15 @@ def lexicon_counts() -> dict[str, float]:
 
 # ---------------------------------------------------------------- training
 
+def shape_of(path: Column) -> Column:
+    """The path with digits as 0: it has the same words."""
+    return F.regexp_replace(F.lower(path), r"\d+", "0")
+
+
 def _shapes(pages: DataFrame) -> DataFrame:
-    """Distinct (host, path with digits as 0)."""
+    """Distinct (host, shape)."""
     url = F.col("url").cast("string")
-    rows = pages.select(host_of(url).alias("host"), F.regexp_replace(F.lower(path_of(url)), r"\d+", "0").alias("path"))
-    return stored(rows.filter("host != ''").distinct(), "url-shapes")
+    return stored(pages.select(host_of(url).alias("host"), shape_of(path_of(url)).alias("shape")).distinct(), "url-shapes")
 
 
 def _frequent(counted: DataFrame, key: str, total: float) -> list:
@@ -150,7 +155,7 @@ def _frequent(counted: DataFrame, key: str, total: float) -> list:
 
 
 def train_unigrams(shapes: DataFrame) -> Unigrams:
-    hosts = shapes.select("host").distinct()
+    hosts = shapes.select("host").filter("host != ''").distinct()
     words = hosts.select(F.explode(F.regexp_extract_all(F.lower("host"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
     counted = words.groupBy("w").agg(F.count("*").alias("n"))
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -168,84 +173,88 @@ def is_unwanted(words: list[str]) -> bool:
     return any(w.partition(":")[2] in UNWANTED - WEAK for w in words)
 
 
-def _examples(shared):
+def _worded(shared):
+    """Shapes with their tokens, and whether they are unwanted examples."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unigrams = shared.value
         for part in parts:
-            out: dict[tuple[str, bool], int] = {}
-            for host, path in zip(part["host"], part["path"]):
-                words = tokens(host, path, unigrams)
-                bad = is_unwanted(words)
-                for w in ["", *words]:         # '' counts examples
-                    out[w, bad] = out.get((w, bad), 0) + 1
-            yield pd.DataFrame([(w, b, n) for (w, b), n in out.items()], columns=["w", "bad", "n"])
+            words = [tokens(host, shape, unigrams) for host, shape in zip(part["host"], part["shape"])]
+            yield part.assign(words=words, bad=[is_unwanted(w) for w in words])
     return run
 
 
 class Bayes:
     """Log odds of unwanted over wanted, per token.  Both classes are smoothed with
-    ``SMOOTH`` tokens of the corpus as a whole, so a token that is everywhere says nothing."""
-
-    def __init__(self, counts: dict[bool, dict[str, float]], examples: dict[bool, float]):
-        both: dict[str, float] = {}
-        for c in counts.values():
-            for w, n in c.items():
-                both[w] = both.get(w, 0.0) + n
-        hints = {bad: {f"{side}:{w}" for w in words for side in ("host", "path")}
-                 for bad, words in ((True, UNWANTED), (False, WANTED))}
-        vocabulary = set(both) | hints[True] | hints[False]
-        total = {bad: sum(c.values()) + SMOOTH for bad, c in counts.items()}
-        everything = sum(both.values()) + len(vocabulary)
-
-        def share(w: str, bad: bool) -> float:
-            smooth = SMOOTH * (both.get(w, 0.0) + 1) / everything
-            return (counts[bad].get(w, 0.0) + PRIOR * (w in hints[bad]) + smooth) / total[bad]
-
-        self.log = {w: math.log(share(w, True) / share(w, False)) for w in vocabulary}
-        # The share of unwanted examples says little about a new host: it weighs no more than one word.
-        self.prior = max(-2.0, min(0.0, math.log((examples[True] + 1) / (examples[False] + 1))))
-
-    def score(self, words: list[str]) -> float:
-        return self.prior + sum(self.log.get(w, 0.0) for w in words)
+    ``SMOOTH`` tokens of the corpus as a whole, so a token that is everywhere says nothing.
 
+    ``odds``: the log odds of every token as a stored table; ``frequent``: those that make
+    up ``SHARE`` of a class."""
 
-def train(pages: DataFrame) -> tuple[Unigrams, Bayes]:
+    def __init__(self, worded: DataFrame):
+        spark = worded.sparkSession
+        examples = worded.filter("host != ''")
+        n = {r["bad"]: r["count"] for r in examples.groupBy("bad").count().collect()}
+        # The share of unwanted examples says little about a new host: it weighs no more than one word.
+        self.prior = max(-2.0, min(0.0, math.log((n.get(True, 0) + 1) / (n.get(False, 0) + 1))))
+
+        hints = spark.createDataFrame([(f"{side}:{w}", 0, 0, PRIOR * (w in UNWANTED), PRIOR * (w in WANTED))
+                                       for w in sorted(UNWANTED | WANTED) for side in ("host", "path")],
+                                      "w string, bad long, good long, hint_bad double, hint_good double")
+        seen = examples.select(F.explode("words").alias("w"), F.col("bad").cast("long").alias("bad"))
+        seen = seen.select("w", "bad", (1 - F.col("bad")).alias("good"), F.lit(0.0).alias("hint_bad"), F.lit(0.0).alias("hint_good"))
+        counted = seen.unionByName(hints).groupBy("w").agg(*[F.sum(c).alias(c) for c in hints.columns[1:]])
+        counted = stored(counted, "url-words")
+        words, bad, good = counted.agg(F.count("*"), F.sum("bad"), F.sum("good")).first()
+
+        smooth = F.lit(SMOOTH) * (F.col("bad") + F.col("good") + 1) / F.lit(float(bad + good + words))
+        share = {c: (F.col(c) + F.col(f"hint_{c}") + smooth) / F.lit(total + SMOOTH) for c, total in (("bad", bad), ("good", good))}
+        frequent = (F.col("bad") >= SHARE * bad) & (F.col("bad") > 0) | (F.col("good") >= SHARE * good) & (F.col("good") > 0)
+        self.odds = stored(counted.select("w", F.log(share["bad"] / share["good"]).alias("odds"), frequent.alias("frequent")), "url-odds")
+        self.frequent = {r["w"]: r["odds"] for r in self.odds.filter("frequent").collect()}
+
+
+def train(pages: DataFrame) -> tuple[DataFrame, Bayes]:
+    """The shapes with their tokens, and the log odds of these."""
     spark = pages.sparkSession
     ship(spark)
     shapes = _shapes(pages)
-    unigrams = train_unigrams(shapes)
-    counted = shapes.mapInPandas(_examples(spark.sparkContext.broadcast(unigrams)), "w string, bad boolean, n long")
-    counted = stored(counted.groupBy("w", "bad").agg(F.sum("n").alias("n")), "url-words")
-    totals = counted.groupBy("bad").agg(F.sum(F.when(F.col("w") == "", F.col("n"))).alias("examples"),
-                                        F.sum(F.when(F.col("w") != "", F.col("n")).otherwise(0)).alias("words"))
-    totals = {r["bad"]: r for r in totals.collect()}
-    counts, examples = {True: {}, False: {}}, {True: 0.0, False: 0.0}
-    for bad, r in totals.items():
-        examples[bad] = float(r["examples"] or 0)
-        counts[bad] = {w: float(n) for w, n in _frequent(counted.filter((F.col("bad") == bad) & (F.col("w") != "")), "w", r["words"])}
-    return unigrams, Bayes(counts, examples)
+    unigrams = spark.sparkContext.broadcast(train_unigrams(shapes))
+    worded = stored(shapes.mapInPandas(_worded(unigrams), "host string, shape string, words array<string>, bad boolean"), "url-worded")
+    return worded, Bayes(worded)
 
 
 # ---------------------------------------------------------------- scoring
 
-def scorer(spark, model: tuple[Unigrams, Bayes]):
-    """Function (host, path) -> log odds that the page is unwanted."""
-    shared = spark.sparkContext.broadcast(model)
+def _known(shared):
+    """Shapes with the sum of their frequent tokens, and the list of the others."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        odds = shared.value
+        for part in parts:
+            yield pd.DataFrame({"host": part["host"], "shape": part["shape"],
+                                "known": [math.fsum(odds.get(w, 0.0) for w in words) for words in part["words"]],
+                                "rest": [[w for w in words if w not in odds] for words in part["words"]]})
+    return run
 
-    @F.pandas_udf(DoubleType())
-    def score(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        unigrams, bayes = shared.value
-        for hosts, paths in parts:
-            yield pd.Series([bayes.score(tokens(h, p, unigrams)) for h, p in zip(hosts, paths)], dtype=float)
 
-    return score
+def scores(worded: DataFrame, bayes: Bayes) -> DataFrame:
+    """(host, shape, score): log odds that a page of the shape is unwanted."""
+    key = ["host", "shape"]
+    shared = worded.sparkSession.sparkContext.broadcast(bayes.frequent)
+    known = stored(worded.select(*key, "words").mapInPandas(
+        _known(shared), "host string, shape string, known double, rest array<string>"), "url-known")
+    rest = known.select(*key, F.posexplode("rest").alias("at", "w")).join(bayes.odds.filter("not frequent"), "w")
+    # Added up in the order of the url, so that the sum is the same in every run.
+    rest = rest.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("at", "odds"))).alias("rest"))
+    rest = rest.select(*key, F.aggregate("rest", F.lit(0.0), lambda total, x: total + x["odds"]).alias("more"))
+    score = F.lit(bayes.prior) + F.col("known") + F.coalesce(F.col("more"), F.lit(0.0))
+    return stored(known.join(rest, key, "left").select(*key, score.alias("score")), "url-scores")
 
 
 def report(pages: DataFrame) -> DataFrame:
     url = F.col("url").cast("string")
-    model = train(pages)
+    scored = scores(*train(pages))
     df = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
+    df = df.withColumn("shape", shape_of(F.col("path"))).join(scored, ["host", "shape"], "left")
     rule, verdict = rule_of(F.col("host"), F.col("path"))
-    df = df.withColumn("score", scorer(pages.sparkSession, model)("host", "path"))
     by_words = F.when(F.col("score") > 0, "block").otherwise("allow")
     return df.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_words).alias("verdict"), "score")

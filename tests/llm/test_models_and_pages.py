@@ -1,6 +1,8 @@
 """Toxicity, URL filter and HTML extraction: accuracy, exact pages, awkward rows."""
 
+import math
 import random
+import re
 from collections import Counter
 from zlib import crc32
 
@@ -130,6 +132,32 @@ def test_url_rules_and_words(spark):
     assert url_filter.report(none).count() == 0
 
 
+def test_every_token_keeps_its_counts_in_both_classes(spark):
+    """Over 20,000 tokens a class and unequal classes; the word is rare in both alike."""
+    neutral = ["book", "city", "garden", "house", "music", "paper", "photo", "river", "story", "video"] * 30
+    say = lambda *words: "/" + "/".join(words)
+    good = [("site.example.org", say(*neutral, f"qv{chr(97 + i % 26)}{chr(97 + i // 26)}")) for i in range(400)]
+    bad = [("site-casino.example.org", say(*neutral, f"qv{chr(97 + i % 26)}{chr(97 + i // 26)}")) for i in range(60)]
+    good += [("site.example.org", say("zorvexil", *["city"] * i)) for i in range(5)]
+    bad += [("site-casino.example.org", say("zorvexil"))]
+    df = spark.createDataFrame([(i, f"https://{h}{p}") for i, (h, p) in enumerate(good + bad)], "page_id long, url string")
+    got = {(r.host, r.path): r for r in url_filter.report(df).collect()}
+
+    split = lambda h, p: [f"{side}:{w}" for side, t in (("host", h), ("path", p)) for w in re.findall("[a-z]+", t)]
+    n = [Counter(w for page in pages for w in split(*page)) for pages in (good, bad)]
+    total, both = [sum(c.values()) for c in n], n[0] + n[1]
+    assert min(total) > 15_000 and n[0]["path:zorvexil"] < total[0] / 20_000 and n[1]["path:zorvexil"] > total[1] / 20_000
+    hints = [url_filter.WANTED, url_filter.UNWANTED]
+    size = len(set(both) | {f"{side}:{w}" for side in ("host", "path") for w in hints[0] | hints[1]})
+
+    def share(w, k):
+        return (n[k][w] + 5 * (w[5:] in hints[k]) + 200 * (both[w] + 1) / (sum(total) + size)) / (total[k] + 200)
+    for page in good + bad:
+        want = math.log((len(bad) + 1) / (len(good) + 1)) + sum(math.log(share(w, 1) / share(w, 0)) for w in split(*page))
+        assert got[page].score == pytest.approx(want, abs=1e-6), page
+    assert got["site.example.org", "/zorvexil"].verdict == "allow"
+
+
 def test_names_are_cut_into_words():
     words = url_filter.Unigrams(url_filter.lexicon_counts())
     assert words.split("cheappills") == ["cheap", "pills"]
