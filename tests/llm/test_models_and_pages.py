@@ -166,6 +166,26 @@ def test_names_are_cut_into_words():
     assert "".join(words.split("qqxzzq")) == "qqxzzq" and words.split("") == []
 
 
+def test_a_host_word_seen_once_is_a_word_at_any_size(spark, monkeypatch):
+    """Over 20,000 pieces of hosts, so that one piece is below ``SHARE``."""
+    name = lambda i: "qv" + "".join(chr(98 + i // 20 ** k % 20) for k in range(4))
+    hosts = [f"{name(3 * i)}.{name(3 * i + 1)}.{name(3 * i + 2)}.org" for i in range(7500)] + ["pharmaxyl.example.org"]
+    df = spark.createDataFrame([(i, f"https://{h}/p") for i, h in enumerate(hosts)], "page_id long, url string")
+    counts = Counter(p for h in hosts for p in h.split("."))
+    counts = Counter(url_filter.lexicon_counts()) + Counter({w: n for w, n in counts.items()})
+    model = url_filter.Unigrams(counts)
+    want = sorted([f"host:{w}" for p in h.split(".") for w in model.split(p)] + ["path:p"] for h in hosts)
+    assert ["host:pharmaxyl", "host:example", "host:org", "path:p"] in want
+    assert sorted(r.words for r in url_filter.train(df)[0].collect()) == want
+    assert not [r.host for r in url_filter.report(df).collect() if r.verdict == "block"]
+
+    few = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id long, url string")
+    shared = sorted(map(str, url_filter.report(few).collect()))
+    monkeypatch.setattr(url_filter, "SHARE", 1.0)    # nothing is frequent: all is joined
+    joined = url_filter.report(few).collect()
+    assert [re.sub("score=.*", "", x) for x in sorted(map(str, joined))] == [re.sub("score=.*", "", x) for x in shared]
+
+
 # ---------------------------------------------------------------- HTML
 
 ARTICLE = ["The river and the town", "The water of the river is low in the summer and the boats of the town are on the sand, "
