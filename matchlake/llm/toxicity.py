@@ -32,6 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import SPACES, ship, stored, text_of
+from .common import ship, stored, text_of
 
 MOST_LABELS = 200_000       # labelled rows that the words are learnt from
 PRIOR = 10.0                # documents that the prior of a word is worth
@@ -49,10 +50,13 @@ CHANCE = 3.0                # how much rarer than one in the words tested chance
 DRIFT = 0.25                # score of other words, negative
 MOST_SCORE = 8.0
 THRESHOLD = 0.3             # of ``predicted``
+NEAR = 0.75                 # Jaccard similarity of near copies
+BANDS, BAND = 10, 4         # min-hashes: rows with NEAR in common share a band in 98 of 100 cases
 HELD_OUT = 2                # crc32(doc_id as text) mod 4
 
 _WORD = re.compile(r"[^\W\d_]+")
 _STEMS = (6, 5, 4)
+_ODD = np.random.default_rng(5).integers(1 << 62, size=BANDS * BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def words_of(text: str) -> list[str]:
@@ -169,22 +173,75 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == HELD_OUT
 
 
-def _sketches(text: Column) -> list[Column]:
-    """Two independent minima over the hashes of the text's 5-word shingles; near
-    copies share each with the probability of their Jaccard similarity."""
-    def of(words):
-        hashes = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 5, F.lit(0))),
-                             lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(5)]))
-        return F.struct(F.array_min(hashes).alias("a"), F.array_min(F.transform(hashes, lambda h: F.xxhash64(F.lit(2), h))).alias("b"))
-    # The one-element array computes the words once.
-    both = F.get(F.transform(F.array(F.split(F.lower(text), SPACES)), of), F.lit(0))
-    return [both["a"].alias("a"), both["b"].alias("b")]
+def shingles_of(text: str) -> np.ndarray:
+    """Hashes of the distinct runs of five words; a shorter text is one run."""
+    words = text.lower().split()
+    hashes = np.array([int.from_bytes(blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+                       for w in words] or [0], np.uint64)
+    n = max(len(hashes) - 4, 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(min(5, len(hashes))):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + n]
+        out ^= out >> np.uint64(29)
+    return np.unique(out)
+
+
+def sketch_of(shingles: np.ndarray) -> np.ndarray:
+    """Minima of the shingles under ``BANDS * BAND`` hash functions."""
+    out = np.empty(BANDS * BAND, np.int64)
+    for k, odd in enumerate(_ODD):
+        mixed = (shingles ^ (odd >> np.uint64(7))) * odd
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        out[k] = (mixed ^ (mixed >> np.uint64(30))).min().view(np.int64)
+    return out
+
+
+def _sketched(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in parts:
+        yield pd.DataFrame({"id": part["id"], "h": part["h"], "toxic": part["toxic"],
+                            "sketch": [sketch_of(shingles_of(t)) for t in part["text"]]})
+
+
+def _pairs(group: pd.DataFrame) -> pd.DataFrame:
+    """Each row of a band with the row before it, in order of (id, h), whose sketch is most alike."""
+    group = group.sort_values(["id", "h"], ignore_index=True)
+    sketches = np.array(group["sketch"].tolist(), np.int64)
+    first, out = [0], []
+    leaders = np.empty_like(sketches)
+    leaders[0] = sketches[0]
+    for i in range(1, len(group)):
+        alike = (leaders[:len(first)] == sketches[i]).mean(axis=1)
+        j = int(alike.argmax())
+        if alike[j] >= NEAR - 0.2:              # about; the texts decide
+            out.append((i, first[j]))
+        if alike[j] < 0.95:
+            leaders[len(first)] = sketches[i]
+            first.append(i)
+    at, to = [a for a, _ in out], [b for _, b in out]
+    return pd.DataFrame({"id": group["id"].to_numpy()[at], "h": group["h"].to_numpy()[at],
+                         "id2": group["id"].to_numpy()[to], "h2": group["h"].to_numpy()[to]}, dtype="int64")
+
+
+def _near(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pairs whose texts have a Jaccard similarity of at least ``NEAR``."""
+    for part in parts:
+        keep = []
+        for one, two in zip(part["text"], part["text2"]):
+            a, b = shingles_of(one), shingles_of(two)
+            same = len(np.intersect1d(a, b, assume_unique=True))
+            keep.append(same >= NEAR * (len(a) + len(b) - same))
+        yield part.loc[keep, ["id", "h"]]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic, fold) of at most about ``MOST_LABELS`` labelled rows that are not held
-    out, one of each group of near copies: copies of a toxic document would make
-    all its words look toxic."""
+    out, without near copies of rows with the same label: copies of a toxic document would
+    make all its words look toxic.
+
+    A row goes if an earlier one, in order of the id, has its label and shares ``NEAR`` of
+    their 5-word shingles.  Rows with a band of min-hashes in common are compared by
+    their sketches, the most alike pair of a row and a band by the texts."""
+    ship(docs.sparkSession)
     known = labels.filter(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
     n = known.count()
@@ -192,15 +249,31 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         draw = F.pmod(F.xxhash64(F.lit("label"), "__id"), F.lit(1 << 30))
         known = known.filter(draw < (1 << 30) * MOST_LABELS // n)
     known = known.withColumn("fold", (F.pmod(F.xxhash64(F.lit("fold"), "__id"), F.lit(2))).cast("int"))
-
-    def with_text(rows):
-        return docs.join(F.broadcast(rows), F.col("doc_id") == F.col("__id"))  # bounded by MOST_LABELS
-
-    seen = with_text(known.select("__id")).select("__id", *_sketches(text_of()))
-    one = seen.groupBy("a").agg(F.min(F.struct("__id", "b")).alias("r")).select("r.*")
-    one = one.groupBy("b").agg(F.min("__id").alias("__id")).select("__id")
-    kept = stored(known.join(one, "__id"), "toxic-labels")
-    return with_text(kept).select(text_of().alias("text"), F.col("toxic"), F.col("fold"))
+    own = F.xxhash64(text_of())                 # tells rows of one id apart
+
+    def with_text(rows, *more):
+        return docs.join(F.broadcast(rows), [F.col("doc_id") == F.col("__id"), *more])  # bounded by MOST_LABELS
+
+    rows = with_text(known).select(F.col("__id").cast("long").alias("id"), own.alias("h"), "toxic", text_of().alias("text"))
+    sketches = stored(rows.mapInPandas(_sketched, "id long, h long, toxic int, sketch array<long>"), "toxic-sketches")
+    sketches = sketches.dropDuplicates(["id", "h"])
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+                        lambda i: F.struct(i, F.xxhash64(F.slice("sketch", i * BAND + 1, BAND))))
+    banded = sketches.select("id", "h", (F.col("toxic") > 0).alias("toxic"), F.explode(bands).alias("band"), "sketch")
+    shared = banded.groupBy("toxic", "band").count().filter("count > 1").drop("count")
+    pairs = banded.join(shared, ["toxic", "band"]).groupBy("toxic", "band").applyInPandas(
+        _pairs, "id long, h long, id2 long, h2 long")
+    pairs = stored(pairs.distinct(), "toxic-pairs")
+    named = pairs.select("id", "h").union(pairs.select("id2", "h2")).distinct().select(F.col("id").alias("__id"), F.col("h").alias("__h"))
+    texts = with_text(named, F.col("__h") == own).select(F.col("__id").alias("id"), F.col("__h").alias("h"), text_of().alias("text"))
+    texts = stored(texts.dropDuplicates(["id", "h"]), "toxic-texts")
+    others = texts.select(F.col("id").alias("id2"), F.col("h").alias("h2"), F.col("text").alias("text2"))
+    copies = pairs.join(texts, ["id", "h"]).join(others, ["id2", "h2"]).select("id", "h", "text", "text2")
+    copies = copies.mapInPandas(_near, "id long, h long").distinct()
+    kept = sketches.select("id", "h").join(copies, ["id", "h"], "left_anti")
+    kept = kept.select(F.col("id").alias("__id"), F.col("h").alias("__h"))
+    kept = stored(known.join(kept, "__id"), "toxic-labels")
+    return with_text(kept, F.col("__h") == own).select(text_of().alias("text"), F.col("toxic"), F.col("fold"))
 
 
 COUNTS = "key string, c0 long, t0 long, c1 long, t1 long"
@@ -268,7 +341,6 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows = training_rows(docs, labels)
-    ship(docs.sparkSession)
     counted = rows.mapInPandas(_count, COUNTS).groupBy("key").agg(*[F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")])
     counted = stored(counted, "toxic-words")
     total = counted.filter("key = ''").first()

@@ -70,6 +70,22 @@ def test_scores_without_labels(spark):
     assert toxicity.report(cases.frame(spark, []), none).count() == 0
 
 
+def test_only_near_copies_with_one_label_leave_training(spark):
+    rnd, words = random.Random(9), cases.vocabulary(9, 300)
+    say = lambda n: [rnd.choice(words) for _ in range(n)]
+    passage, base = say(60), say(200)
+    texts = [say(40) + passage for _ in range(300)]              # share a passage, Jaccard about 0.4
+    texts += [base] * 5                                          # copies: one of each label stays
+    for i in range(20):                                          # one word changed: Jaccard about 0.95
+        texts.append([*base[:i * 9], "other", *base[i * 9 + 1:]])
+    rows = [(i, " ".join(t), "a") for i, t in enumerate(texts)]
+    rows = [r for r in rows if crc32(str(r[0]).encode()) % 4 != 2]
+    labels = spark.createDataFrame([(i, int(i % 2)) for i, *_ in rows], "doc_id long, toxic int")
+    kept = toxicity.training_rows(cases.frame(spark, rows), labels).collect()
+    assert Counter(r.text for r in kept if " ".join(passage) in r.text) == Counter(t for i, t, _ in rows if i < 300)
+    assert sorted(r.toxic for r in kept if " ".join(passage) not in r.text) == [0, 1]
+
+
 def brute_segments(scores):
     """All maximal segments by their definition, dividing around the best one."""
     def best(lo, hi):
