@@ -214,8 +214,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
 def write_counted(df: DataFrame, path: str, fmt: str = "parquet",
                   partition_by: Iterable[str] | None = None) -> int:
     """Write and return the row count, measured during the write (no re-scan)."""
+    partition_by = list(partition_by or [])
+    if partition_by:
+        # Counted above the shuffle: a map task that runs again would be added twice.
+        df = df.hint("rebalance", *partition_by)
     obs = Observation()
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt, partition_by)
+    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt, partition_by, rebalance=False)
     return int(obs.get["rows"])
 
 

@@ -183,3 +183,17 @@ def test_overwrite_is_full_in_a_dynamic_session(spark):
 def test_formats_that_cannot_hold_a_table_are_refused(spark, fmt):
     with pytest.raises(ValueError):
         check_format(spark, fmt)
+
+
+def test_partitioned_write_counts_above_the_shuffle(spark, tmp_path, monkeypatch):
+    """Rows observed below a shuffle are counted twice when a map task runs again."""
+    df = spark.range(1000).selectExpr("id", "id % 3 as part")
+    plans, write = [], type(df).write
+
+    def seen(self):
+        plans.append(self._jdf.queryExecution().optimizedPlan().toString())
+        return write.fget(self)
+    monkeypatch.setattr(type(df), "write", property(seen))
+    assert write_counted(df, str(tmp_path / "t"), partition_by=["part"]) == 1000
+    assert plans[0].index("CollectMetrics") < plans[0].index("RebalancePartitions")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
