@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, mixing, ngram_join, quality_rules, secret_scan, sharding, toxicity, url_filter
+from . import chat_format, decontaminate, html_extract, mixing, ngram_join, quality_rules, secret_scan, sharding, spelling_groups, toxicity, url_filter
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_html_blocks": lambda spark, sf: html_extract.report(table(spark, sf, "pages")),
     "op9_chat_examples": lambda spark, sf: chat_format.report(table(spark, sf, "conversations")),
     "op10_quality_votes": lambda spark, sf: quality_rules.report(table(spark, sf, "documents")),
+    "op13_partenum": lambda spark, sf: spelling_groups.report(table(spark, sf, "documents")),
 }
 
 
