@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries of this folder that SQL can express.
 
-Not expressed: op1, op5 and op10 (fitted models), op4 (DuckDB has no crc32), op8
+Not expressed: op1, op5 and op10 (fitted models), op4 (crc32 of whole texts), op8
 (an HTML parser) and the pipeline, which holds op10 and op4; their tests compare
 with brute force in Python.
 """
@@ -137,5 +137,130 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
+OP11 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), usable AS (
+  SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.row AS x, b.row AS y FROM usable a JOIN usable b ON a.row <> b.row AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT row AS x, row AS y FROM v
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), least AS (SELECT reach.x, min(v.vec_id) AS component_id FROM reach JOIN v ON v.row = reach.y GROUP BY reach.x
+), n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN least ON least.x = v.row LEFT JOIN n ON n.x = v.row
+"""
+
+# CRC-32 of the ASCII text {0}, bit by bit.
+_CRC_BITS = """xor(list_reduce(list_prepend(4294967295, list_transform(range(0, 8 * strlen({0})),
+    lambda i: (ascii(substr({0}, (i // 8 + 1)::INT, 1)) >> (i % 8)::INT) & 1)),
+    lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295)"""
+
+# The cheapest edits row by row: of each state (0 nothing yet, 1 s, 2 u, 3 a) the least
+# (cost, audit, repaired); "step" holds what one row may become, after any insertions.
+OP12 = rf"""
+WITH RECURSIVE said AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS named FROM conversations
+), kinds AS (SELECT *, {_CRC_BITS.format("named")} % 20 AS kind FROM said
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core FROM damaged
+), faults AS (
+  SELECT *, left(role, 1) AS initial, CASE WHEN core = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+    WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM ordered
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pos > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+), inserted(a, b, cost, audit, rows) AS (
+  VALUES (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+    (0, 2, 2, 'I', ['user:']), (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 2, 2, 'I', ['user:']),
+    (1, 3, 4, 'II', ['user:', 'assistant:']), (2, 3, 2, 'I', ['assistant:']), (3, 2, 2, 'I', ['user:'])
+), became(b, initial, c, letter, cost) AS (
+  VALUES (0, 's', 1, 'K', 0), (0, 'u', 2, 'K', 0), (1, 'u', 2, 'K', 0), (3, 'u', 2, 'K', 0), (2, 'a', 3, 'K', 0),
+    (0, NULL, 2, 'R', 2), (1, NULL, 2, 'R', 2), (3, NULL, 2, 'R', 2), (2, NULL, 3, 'R', 2),
+    (0, NULL, 0, 'D', 3), (1, NULL, 1, 'D', 3), (2, NULL, 2, 'D', 3), (3, NULL, 3, 'D', 3)
+), step AS (
+  SELECT f.conv_id, f.pos, i.a, w.c, min({{'cost': i.cost + w.cost + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 1 ELSE 0 END,
+    'audit': i.audit || letter, 'rows': i.rows || CASE letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [role || ':' || text]
+      ELSE [CASE w.b WHEN 2 THEN 'assistant:' ELSE 'user:' END || text] END}}) AS way
+  FROM faults f JOIN became w ON (w.initial IS NULL OR w.initial = f.initial)
+    AND (letter = 'D' OR fault NOT IN ('blank', 'duplicate'))
+  JOIN inserted i ON i.b = w.b GROUP BY f.conv_id, f.pos, i.a, w.c
+), path AS (
+  SELECT conv_id, 0::BIGINT AS pos, 0 AS state, {{'cost': 0, 'audit': '', 'rows': []::VARCHAR[]}} AS way FROM counts
+  UNION ALL
+  SELECT path.conv_id, path.pos + 1, step.c, min({{'cost': path.way.cost + step.way.cost,
+    'audit': path.way.audit || step.way.audit, 'rows': path.way.rows || step.way.rows}})
+  FROM path JOIN step ON step.conv_id IS NOT DISTINCT FROM path.conv_id AND step.pos = path.pos + 1 AND step.a = path.state
+  GROUP BY path.conv_id, path.pos, step.c
+), ended AS (
+  SELECT c.*, min({{'cost': path.way.cost + i.cost, 'audit': path.way.audit || i.audit, 'rows': path.way.rows || i.rows}}) AS way
+  FROM counts c JOIN path ON path.conv_id IS NOT DISTINCT FROM c.conv_id AND path.pos = c.n
+  JOIN inserted i ON i.a = path.state AND i.b IN (0, 3) GROUP BY ALL
+), ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(way.cost, 0)::BIGINT AS cost,
+  coalesce(way.audit, '') AS audit, sha256(coalesce(array_to_string(way.rows, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+# CRC-32 byte by byte with its table; the near words by what is left of them without one letter.
+OP13 = rf"""
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i, range(0, 8)),
+    lambda c, b: xor(c >> 1, (c & 1) * 3988292384))) AS tab
+), runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), counted AS (
+  SELECT id, translate(run, '{UPPER}', '{LOWER}') AS run, count(*) AS n FROM runs GROUP BY ALL HAVING length(translate(run, '{UPPER}', '{LOWER}')) >= 5
+), bytes AS (
+  SELECT *, hex(encode(id || ':' || run)) AS hx FROM counted
+), summed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(hx) // 2), lambda i:
+      16 * (strpos('0123456789ABCDEF', hx[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', hx[2 * i + 2]) - 1)),
+    lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM bytes, t
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT) ELSE run END AS word,
+         sum(n)::BIGINT AS n FROM summed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), less AS (
+  SELECT word, n, i, left(word, i::INT) || substr(word, i::INT + 2) AS rest FROM (SELECT *, unnest(range(0, length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT less.word, words.word, words.n FROM less JOIN words ON less.rest = words.word
+  UNION
+  SELECT words.word, less.word, less.n FROM less JOIN words ON less.rest = words.word
+), best AS (
+  SELECT word, count(*) AS n_near, min({{'less': -other_n, 'form': other}}) AS best FROM near GROUP BY word
+), forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -best.less >= 2 * words.n THEN best.form END AS form, CASE WHEN -best.less >= 2 * words.n THEN -best.less END AS form_n
+  FROM words LEFT JOIN best ON best.word = words.word
+), walk AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL
+  SELECT walk.word, forms.word, forms.form FROM walk JOIN forms ON forms.word = walk.next
+)
+SELECT forms.word, forms.form, walk.root, forms.n, forms.n_near::BIGINT AS n_near, forms.form_n::BIGINT AS form_n
+FROM forms JOIN walk ON walk.word = forms.word AND walk.next IS NULL
+"""
+
 ORACLES = {"op2_source_mix": OP2, "op3_ngram_join": OP3, "op6_secret_ledger": OP6, "op7_decontaminate": OP7,
-           "op9_chat_examples": OP9}
+           "op9_chat_examples": OP9, "op11_int8_tiles": OP11, "op12_grammar_repair": OP12, "op13_partenum": OP13}

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, mixing, ngram_join, quality_rules, secret_scan, sharding, spelling_groups, toxicity, url_filter
+from . import (chat_format, conversation_repair, decontaminate, html_extract, mixing, ngram_join, quality_rules, secret_scan,
+               sharding, spelling_groups, toxicity, url_filter, vector_dedup)
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -18,6 +19,8 @@ QUERIES = {
     "op8_html_blocks": lambda spark, sf: html_extract.report(table(spark, sf, "pages")),
     "op9_chat_examples": lambda spark, sf: chat_format.report(table(spark, sf, "conversations")),
     "op10_quality_votes": lambda spark, sf: quality_rules.report(table(spark, sf, "documents")),
+    "op11_int8_tiles": lambda spark, sf: vector_dedup.report(table(spark, sf, "embeddings")),
+    "op12_grammar_repair": lambda spark, sf: conversation_repair.report(table(spark, sf, "conversations")),
     "op13_partenum": lambda spark, sf: spelling_groups.report(table(spark, sf, "documents")),
 }
 

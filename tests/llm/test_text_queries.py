@@ -19,7 +19,7 @@ def test_query_equals_its_sql(spark, sf_small, name):
 def test_names_and_entry():
     import __spark_entry__ as entry
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "ngram_join", "benchmark_decontamination", "source_mix", "sharding"]
