@@ -2,13 +2,24 @@
 
 A page becomes blocks at every block-level tag.  Pass one classifies each block
 by itself: link density, length and stop-word density make it good, bad, near good
-or short; blocks inside containers that never hold the article (navigation,
-footers, asides, forms, and elements whose class or id says advert, menu, comments
+or short; blocks inside containers that do not hold the article (navigation,
+footers, asides, forms, and elements one of whose classes, or whose id, says advert, menu, comments
 and the like) are bad.  Pass two: a near-good block becomes good beside a good one;
 a short block inherits the label of the nearest decided blocks, and a heading that
 of the block it introduces.  Inside ``<article>`` or ``<main>``, undecided blocks lean
 to good, outside to bad.
 
+Containers.  A class counts as a whole (``has-sidebar``, ``no-comments`` or ``tag-search`` say
+nothing), and never on ``html``, ``body``, ``main`` or ``article`` (but for a comment's ``article``).  A
+container that holds ``main`` is none; and where no good text is left outside containers, the outermost one with
+the most good text is excused, unless it is one of comments, and so on inwards.
+
+Languages.  Stop words are those of four languages.  A page whose long blocks hold almost none of
+them is in another one; its blocks are judged by length and link density alone.
+
+Scanning is linear: a tag ends at the first ``>`` outside quoted values; a quote that is never closed is none, and a
+``<`` without such an end is text.
+
 Each row is a job for one task: no shuffle, no state between pages.
 
 Defined cases: null or empty html, and pages without a good block, give the empty
@@ -19,7 +30,9 @@ contents are never text; repeated rows are extracted each by itself.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from html import unescape
 
 import pandas as pd
@@ -49,50 +62,117 @@ BOILERPLATE = frozenset("nav footer aside form menu dialog fieldset".split())
 MAIN = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-# Words that a class, id or role of a boilerplate container holds.
-NAMED = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|copyright|disclaimer|disqus|footer
-|gdpr|legal|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notification|alert|paywall|popup|promo\w*|related|recommend\w*
-|replies|reply|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|subscription|tags|toolbar|widget
-|complementary|contentinfo|siteheader|site-header|page-header|topbar)(?:$|[\s_-]|\d)""", re.I | re.X)
+# Words that begin or end a class, id or role of a boilerplate container.
+NAMES = frozenset("""ad ads banner breadcrumb breadcrumbs cookie cookies consent copyright disclaimer footer gdpr legal login masthead
+menu modal nav navbar navigation newsletter notice notification alert paywall popup related search share sharing sidebar
+signup social subscribe subscription tags toolbar widget complementary contentinfo siteheader topbar""".split())
+STEMS = ("advert", "promo", "recommend", "sponsor")
+COMMENTS = frozenset("comment comments disqus replies reply respond".split())
+WHOLE = frozenset("site-header page-header".split())
+# Classes that begin so tell a state, or a subject, of the page, not what the element is.
+STATES = frozenset("has no not with without is".split())
+SUBJECTS = frozenset("tag category cat type format".split())
 
 # Fixed values of the block rules.
 LINKED = 0.35          # link density above which a block is bad
 SHORT, LONG = 60, 100  # characters
 FEW, MANY = 0.12, 0.22  # stop-word density
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NO_STOPS = 0.03        # stop-word density of a page below which its language is another one
+WIDE = 2               # how many letters a character of an unspaced script counts for
+
+_NAME = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
+_STOP = re.compile(r"[>=]")
+_BLANK = re.compile(r"\s*")
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=$|[\s=/])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 class Block:
-    __slots__ = ("text", "linked", "tag", "bad", "main", "label")
-
-    def __init__(self, text, linked, tag, bad, main):
-        self.text, self.linked, self.tag, self.bad, self.main, self.label = text, linked, tag, bad, main, ""
-
-
-def _named_bad(attributes: str) -> bool:
-    if _HIDDEN.search(attributes):
-        return True
-    return any(NAMED.search(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes))
-
-
-def blocks(page: str) -> list[Block]:
+    __slots__ = ("text", "linked", "tag", "within", "main", "label")
+
+    def __init__(self, text, linked, tag, within, main):
+        self.text, self.linked, self.tag, self.within, self.main, self.label = text, linked, tag, within, main, ""
+
+
+class Container:
+    """An element that does not hold the article, unless it turns out to."""
+    __slots__ = ("outer", "comments", "excused", "bad", "good", "direct")
+
+    def __init__(self, comments, outer):
+        self.outer, self.excused, self.bad = outer, False, True
+        self.comments = comments or (outer is not None and outer.comments)
+        self.good, self.direct = 0, False      # good text within; some of it in no further container
+
+
+def _named(attributes: str, among: frozenset, silent: frozenset, stems: tuple = ()) -> bool:
+    """Whether a class, the id or the role is one of these words, or begins or ends with one."""
+    for m in _ATTRIBUTE.finditer(attributes):
+        for name in (m[2] or m[3] or m[4] or "").lower().split():
+            parts = [x for x in re.split(r"[_-]+", name) if x]
+            if name in WHOLE and stems:
+                return True
+            if not parts or len(parts) > 1 and parts[0] in silent:
+                continue
+            ends = {parts[0].rstrip("0123456789"), parts[-1].rstrip("0123456789")} | (
+                {parts[-2]} if len(parts) > 1 and parts[-1].isdigit() else set())
+            if ends & among or any(x.startswith(stem) for x in ends for stem in stems):
+                return True
+    return False
+
+
+class _Tags:
+    """Finds where tags end, in time linear in the page however it is broken: nothing is looked for
+    again that an earlier search, for the same characters or from the same place, has answered."""
+
+    def __init__(self, page: str):
+        self.page, self.missing, self.dead = page, set(), set()
+        self.asked, self.stop = 0, -1          # the first > or = from ``asked`` on
+
+    def _next(self, at: int) -> int:
+        if not self.asked <= at <= self.stop:
+            m = _STOP.search(self.page, at)
+            self.asked, self.stop = at, m.start() if m else len(self.page)
+        return self.stop
+
+    def end(self, at: int) -> int:
+        """The index after the ``>`` that ends the tag whose name ends at ``at``; -1 without one."""
+        page, passed = self.page, []
+        while (stop := self._next(at)) < len(page) and stop not in self.dead:
+            if page[stop] == ">":
+                return stop + 1
+            passed.append(stop)
+            at = _BLANK.match(page, stop + 1).end()
+            quote = page[at:at + 1]
+            if quote in ("'", '"') and quote not in self.missing:
+                close = page.find(quote, at + 1)
+                if close < 0:
+                    self.missing.add(quote)
+                else:
+                    at = close + 1
+        self.dead.update(passed)               # from there, no tag ends
+        return -1
+
+
+def blocks(page: str) -> tuple[list[Block], list[Container]]:
+    """The blocks of a page, and its containers, outer ones before inner ones."""
     out: list[Block] = []
-    stack: list[tuple[str, bool]] = []         # open elements that matter; is it a bad container
+    every: list[Container] = []
+    stack: list[tuple[str, Container | None]] = []  # open elements, and the container if it is one
+    opened: Counter = Counter()
+    containers: list[Container] = []           # those that are open, outermost first
     text: list[str] = []
-    linked = links = bad = main = 0
-    tag, at = "", 0
+    linked = links = main = 0
+    tag, at, tags, unended = "", 0, _Tags(page), set()
 
     def flush():
         nonlocal linked
         if text:
             words = " ".join(unescape("".join(text)).split())
             if words:
-                out.append(Block(words, linked, tag, bad > 0, main > 0))
+                out.append(Block(words, linked, tag, containers[-1] if containers else None, main > 0))
             text.clear()
         linked = 0
 
@@ -103,20 +183,48 @@ def blocks(page: str) -> list[Block]:
             if links:
                 linked += len(" ".join(raw.split()))
 
-    while at < len(page):
-        m = _TOKEN.search(page, at)
-        if not m:
-            add(page[at:])
-            break
-        add(page[at:m.start()])
-        at = m.end()
-        if m[2] is None:
-            continue                           # comment, doctype, CDATA
-        name, closing, attributes = m[2].lower(), bool(m[1]), m[3]
+    def pop() -> str:
+        nonlocal main
+        name, container = stack.pop()
+        opened[name] -= 1
+        if container:
+            containers.pop()
+        main -= name in MAIN
+        return name
+
+    def upto(mark: str, begin: int) -> int:
+        end = page.find(mark, begin)
+        return len(page) if end < 0 else end + len(mark)
+
+    begin = 0                                  # of the text that is not added yet
+    while (at := page.find("<", at)) >= 0:
+        start = at
+        if page.startswith("<!--", at):
+            add(page[begin:start])
+            at = begin = upto("-->", at + 4)
+            continue
+        if page.startswith("<![CDATA[", at):
+            add(page[begin:start])
+            at = begin = upto("]]>", at)
+            continue
+        if page.startswith(("<!", "<?"), at):
+            add(page[begin:start])
+            at = begin = upto(">", at)
+            continue
+        m = _NAME.match(page, at + 1)
+        end = tags.end(m.end()) if m else -1
+        if end < 0:
+            at += 1
+            continue                           # a < that is text
+        add(page[begin:start])
+        name, closing, attributes = m[2].lower(), bool(m[1]), page[m.end():end - 1]
+        at = begin = end
         if name in SKIPPED and not closing:
-            if not attributes.rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = end.end() if end else (len(page) if name in ("script", "style") else at)
+            if not attributes.rstrip().endswith("/") and name not in unended:
+                over = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                if not over:
+                    unended.add(name)
+                at = begin = over.end() if over else (len(page) if name in ("script", "style") else at)
             continue
         if name == "br":
             text.append("\n")
@@ -129,49 +237,105 @@ def blocks(page: str) -> list[Block]:
         flush()
         links = 0
         if closing:
-            names = [n for n, _ in stack]
-            if name in names:
-                while True:
-                    n, was_bad = stack.pop()
-                    bad -= was_bad
-                    main -= n in MAIN
-                    if n == name:
-                        break
+            if opened[name]:
+                while pop() != name:
+                    pass
             tag = stack[-1][0] if stack else ""
         else:
             tag = name
             if name in ("p", *HEADINGS):       # ends an open paragraph or heading
                 while stack and stack[-1][0] in ("p", *HEADINGS):
-                    bad -= stack.pop()[1]
+                    pop()
             if name not in VOID:
-                is_bad = name in BOILERPLATE or _named_bad(attributes) or (name == "header" and not main)
-                stack.append((name, is_bad))
-                bad += is_bad
+                comments = name not in ("html", "body", "main") and _named(attributes, COMMENTS, STATES)
+                other = name in BOILERPLATE or _HIDDEN.search(attributes) or (name == "header" and not main) or (
+                    name not in ("html", "body", *MAIN) and _named(attributes, NAMES, STATES | SUBJECTS, STEMS))
+                container = None
+                if comments or other:
+                    container = Container(comments, containers[-1] if containers else None)
+                    containers.append(container)
+                    every.append(container)
+                if name == "main":
+                    for c in containers:
+                        c.excused = not c.comments
+                stack.append((name, container))
+                opened[name] += 1
                 main += name in MAIN
+    add(page[begin:])
     flush()
-    return out
-
-
-def first_pass(block: Block) -> str:
-    words = _WORD.findall(block.text)
-    density = sum(w.lower() in STOP_WORDS for w in words) / max(1, len(words))
-    if block.bad or block.linked > LINKED * len(block.text) or (not block.main and block.text.startswith(("©", "Copyright"))):
+    return out, every
+
+
+def _excuse(found: list[Block], alone: list[str], containers: list[Container]) -> None:
+    """Where no good text is outside containers, the outermost one with the most of it holds the
+    article; if that has good text in further containers only, so does one of those."""
+    for block, label in zip(found, alone):
+        if label == "good":
+            if not block.within:
+                return
+            block.within.good += len(block.text)
+            block.within.direct = True
+    inner: dict[Container | None, list[Container]] = {}
+    for c in reversed(containers):
+        if c.outer:
+            c.outer.good += c.good
+        inner.setdefault(c.outer, []).append(c)
+    open_ = [c for c in inner.get(None, []) if c.good and not c.comments]
+    queue = [(not c.excused, -c.good, k, c) for k, c in enumerate(open_)]
+    heapify(queue)
+    number = len(queue)
+    while queue:
+        *_, c = heappop(queue)
+        c.excused = True
+        if c.direct:
+            return
+        for child in inner.get(c, []):
+            if child.good and not child.comments:
+                number += 1
+                heappush(queue, (not child.excused, -child.good, number, child))
+
+
+def _density(text: str) -> tuple[int, int]:
+    words = _WORD.findall(text)
+    return sum(w.lower() in STOP_WORDS for w in words), len(words)
+
+
+def _length(text: str) -> int:
+    return len(text) + (WIDE - 1) * len(_UNSPACED.findall(text))
+
+
+def _alone(block: Block, listed: bool) -> str:
+    """The label of a block by itself, wherever it stands."""
+    if block.linked > LINKED * len(block.text) or (not block.main and block.text.startswith(("©", "Copyright"))):
         return "bad"
-    if block.tag in HEADINGS:
-        return "short"
-    if len(block.text) < SHORT:
+    size = _length(block.text)
+    if block.tag in HEADINGS or size < SHORT:
         return "short"
+    if not listed:                             # length and links alone
+        return "good" if size >= LONG or block.main else "near"
+    stops, words = _density(block.text)
+    density = stops / max(1, words)
     if density >= MANY:
-        return "good" if len(block.text) >= LONG or block.main else "near"
+        return "good" if size >= LONG or block.main else "near"
     if density >= FEW:
         return "near"
     return "short" if block.main else "bad"
 
 
-def second_pass(found: list[Block]) -> None:
+def first_pass(found: list[Block], containers: list[Container]) -> list[str]:
+    long = [_density(b.text) for b in found if _length(b.text) >= SHORT]
+    listed = sum(s for s, _ in long) >= NO_STOPS * sum(n for _, n in long)
+    alone = [_alone(b, listed) for b in found]
+    _excuse(found, alone, containers)
+    for c in containers:
+        c.bad = not c.excused or (c.outer is not None and c.outer.bad)
+    return ["bad" if b.within and b.within.bad else label for b, label in zip(found, alone)]
+
+
+def second_pass(found: list[Block], containers: list[Container]) -> None:
     """Undecided blocks take the label of the nearest decided block on their side
     of the article's border; a heading that of the next one."""
-    first = [first_pass(b) for b in found]
+    first = first_pass(found, containers)
 
     def nearest(order) -> list:
         """For each block, (label, index) of the last decided one in ``order`` on its side."""
@@ -202,8 +366,8 @@ def second_pass(found: list[Block]) -> None:
 
 
 def extract(page: str | None) -> str:
-    found = blocks(page or "")
-    second_pass(found)
+    found, containers = blocks(page or "")
+    second_pass(found, containers)
     return " ".join(b.text for b in found if b.label == "good")
 
 

@@ -256,3 +256,62 @@ def test_pages_of_the_test_data_exactly(spark, sf_small):
         inside = re.search(r"<article>(.*)</article>", html_of[r.page_id], re.S)[1]
         blocks = re.split(r"</?(?:h1|p)>|<br>", inside.replace("<b>", "").replace("</b>", ""))
         assert r.text == " ".join(filter(None, (" ".join(html.unescape(b).split()) for b in blocks)))
+
+
+TWO = f"<p>{ARTICLE[1]}</p><p>{ARTICLE[3].replace('&', '&amp;')}</p>"
+SIDE = ("<div class='sidebar'><p>It is at the side of the page and not in the article, as it was for all of the years before.</p></div>"
+        "<div id='comments'><article class='comment'><p>" + "I was there and it was not like that for the most of us. " * 9 + "</p></article></div>")
+
+
+@pytest.mark.parametrize("form", [
+    "<body>{}</body>", "<body class='single has-sidebar'>{}</body>", "<body class='no-comments'><main>{}</main></body>",
+    "<article class='post-12 post type-post category-social tag-search'>{}</article>", "<article class='related-topics-story'>{}</article>",
+    "<body class='page share-enabled'>{}</body>", "<body class='search nav-open'>{}</body>", "<form id='aspnetForm'>{}</form>",
+    "<form id='aspnetForm'><div class='content'>{}</div></form>", "<div class='sidebar-layout'><div>{}</div></div>",
+    "<div class='content has-sidebar'>{}</div>", "<div class='widget'><main>{}</main></div>",
+    "<div id='page'><form><div class='modal'><div>{}</div></div></form></div>"])
+@pytest.mark.parametrize("rest", ["", SIDE])
+def test_names_of_ancestors_do_not_delete_the_article(form, rest):
+    want = f"{ARTICLE[1]} {ARTICLE[3]}"
+    assert html_extract.extract(page(form.format(TWO + rest), NAV, REST)) == want or form.startswith(("<form", "<div class='sidebar", "<div id"))
+    assert html_extract.extract(page(form.format(TWO + rest))) == want
+
+
+def test_comments_alone_are_no_article():
+    for name in ("comments", "comment-list", "disqus_thread", "post-replies"):
+        assert html_extract.extract(page(f"<div class='{name}'>{TWO}</div>")) == ""
+    assert html_extract.extract(page(f"<div hidden>{TWO}</div><div>{TWO}</div>")) == f"{ARTICLE[1]} {ARTICLE[3]}"
+
+
+@pytest.mark.parametrize("text", [
+    "Вода в реке летом стоит низко, и лодки городка лежат на песке, как это было почти весь год, и никто не ждёт дождя.",
+    "夏天河里的水很低，镇上的船都停在沙滩上，一年中的大部分时间都是这样，没有人指望秋天之前会下雨，老人们坐在桥边谈论着去年的收成。",
+    "Το νερό του ποταμού είναι χαμηλό το καλοκαίρι και οι βάρκες της πόλης είναι πάνω στην άμμο όλο τον χρόνο."])
+def test_languages_without_a_list_are_judged_by_length_and_links(text):
+    title = text[:9].strip()
+    body = f"<div class='content'><h1>{title}</h1><p>{text}</p><p>{text[::-1]}</p></div>"
+    rest = f"<ul><li><a href='/'>{text[:30]}</a></li></ul>", f"<div><a href='/x'>{text}</a></div><div class='site-footer'>{text}</div>"
+    assert html_extract.extract(page(body, *rest)) == f"{title} {text} {text[::-1]}"
+
+
+@pytest.mark.parametrize("piece", [
+    "<a \"", "<a =\"", "<a =\">\" ", "<a ", "<a x='", "<a ='\">", "<div>", "<div class=nav>", "<title>", "<textarea>", "<!--", "<![CDATA[",
+    "<", "</div>", "<p class=\"", "&", "= ", "<form><p>", "<b>", "</p><p>"])
+def test_broken_pages_take_linear_time(piece):
+    import time
+
+    def seconds(n):
+        text = piece * (n // len(piece)) + "x"
+        begin = time.process_time()
+        html_extract.extract(text)
+        return time.process_time() - begin
+
+    assert seconds(1_000_000) < 8               # far below what a square would take
+
+
+def test_tags_end_at_the_first_unquoted_bracket():
+    x = f"<p>{ARTICLE[1]}"
+    assert html_extract.extract(f"<article><div title='a > b' data=\"c > d\">{x}</div></article>") == ARTICLE[1]
+    assert html_extract.extract(f"<article><div title='never closed>{x}</div></article>") == ARTICLE[1]
+    assert html_extract.extract(f"<article><p>1 < 2 and 3 <4 {ARTICLE[1]}</article>") == f"1 < 2 and 3 <4 {ARTICLE[1]}"
+    assert html_extract.extract(f"<article><img alt=x/>{x}<br/>end</article>") == f"{ARTICLE[1]} end"
