@@ -8,6 +8,7 @@ aggregate packs a row into a struct, which Spark runs as a sort aggregate.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,6 +119,34 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
                            for c in df.columns])
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equality of ``keys`` on both sides, where NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"__{k}"]) for k in keys])
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of more than one row, as ``__<key>``: a hash aggregate that reads the keys alone."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
+    return counts.select(*[F.col(k).alias(f"__{k}") for k in keys])
+
+
+def dedupe_sparse(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+    """The rows of ``dedupe``, for tables in which few keys repeat.
+
+    Keys are counted first (a hash aggregate over the keys alone); rows of a key that occurs
+    once pass as they are, without a sort, and without a shuffle where the repeated keys are small enough for
+    a broadcast.  Only rows of repeated keys are compared column by column.  A reader that needs two
+    columns reads two, and all columns of the repeated keys' rows.  The input is scanned three times, so
+    it should be a stored table rather than a long plan."""
+    keys = list(keys)
+    if set(df.columns) == set(keys):
+        return df.dropDuplicates(keys)
+    repeated = repeated_keys(df, keys)
+    alone = df.join(repeated, same_keys(df, repeated, keys), "left_anti")
+    again = df.join(repeated, same_keys(df, repeated, keys), "left_semi")
+    return alone.unionByName(dedupe(again, keys, order_by))
+
+
 def to_date_safe(c: Column, dtype: T.DataType, strict: bool = False) -> Column:
     if isinstance(dtype, (T.DateType,)):
         return c

@@ -47,3 +47,24 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column], tie: Sequence[str] = (
     only those reach the final merge, so no full sort or range shuffle.
     """
     return df.orderBy(*order, *[F.col(t).asc_nulls_last() for t in tie]).limit(k)
+
+
+MOST_BROADCAST = 10_000  # rows of a top-k that are broadcast
+
+
+def top_k_late(stats: DataFrame, dim: DataFrame, key: str, k: int, order: Sequence[Column],
+               columns: Sequence[str]) -> DataFrame:
+    """First ``k`` rows of ``stats`` whose ``key`` (unique on both sides) is in ``dim``, with ``columns`` of either.
+
+    The cut is made on statistics alone: the key is proven to exist by a semi join on ``dim``'s
+    keys, the k rows are taken, and only then are attributes fetched, for those k keys.  While k is at
+    most ``MOST_BROADCAST`` the k rows are broadcast, and the semi join against them goes below
+    whatever builds ``dim`` (its de-duplicating aggregate), so no row of ``dim`` beyond them is
+    shuffled; above that both joins are left to Spark.  Same rows and order as joining all of
+    ``dim`` first and cutting then."""
+    top = top_k(stats.join(dim.select(key), key, "left_semi"), k, order, tie=[key])
+    wanted = dim.select(key, *[c for c in columns if c != key and c not in stats.columns])
+    if k <= MOST_BROADCAST:
+        wanted = wanted.join(F.broadcast(top.select(key)), key, "left_semi")
+        top = F.broadcast(top)
+    return top_k(wanted.join(top, key), k, order, tie=[key]).select(*columns)

@@ -758,6 +758,34 @@ FROM n, (VALUES ('game_id', 'typed'), ('player_id', 'typed'), ('player_club_id',
     for t in ("players", "appearances", "games", "clubs", "competitions", "game_events"):
         q[f"silver_{t}_full"] = f"SELECT * FROM sf_{t}"
     q["layer_row_counts"] = _layer_counts()
+    q["written_row_counts"] = "\nUNION ALL ".join(
+        f"SELECT 'bronze' AS layer, '{t}' AS table_name, COUNT(*) AS row_count FROM raw_{t}" for t in COLS)
+    for name, fact in (("player_totals", "c_fact_appearance"), ("player_totals_full", "f_fact_appearance")):
+        q[name] = f"""
+SELECT player_key, season_year, competition_key, COUNT(*) AS apps, COUNT(game_key) AS games,
+  CAST(SUM(goals) AS BIGINT) AS goals, COUNT(goals) AS n_goals, CAST(SUM(assists) AS BIGINT) AS assists,
+  COUNT(assists) AS n_assists, CAST(SUM(yellow_cards) AS BIGINT) AS yellow_cards,
+  CAST(SUM(red_cards) AS BIGINT) AS red_cards, CAST(SUM(minutes_played) AS BIGINT) AS minutes_played
+FROM {fact} GROUP BY ALL"""
+    q["ingest_rejects"] = r"""
+WITH l AS (
+  SELECT *, CASE WHEN player_club_id % 7 = 0 THEN 'n/a' ELSE assists::VARCHAR END AS odd_assists,
+    CASE WHEN player_club_id % 11 = 0 THEN '90.5' ELSE minutes_played::VARCHAR END AS odd_minutes FROM raw_appearances
+), r AS (
+  SELECT *, array_to_string([coalesce(x, '\N') FOR x IN [appearance_id, game_id::VARCHAR, player_id::VARCHAR, player_club_id::VARCHAR,
+    competition_id, date, goals::VARCHAR, odd_assists, yellow_cards::VARCHAR, odd_minutes]], ',') AS line FROM l
+)
+SELECT 'unparsed' AS reason, 'assists' AS column_name, 'n/a' AS cell, appearance_id, TRUE AS has_source
+FROM r WHERE player_club_id % 7 = 0
+UNION ALL SELECT 'unparsed', 'minutes_played', '90.5', appearance_id, TRUE FROM r WHERE player_club_id % 11 = 0
+UNION ALL SELECT 'malformed', NULL, line || ',''late,again''', appearance_id, TRUE FROM r WHERE player_club_id % 13 = 0"""
+    q["csv_dialect_roundtrip"] = """
+SELECT * REPLACE (stadium_name || ' "The Ground"; Gate 1,' || chr(10) || 'Étage 2 ' AS stadium_name,
+  CASE club_id % 5 WHEN 0 THEN '' WHEN 1 THEN '"' ELSE coach_name END AS coach_name) FROM raw_clubs"""
+    twice = ("(SELECT * FROM raw_games UNION ALL SELECT * REPLACE (nullif(game_id, 3) AS game_id, CAST(NULL AS INTEGER) AS attendance) "
+             "FROM raw_games WHERE game_id % 3 = 0)")
+    q["dedupe_sparse_single"] = _first_per_key(twice, ["game_id"], COLS["games"])
+    q["dedupe_sparse_composite"] = _first_per_key("raw_club_games", ["game_id", "club_id"], COLS["club_games"])
     q["quality_metrics"] = """
 SELECT 'players_with_valid_dob' AS metric, COUNT(*) FILTER (WHERE date_of_birth IS NOT NULL)
   AS value FROM f_dim_player
@@ -801,11 +829,45 @@ FROM (SELECT COUNT(*) AS rows_in, CAST({unparsed} AS BIGINT) AS unparsed_dates F
     return "\nUNION ALL ".join(parts)
 
 
+def _conform_rejects(prefix: str, tables: list[str]) -> str:
+    parts = []
+
+    def part(t, keys, reason, column, cell, copies, rest):
+        key = " || '|' || ".join(f"COALESCE({k}::VARCHAR, '\\N')" for k in keys) or "''"
+        parts.append(f"SELECT '{t}' AS table_name, '{reason}' AS reason, {column}::VARCHAR AS column_name, {key} AS row_key, "
+                     f"{cell}::VARCHAR AS cell, {copies}::BIGINT AS copies FROM {rest}")
+
+    named = {"appearances": ["appearance_id"]}
+    for t, keys, req, dates in _CONFORM:
+        if t not in tables:
+            continue
+        src, shown = f"{prefix}n_{t}", keys or named.get(t, req)
+        if keys:
+            rest = ", ".join(f"{c} NULLS FIRST" for c in COLS[t] if c not in keys)
+            again = (f"(SELECT {', '.join(COLS[t])}, COUNT(*) AS c FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "
+                     f"{', '.join(keys)} ORDER BY {rest}) AS rn FROM {src}) WHERE rn > 1 GROUP BY ALL)")
+            part(t, shown, "duplicate", "NULL", "NULL", "c", again)
+        if req:
+            lack = " OR ".join(f"{c} IS NULL" for c in req)
+            names = "concat_ws(',', " + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in req) + ")"
+            rows = f"{prefix}d_{t}" if keys else src
+            part(t, shown, "missing key", names, "NULL", "1", f"{rows} WHERE {lack}")
+        for c in dates:
+            part(t, shown, "unparsed", f"'{c}'", c, "1", f"{src} WHERE {c} IS NOT NULL AND TRY_CAST({c} AS DATE) IS NULL")
+        if t == "games":
+            part(t, shown, "unparsed", "'season'", "season", "1", f"{src} WHERE season IS NOT NULL AND TRY_CAST(season AS INTEGER) IS NULL")
+    return "\nUNION ALL ".join(parts)
+
+
 def oracle_queries() -> dict[str, str]:
     bodies = {}
     bodies.update(_others())
     bodies.update(_reports())
     bodies["report_csv_export"] = bodies["report05_compact"]
+    bodies["report11_from_totals"] = bodies["report11_full"]
+    bodies["conform_rejects"] = _conform_rejects("s_", LAYERS["silver"])
+    bodies["conform_rejects_full"] = _conform_rejects(
+        "sf_", ["players", "appearances", "games", "clubs", "competitions", "game_events"])
     bodies["conform_quality"] = _conform_quality("s_", LAYERS["silver"])
     bodies["conform_quality_full"] = _conform_quality(
         "sf_", ["players", "appearances", "games", "clubs", "competitions", "game_events"])

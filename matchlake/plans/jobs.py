@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import run_concurrently
-from ..sources.io import (STATUS_SCHEMA, LayerPaths, check_format, error_text, ingest_all, path_exists,
-                          read_table, write_counted, write_csv)
+from ..sources.io import (STATUS_SCHEMA, CsvDialect, LayerPaths, check_format, error_text, ingest_all, path_exists,
+                          read_table, remove_path, table_exists, write_counted, write_csv)
 from ..sources.schemas import SOURCE_TABLES
 from . import reports as R
 from .edition import Edition
 from .silver import COMPACT_TABLES, FULL_TABLES, conform_all
 from .star import DIM_TABLES, FACT_TABLES, LazyTables, Star, build_star
+from .totals import player_totals
 
 # Independent writes of one layer are submitted concurrently (driver threads only
 # submit jobs; the work runs on executors), so small tables do not leave the
@@ -38,6 +39,7 @@ def _parallel(spark: SparkSession, tasks: list[Callable[[], tuple]],
 
 # Facts are partitioned by season so season-filtered reports prune whole folders.
 FACT_PARTITIONS = {"fact_appearance": ["season_year"], "fact_game": ["season_year"]}
+TOTALS = "player_totals"
 
 REPORT_STATUS_SCHEMA = T.StructType([
     T.StructField("report", T.StringType()),
@@ -48,19 +50,21 @@ REPORT_STATUS_SCHEMA = T.StructType([
 
 
 def run_ingest(spark: SparkSession, paths: LayerPaths,
-               tables: Iterable[str] = SOURCE_TABLES, null_value: str | None = None) -> DataFrame:
-    return ingest_all(spark, paths, tables, null_value=null_value)
+               tables: Iterable[str] = SOURCE_TABLES, null_value: str | None = None,
+               dialects: Mapping[str, CsvDialect] | None = None, quarantine: bool = False) -> DataFrame:
+    return ingest_all(spark, paths, tables, null_value=null_value, dialects=dialects, quarantine=quarantine)
 
 
 def _write_all(spark: SparkSession, frames: Mapping[str, DataFrame], where,
-               fmt: str, partitions: dict | None = None,
+               paths: LayerPaths, partitions: dict | None = None,
                parallel: int = DEFAULT_PARALLEL_WRITES) -> DataFrame:
     """Write each table; one that cannot be built or written is a status row, and
     the others go on.  ``frames`` may build its tables on access."""
     def task(name: str):
         def run():
             try:
-                return (name, "ok", write_counted(frames[name], where(name), fmt, (partitions or {}).get(name)), None)
+                rows = write_counted(frames[name], where(name), paths.fmt, (partitions or {}).get(name), paths.versioned)
+                return (name, "ok", rows, None)
             except Exception as e:  # noqa: BLE001 -- per-table isolation
                 return (name, "failed", None, error_text(e))
         return run
@@ -79,7 +83,16 @@ def _lazy(spark: SparkSession, tables: Iterable[str], where, fmt: str) -> LazyTa
 
 def run_conform(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
     bronze = _lazy(spark, _tables(ed), paths.bronze, paths.fmt)
-    return _write_all(spark, conform_all(bronze, ed), paths.silver, paths.fmt)
+    return _write_all(spark, conform_all(bronze, ed, stored=True), paths.silver, paths)
+
+
+def run_quarantine(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
+    """Write the rows that conforming left out and the texts it could not read, with reasons, from bronze."""
+    from . import quality
+
+    bronze = _lazy(spark, _tables(ed), paths.bronze, paths.fmt)
+    rejects = LazyTables({"conform_rejects": lambda: quality.conform_rejects(bronze, ed)})
+    return _write_all(spark, rejects, paths.conform_rejects, paths, {"conform_rejects": ["table_name"]})
 
 
 def run_model(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
@@ -89,33 +102,53 @@ def run_model(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
 
 
 def write_star(spark: SparkSession, star: Star, paths: LayerPaths) -> DataFrame:
-    """Write the four dimensions and three facts (facts partitioned by season).
+    """Write the four dimensions and three facts (facts partitioned by season), then the per-player totals
+    from the written fact.
 
     A partitioned table is read back with its partition columns last and their types
-    guessed from folder names, so its schema is written beside it."""
+    guessed from folder names, so its schema is written beside it.  Totals of an earlier run go first: a run
+    that ends between the fact and its totals leaves none, and reports then read the fact."""
+    for old in (TOTALS, f"_schema_of_{TOTALS}"):
+        remove_path(spark, paths.totals(old))
     dims = LazyTables({t: (lambda t=t: getattr(star, t)) for t in DIM_TABLES})
     facts = LazyTables({t: (lambda t=t: getattr(star, t)) for t in FACT_TABLES})
-    status = _write_all(spark, dims, paths.dim, paths.fmt).unionByName(
-        _write_all(spark, facts, paths.fact, paths.fmt, FACT_PARTITIONS))
+    status = _write_all(spark, dims, paths.dim, paths).unionByName(
+        _write_all(spark, facts, paths.fact, paths, FACT_PARTITIONS))
     failed = {r["table_name"] for r in status.filter("status = 'failed'").collect()}
     for t in FACT_PARTITIONS:
         if t not in failed:
-            spark.createDataFrame([(facts[t].schema.json(),)], "schema string").coalesce(1).write.mode(
-                "overwrite").text(paths.fact(f"_schema_of_{t}"))
-    return status
+            _write_schema(spark, facts[t], paths.fact, t)
+    if "fact_appearance" in failed:
+        return status
+    totals = LazyTables({TOTALS: lambda: player_totals(_read_fact(spark, paths, "fact_appearance"))})
+    _write_schema(spark, totals[TOTALS], paths.totals, TOTALS)
+    return status.unionByName(_write_all(spark, totals, paths.totals, paths, {TOTALS: ["season_year"]}))
+
+
+def _write_schema(spark: SparkSession, df: DataFrame, where, t: str) -> None:
+    spark.createDataFrame([(df.schema.json(),)], "schema string").coalesce(1).write.mode(
+        "overwrite").text(where(f"_schema_of_{t}"))
+
+
+def _read_partitioned(spark: SparkSession, fmt: str, where, t: str) -> DataFrame:
+    """A partitioned table with the columns and types of its schema."""
+    if not path_exists(spark, where(f"_schema_of_{t}")):
+        return read_table(spark, where(t), fmt)
+    schema = T.StructType.fromJson(json.loads(spark.read.text(where(f"_schema_of_{t}")).first()[0]))
+    return read_table(spark, where(t), fmt, schema).select(*schema.names)
 
 
 def _read_fact(spark: SparkSession, paths: LayerPaths, t: str) -> DataFrame:
-    table = read_table(spark, paths.fact(t), paths.fmt)
-    if t not in FACT_PARTITIONS or not path_exists(spark, paths.fact(f"_schema_of_{t}")):
-        return table
-    schema = T.StructType.fromJson(json.loads(spark.read.text(paths.fact(f"_schema_of_{t}")).first()[0]))
-    return table.select(*[table[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    if t in FACT_PARTITIONS:
+        return _read_partitioned(spark, paths.fmt, paths.fact, t)
+    return read_table(spark, paths.fact(t), paths.fmt)
 
 
 def read_star(spark: SparkSession, paths: LayerPaths) -> Star:
     tables = {t: read_table(spark, paths.dim(t), paths.fmt) for t in DIM_TABLES}
     tables.update({t: _read_fact(spark, paths, t) for t in FACT_TABLES})
+    if table_exists(spark, paths.totals(TOTALS)):
+        tables[TOTALS] = _read_partitioned(spark, paths.fmt, paths.totals, TOTALS)
     return Star(**tables)
 
 
@@ -145,7 +178,7 @@ def run_reports(spark: SparkSession, paths: LayerPaths, ed: Edition,
     def task(name: str, df: DataFrame):
         def run():
             try:
-                n = write_counted(df, paths.report(name), paths.fmt)
+                n = write_counted(df, paths.report(name), paths.fmt, versioned=paths.versioned)
                 if csv:
                     write_csv(_flat(read_table(spark, paths.report(name), paths.fmt)), paths.report_csv(name))
                 return (name, "ok", n, None)
@@ -169,7 +202,7 @@ def report_status(spark: SparkSession, paths: LayerPaths,
     def check(name: str):
         def run():
             try:
-                if not path_exists(spark, paths.report(name)):
+                if not table_exists(spark, paths.report(name)):
                     return (name, "missing", None, None)
                 return (name, "present", read_table(spark, paths.report(name), paths.fmt).count(), None)
             except Exception as e:  # noqa: BLE001
@@ -187,36 +220,43 @@ def run_quality(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFram
     from . import quality
 
     layers = {
-        "bronze": {t: read_table(spark, paths.bronze(t), paths.fmt) for t in SOURCE_TABLES
-                   if path_exists(spark, paths.bronze(t))},
-        "silver": {t: read_table(spark, paths.silver(t), paths.fmt) for t in _tables(ed)},
-        "gold": read_star(spark, paths).tables(),
+        "bronze": {t: paths.bronze(t) for t in SOURCE_TABLES if table_exists(spark, paths.bronze(t))},
+        "silver": {t: paths.silver(t) for t in _tables(ed)},
+        "gold": {t: paths.dim(t) for t in DIM_TABLES} | {t: paths.fact(t) for t in FACT_TABLES},
     }
     reports = report_status(spark, paths, R.report_names(ed.name))
     outputs = {
-        "layer_row_counts": quality.layer_row_counts(layers),
+        "layer_row_counts": quality.written_row_counts(spark, layers, paths.fmt),
         "report_status": reports,
         "quality_metrics": quality.quality_metrics(read_star(spark, paths)),
     }
     # A report that cannot be read is a failure of the stage, and so of the exit code.
     broken = reports.filter("status = 'failed'").withColumnRenamed("report", "table_name")
-    return _write_all(spark, outputs, paths.quality, paths.fmt).unionByName(broken)
+    return _write_all(spark, outputs, paths.quality, paths).unionByName(broken)
 
 
 def run_all(spark: SparkSession, base: str, ed: Edition,
             params: dict[str, dict] | None = None, null_value: str | None = None,
-            ordered: bool = True, fmt: str = "parquet", csv: bool = False) -> DataFrame:
+            ordered: bool = True, fmt: str = "parquet", csv: bool = False,
+            dialects: Mapping[str, CsvDialect] | None = None, quarantine: bool = False,
+            versioned: bool = False) -> DataFrame:
     """Raw CSV under ``base/raw`` -> every layer of one edition.
 
+    ``dialects``: of tables whose files differ from plain CSV; ``quarantine``: also keep what ingest and
+    conform leave out; ``versioned``: publish each table at once when it is whole, so that readers, and a run that
+    fails, never see half of one.
+
     Returns one status table: (stage, name, status, row_count, error) for
     every ingested table, conformed table, star table, report and quality
     table.
     """
-    paths = LayerPaths(base, fmt)
+    paths = LayerPaths(base, fmt, versioned=versioned)
     check_format(spark, paths.fmt)
     ep = paths.for_edition(ed.name)
-    stages = [("ingest", run_ingest(spark, paths, null_value=null_value))]
+    stages = [("ingest", run_ingest(spark, paths, null_value=null_value, dialects=dialects, quarantine=quarantine))]
     stages.append(("conform", run_conform(spark, ep, ed)))
+    if quarantine:
+        stages.append(("quarantine", run_quarantine(spark, ep, ed)))
     stages.append(("model", run_model(spark, ep, ed)))
     stages.append(("reports", run_reports(spark, ep, ed, params=params, ordered=ordered, csv=csv)
                    .withColumnRenamed("report", "table_name")))

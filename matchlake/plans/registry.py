@@ -12,19 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import (NULL_TOKENS, NULL_TOKENS_STRICT, conform_dates, dedupe,
+from ..operators.clean import (NULL_TOKENS, NULL_TOKENS_STRICT, conform_dates, dedupe, dedupe_sparse,
                                fill_defaults, normalize_nulls)
 from ..operators.combine import merge_join
 from ..session import remove_scratch, run_concurrently, scratch_path
 from ..sources import adapter
-from ..sources.io import (NULL_MARK, LayerPaths, csv_rejects, ingest_all, read_csv, read_table, write_counted,
-                          write_csv, write_table)
+from ..sources.io import (NULL_MARK, CsvDialect, LayerPaths, csv_quarantine, csv_rejects, ingest_all, read_csv,
+                          read_table, write_csv, write_table)
 from ..sources.schemas import SCHEMAS, SOURCE_TABLES, SPECS
 from . import jobs, quality
 from . import reports as R
 from .edition import Edition, compact, full
-from .silver import FULL_TABLES, conform_all, conform_table
+from .silver import COMPACT_TABLES, FULL_TABLES, conform_all, conform_table
 from .star import DIM_TABLES, FACT_TABLES, Star, build_star
+from .totals import merge_totals, player_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,22 +108,56 @@ def csv_ingest_rejects(spark, sf):
     return csv_rejects(spark, path, SCHEMAS["appearances"], NULL_MARK)
 
 
+@register("ingest_rejects")
+def ingest_rejects(spark, sf):
+    """What bronze could not take of an appearances file with text in number columns and with records of one field
+    too many: every cell and record, with the row's key."""
+    raw = adapter.appearances(spark, sf).drop("red_cards")
+    odd = raw.withColumns({
+        "assists": F.when(F.col("player_club_id") % 7 == 0, "n/a").otherwise(F.col("assists").cast("string")),
+        "minutes_played": F.when(F.col("player_club_id") % 11 == 0, "90.5").otherwise(F.col("minutes_played").cast("string")),
+        "note": F.when(F.col("player_club_id") % 13 == 0, "late,again").otherwise("late")})
+    path = scratch_path(spark, "rejects-csv")
+    write_csv(odd, path, quote_all=False, dialect=CsvDialect(quote="'"))  # to a reader of plain CSV, nothing is quoted
+    found = csv_quarantine(spark, path, SCHEMAS["appearances"], NULL_MARK)
+    return found.select("reason", "column_name", "cell", F.get_json_object("record", "$.appearance_id").alias("appearance_id"),
+                        F.col("source_file").contains("rejects-csv").alias("has_source"))
+
+
+@register("csv_dialect_roundtrip")
+def csv_dialect_roundtrip(spark, sf):
+    """Clubs whose names hold quotes, separators, line breaks and accents, through a file with
+    semicolons, doubled quotes and a one-byte encoding."""
+    clubs = adapter.clubs(spark, sf).withColumns({
+        "stadium_name": F.concat(F.col("stadium_name"), F.lit(' "The Ground"; Gate 1,\nÉtage 2 ')),
+        "coach_name": F.when(F.col("club_id") % 5 == 0, "").when(F.col("club_id") % 5 == 1, '"').otherwise(F.col("coach_name"))})
+    dialect = CsvDialect(delimiter=";", escape='"', encoding="ISO-8859-1", multi_line=True)
+    path = scratch_path(spark, "clubs-csv")
+    write_csv(clubs, path, dialect=dialect)
+    return read_csv(spark, path, SCHEMAS["clubs"], null_value=NULL_MARK, dialect=dialect)
+
+
 @register("layer_row_counts")
 def layer_row_counts(spark, sf):
-    """Rows of every table of the three layers, counted while the jobs write them."""
-    paths = LayerPaths(scratch_path(spark, "layers")).for_edition("compact")
+    """Rows of every table of the three layers: counts of keys only, nothing is written."""
+    layers = Layers(spark, sf)
     ed = compact()
+    return quality.layer_row_counts({
+        "raw": {t: layers.raw[t] for t in SOURCE_TABLES},
+        "silver": {t: layers.silver(ed)[t] for t in COMPACT_TABLES},
+        "gold": layers.star(ed).tables()})
+
+
+@register("written_row_counts")
+def written_row_counts(spark, sf):
+    """The raw tables written, the facts' season partitions among them, and counted from their files' footers."""
+    paths = LayerPaths(scratch_path(spark, "counted"))
     raw = adapter.raw_tables(spark, sf)
-    layers = {"raw": run_concurrently(spark, [
-        lambda t=t: (t, "ok", write_counted(raw[t], paths.bronze(t)), None) for t in SOURCE_TABLES])}
-    layers["silver"] = jobs.run_conform(spark, paths, ed).collect()  # one row per table
-    layers["gold"] = jobs.run_model(spark, paths, ed).collect()
+    run_concurrently(spark, [lambda t=t: write_table(raw[t], paths.bronze(t), partition_by=["hosting"] if t == "club_games" else None)
+                             for t in SOURCE_TABLES])
+    counts = quality.written_row_counts(spark, {"bronze": {t: paths.bronze(t) for t in SOURCE_TABLES}})
     remove_scratch(spark, paths.base)
-    failed = [s for status in layers.values() for s in status if s[1] != "ok"]
-    if failed:
-        raise RuntimeError(f"tables that could not be written: {failed}")
-    rows = [(layer, name, n) for layer, status in layers.items() for name, _, n, _ in status]
-    return spark.createDataFrame(rows, "layer string, table_name string, row_count bigint")
+    return counts
 
 
 # ---------------------------------------------------------------- operators
@@ -146,6 +181,17 @@ def q_dedupe_composite(spark, sf):
     return dedupe(adapter.club_games(spark, sf), ["game_id", "club_id"])
 
 
+@register("dedupe_sparse_single")
+def q_dedupe_sparse_single(spark, sf):
+    return dedupe_sparse(adapter.games(spark, sf).unionByName(adapter.games(spark, sf).filter("game_id % 3 = 0")
+                         .withColumns({"attendance": F.lit(None).cast("int"), "game_id": F.expr("nullif(game_id, 3)")})), ["game_id"])
+
+
+@register("dedupe_sparse_composite")
+def q_dedupe_sparse_composite(spark, sf):
+    return dedupe_sparse(adapter.club_games(spark, sf), ["game_id", "club_id"])
+
+
 @register("fill_defaults")
 def q_fill_defaults(spark, sf):
     clubs = normalize_nulls(adapter.clubs(spark, sf), NULL_TOKENS)
@@ -214,6 +260,32 @@ for _t in DIM_TABLES + FACT_TABLES:
     register(f"{_t}_full")(_star_table(_t, full))
 
 
+# ---------------------------------------------------------------- per-player totals
+def _totals(ed_factory) -> Query:
+    return lambda spark, sf: player_totals(Layers(spark, sf).star(ed_factory()).fact_appearance)
+
+
+register("player_totals")(_totals(compact))
+register("player_totals_full")(_totals(full))
+
+
+@register("report11_from_totals")
+def report11_from_totals(spark, sf):
+    """R11 full from written totals, without the fact: those of even and of odd competitions, merged."""
+    star = Layers(spark, sf).star(full())
+    totals = player_totals(star.fact_appearance)
+    even = F.coalesce(F.col("competition_key").try_cast("int") % 2 == 0, F.lit(False))
+    path = scratch_path(spark, "totals")
+    write_table(merge_totals(totals.filter(even), totals.filter(~even)), path)
+
+    def unread():
+        raise AssertionError("the report reads the fact")
+
+    tables = {t: (lambda t=t: getattr(star, t)) for t in DIM_TABLES + FACT_TABLES} | {
+        "fact_appearance": unread, "player_totals": lambda: read_table(spark, path)}
+    return R.REPORTS["report11_full"](Star(**tables))
+
+
 # ---------------------------------------------------------------- reports
 def _report(name: str) -> Query:
     ed_factory = compact if name.endswith("_compact") else full
@@ -243,6 +315,16 @@ def q_conform_quality_full(spark, sf):
     return quality.conform_quality(adapter.raw_tables(spark, sf), full())
 
 
+@register("conform_rejects")
+def q_conform_rejects(spark, sf):
+    return quality.conform_rejects(adapter.raw_tables(spark, sf), compact()).drop("record")
+
+
+@register("conform_rejects_full")
+def q_conform_rejects_full(spark, sf):
+    return quality.conform_rejects(adapter.raw_tables(spark, sf), full()).drop("record")
+
+
 @register("report_status")
 def q_report_status(spark, sf):
     """The jobs from bronze on, full edition: conform, model, reports; then which reports exist."""

@@ -2,8 +2,10 @@
 
 Plan shape used throughout: aggregate the fact on its key first, then join the
 (deduplicated, key-unique) dimension, so the large dimension joins see one row
-per key instead of one per appearance.  Top-k reports break ties on the
-dimension key, so the cut is repeatable.  Reports without a limit sort their
+per key instead of one per appearance.  Reports that need nothing of the appearance fact but
+sums per player, season or competition take them from the star's stored totals where it has
+them (``totals.totals_by``).  Top-k reports cut before they fetch attributes
+(``top_k_late``) and break ties on the dimension key, so the cut is repeatable.  Reports without a limit sort their
 output by default, as defined; ``ordered=False`` skips that global sort for
 consumers that sort on read.
 """
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import fill_defaults, fill_numeric
 from ..operators.combine import spread_join
-from ..operators.metrics import count_where, ratio, sum_where, top_k
+from ..operators.metrics import MOST_BROADCAST, count_where, ratio, sum_where, top_k, top_k_late
 from .star import Star
+from .totals import totals_by
 
 ReportFn = Callable[..., DataFrame]
 REPORTS: dict[str, ReportFn] = {}
@@ -39,9 +42,8 @@ def _order(df: DataFrame, ordered: bool, *cols) -> DataFrame:
     return df.orderBy(*cols) if ordered else df
 
 
-def _per_player(star: Star, *aggs, where=None) -> DataFrame:
-    fact = star.fact_appearance if where is None else star.fact_appearance.filter(where)
-    return fact.groupBy("player_key").agg(*aggs)
+def _per_player(star: Star, where=None, **measures: str) -> DataFrame:
+    return totals_by(star, ["player_key"], where, **measures)
 
 
 # ---------------------------------------------------------------- R01 clubs per player
@@ -76,15 +78,14 @@ def report01_full(star: Star, ordered: bool = True) -> DataFrame:
 
 
 # ---------------------------------------------------------------- R02 international apps
-def _international(star: Star) -> DataFrame:
+def _international(star: Star, **measures: str) -> DataFrame:
     comps = star.dim_competition.filter(F.col("is_international")).select("competition_key")
-    return star.fact_appearance.join(comps, "competition_key")
+    return totals_by(star, ["player_key"], within=comps, **measures)
 
 
 @report(2, "compact")
 def report02_compact(star: Star, ordered: bool = True) -> DataFrame:
-    stats = _international(star).groupBy("player_key").agg(
-        F.count("*").alias("intl_apps"), F.sum("goals").alias("intl_goals"))
+    stats = _international(star, intl_apps="apps", intl_goals="goals")
     return (star.dim_player.join(stats, "player_key")
             .select("full_name", "country_of_citizenship", "intl_apps", "intl_goals")
             .transform(_order, ordered, F.desc("intl_apps")))
@@ -92,48 +93,35 @@ def report02_compact(star: Star, ordered: bool = True) -> DataFrame:
 
 @report(2, "full")
 def report02_full(star: Star, k: int = 50) -> DataFrame:
-    stats = _international(star).groupBy("player_key").agg(
-        F.count("*").alias("international_appearances"),
-        F.sum("goals").alias("international_goals"),
-        F.sum("assists").alias("international_assists"),
-        F.sum("minutes_played").alias("total_minutes"))
-    out = star.dim_player.join(stats, "player_key").select(
-        "player_key", "full_name", "country_of_citizenship", "position",
-        "international_appearances", "international_goals", "international_assists",
-        "total_minutes")
-    return top_k(out, k, [F.desc("international_appearances")], tie=["player_key"])
+    stats = _international(star, international_appearances="apps", international_goals="goals",
+                           international_assists="assists", total_minutes="minutes_played")
+    return top_k_late(stats, star.dim_player, "player_key", k, [F.desc("international_appearances")],
+                      ["player_key", "full_name", "country_of_citizenship", "position",
+                       "international_appearances", "international_goals", "international_assists", "total_minutes"])
 
 
 # ---------------------------------------------------------------- R03 season top scorers
 @report(3, "compact")
 def report03_compact(star: Star, season: int = DEFAULT_SEASON, k: int = 10) -> DataFrame:
-    stats = _per_player(star, F.sum("goals").alias("total_goals"),
-                        where=F.col("season_year") == season)
-    out = star.dim_player.join(stats, "player_key").select(
-        "player_key", "full_name", "total_goals", "country_of_citizenship")
-    return (top_k(out, k, [F.desc("total_goals")], tie=["player_key"])
-            .select("full_name", "total_goals", "country_of_citizenship"))
+    stats = _per_player(star, F.col("season_year") == season, total_goals="goals")
+    return top_k_late(stats, star.dim_player, "player_key", k, [F.desc("total_goals")],
+                      ["full_name", "total_goals", "country_of_citizenship"])
 
 
 @report(3, "full")
 def report03_full(star: Star, season: int = DEFAULT_SEASON, k: int = 10) -> DataFrame:
-    stats = _per_player(
-        star, F.sum("goals").alias("total_goals"), F.count("game_key").alias("matches_played"),
-        F.sum("assists").alias("total_assists"), F.sum("minutes_played").alias("total_minutes"),
-        where=F.col("season_year") == season).filter(F.col("total_goals") > 0)
-    out = (star.dim_player.join(stats, "player_key")
-           .select("player_key", "full_name", "country_of_citizenship", "position",
-                   "current_club_name", "total_goals", "matches_played", "total_assists",
-                   "total_minutes")
-           .withColumn("goals_per_match", ratio("total_goals", "matches_played", digits=2)))
-    return top_k(out, k, [F.desc("total_goals"), F.desc("goals_per_match")], tie=["player_key"])
+    stats = _per_player(star, F.col("season_year") == season, total_goals="goals", matches_played="games",
+                        total_assists="assists", total_minutes="minutes_played").filter(F.col("total_goals") > 0)
+    stats = stats.withColumn("goals_per_match", ratio("total_goals", "matches_played", digits=2))
+    return top_k_late(stats, star.dim_player, "player_key", k, [F.desc("total_goals"), F.desc("goals_per_match")],
+                      ["player_key", "full_name", "country_of_citizenship", "position", "current_club_name",
+                       "total_goals", "matches_played", "total_assists", "total_minutes", "goals_per_match"])
 
 
 # ---------------------------------------------------------------- R04 red cards
 @report(4, "compact")
 def report04_compact(star: Star, ordered: bool = True) -> DataFrame:
-    stats = _per_player(star, F.sum("red_cards").alias("total_reds"),
-                        F.count("game_key").alias("total_games")).filter(F.col("total_reds") > 0)
+    stats = _per_player(star, total_reds="red_cards", total_games="games").filter(F.col("total_reds") > 0)
     return (star.dim_player.join(stats, "player_key")
             .select("full_name", "total_reds", "total_games")
             .transform(_order, ordered, F.desc("total_reds")))
@@ -141,27 +129,20 @@ def report04_compact(star: Star, ordered: bool = True) -> DataFrame:
 
 @report(4, "full")
 def report04_full(star: Star, k: int = 5) -> DataFrame:
-    stats = _per_player(star, F.sum("red_cards").alias("total_red_cards"),
-                        F.sum("yellow_cards").alias("total_yellow_cards"),
-                        F.count("game_key").alias("total_appearances")
-                        ).filter(F.col("total_red_cards") > 0)
-    out = (star.dim_player.join(stats, "player_key")
-           .select("player_key", "full_name", "country_of_citizenship", "position",
-                   "current_club_name", "total_red_cards", "total_yellow_cards",
-                   "total_appearances")
-           .withColumn("cards_per_game",
-                       ratio(F.col("total_red_cards") + F.col("total_yellow_cards"),
-                             "total_appearances", digits=2)))
-    return top_k(out, k, [F.desc("total_red_cards"), F.desc("total_yellow_cards")],
-                 tie=["player_key"])
+    stats = _per_player(star, total_red_cards="red_cards", total_yellow_cards="yellow_cards",
+                        total_appearances="games").filter(F.col("total_red_cards") > 0)
+    stats = stats.withColumn("cards_per_game", ratio(F.col("total_red_cards") + F.col("total_yellow_cards"),
+                                                     "total_appearances", digits=2))
+    return top_k_late(stats, star.dim_player, "player_key", k, [F.desc("total_red_cards"), F.desc("total_yellow_cards")],
+                      ["player_key", "full_name", "country_of_citizenship", "position", "current_club_name",
+                       "total_red_cards", "total_yellow_cards", "total_appearances", "cards_per_game"])
 
 
 # ---------------------------------------------------------------- R05 successful clubs
 @report(5, "compact")
 def report05_compact(star: Star, k: int = 20) -> DataFrame:
     wins = star.fact_club_perf.groupBy("club_key").agg(count_where(F.col("won")).alias("total_wins"))
-    out = star.dim_club.join(wins, "club_key").select("club_key", "name", "total_wins")
-    return top_k(out, k, [F.desc("total_wins")], tie=["club_key"]).select("name", "total_wins")
+    return top_k_late(wins, star.dim_club, "club_key", k, [F.desc("total_wins")], ["name", "total_wins"])
 
 
 @report(5, "full")
@@ -175,19 +156,17 @@ def report05_full(star: Star, k: int = 5) -> DataFrame:
             "win_percentage": ratio("total_wins", "total_matches", scale=100, digits=2),
             "goal_difference": F.col("total_goals_scored") - F.col("total_goals_conceded"),
         }))
-    out = star.dim_club.join(stats, "club_key").select(
-        "club_key", "name", "domestic_competition_id", "stadium_name", "total_wins",
-        "total_matches", "win_percentage", "total_goals_scored", "total_goals_conceded",
-        "goal_difference", "squad_size", "total_market_value")
-    return top_k(out, k, [F.desc("total_wins"), F.desc("win_percentage"),
-                          F.desc("goal_difference")], tie=["club_key"])
+    return top_k_late(
+        stats, star.dim_club, "club_key", k, [F.desc("total_wins"), F.desc("win_percentage"), F.desc("goal_difference")],
+        ["club_key", "name", "domestic_competition_id", "stadium_name", "total_wins", "total_matches",
+         "win_percentage", "total_goals_scored", "total_goals_conceded", "goal_difference", "squad_size",
+         "total_market_value"])
 
 
 # ---------------------------------------------------------------- R06 player performance
 @report(6, "compact")
 def report06_compact(star: Star, ordered: bool = True) -> DataFrame:
-    stats = _per_player(star, F.sum("goals").alias("total_goals"),
-                        F.sum("assists").alias("total_assists"), F.count("game_key").alias("apps"))
+    stats = _per_player(star, total_goals="goals", total_assists="assists", apps="games")
     return (stats.join(star.dim_player, "player_key")
             .select("full_name", "total_goals", "total_assists", "apps")
             .transform(_order, ordered, F.desc("total_goals")))
@@ -195,11 +174,9 @@ def report06_compact(star: Star, ordered: bool = True) -> DataFrame:
 
 @report(6, "full")
 def report06_full(star: Star, ordered: bool = True) -> DataFrame:
-    stats = _per_player(
-        star, F.count("game_key").alias("total_appearances"), F.sum("goals").alias("total_goals"),
-        F.sum("assists").alias("total_assists"), F.sum("yellow_cards").alias("total_yellows"),
-        F.sum("red_cards").alias("total_reds"), F.sum("minutes_played").alias("total_minutes"),
-    ).filter(F.col("total_appearances") > 0)
+    stats = _per_player(star, total_appearances="games", total_goals="goals", total_assists="assists",
+                        total_yellows="yellow_cards", total_reds="red_cards",
+                        total_minutes="minutes_played").filter(F.col("total_appearances") > 0)
     return (star.dim_player.join(stats, "player_key")
             .select("player_key", "full_name", "country_of_citizenship", "position", "age",
                     "current_club_name", "total_appearances", "total_goals", "total_assists",
@@ -232,9 +209,7 @@ def report07_full(star: Star, ordered: bool = True) -> DataFrame:
         F.count("game_key").alias("total_games"), F.sum("total_goals").alias("total_goals"),
         F.avg("total_goals").alias("avg_goals_per_game"),
         F.avg("attendance").alias("avg_attendance"))
-    cards = star.fact_appearance.groupBy("competition_key").agg(
-        F.sum("red_cards").alias("total_red_cards"),
-        F.sum("yellow_cards").alias("total_yellow_cards"))
+    cards = totals_by(star, ["competition_key"], total_red_cards="red_cards", total_yellow_cards="yellow_cards")
     out = (star.dim_competition.join(games, "competition_key", "left")
            .join(cards, "competition_key", "left")
            .select("competition_key", "name", "type", "country_name", "confederation",
@@ -249,25 +224,18 @@ def report07_full(star: Star, ordered: bool = True) -> DataFrame:
 # ---------------------------------------------------------------- R08 top assists
 @report(8, "compact")
 def report08_compact(star: Star, k: int = 20) -> DataFrame:
-    stats = _per_player(star, F.sum("assists").alias("total_assists"))
-    out = stats.join(star.dim_player, "player_key").select("player_key", "full_name",
-                                                             "total_assists")
-    return top_k(out, k, [F.desc("total_assists")], tie=["player_key"]).select(
-        "full_name", "total_assists")
+    stats = _per_player(star, total_assists="assists")
+    return top_k_late(stats, star.dim_player, "player_key", k, [F.desc("total_assists")], ["full_name", "total_assists"])
 
 
 @report(8, "full")
 def report08_full(star: Star, k: int = 20) -> DataFrame:
-    stats = _per_player(
-        star, F.sum("assists").alias("total_assists"), F.sum("goals").alias("total_goals"),
-        F.count("game_key").alias("total_games"), F.sum("minutes_played").alias("total_minutes"),
-    ).filter(F.col("total_assists") > 0)
-    out = (star.dim_player.join(stats, "player_key")
-           .select("player_key", "full_name", "country_of_citizenship", "position",
-                   "current_club_name", "total_assists", "total_goals", "total_games",
-                   "total_minutes")
-           .withColumn("assists_per_game", ratio("total_assists", "total_games", digits=2)))
-    return top_k(out, k, [F.desc("total_assists")], tie=["player_key"])
+    stats = _per_player(star, total_assists="assists", total_goals="goals", total_games="games",
+                        total_minutes="minutes_played").filter(F.col("total_assists") > 0)
+    stats = stats.withColumn("assists_per_game", ratio("total_assists", "total_games", digits=2))
+    return top_k_late(stats, star.dim_player, "player_key", k, [F.desc("total_assists")],
+                      ["player_key", "full_name", "country_of_citizenship", "position", "current_club_name",
+                       "total_assists", "total_goals", "total_games", "total_minutes", "assists_per_game"])
 
 
 # ---------------------------------------------------------------- R09 home vs away
@@ -323,8 +291,7 @@ def report10_full(star: Star, ordered: bool = True) -> DataFrame:
         F.count("game_key").alias("total_games"), F.sum("total_goals").alias("total_goals"),
         F.avg("total_goals").alias("avg_goals_per_game"),
         F.avg("attendance").alias("avg_attendance"))
-    cards = star.fact_appearance.groupBy("season_year").agg(
-        F.sum("yellow_cards").alias("total_yellows"), F.sum("red_cards").alias("total_reds"))
+    cards = totals_by(star, ["season_year"], total_yellows="yellow_cards", total_reds="red_cards")
     out = games.join(cards, "season_year", "left").select(
         "season_year", "total_games", "total_goals", "avg_goals_per_game", "avg_attendance",
         "total_yellows", "total_reds")
@@ -341,8 +308,7 @@ def report11_compact(star: Star, ordered: bool = True) -> DataFrame:
     # Averages are per appearance row.  Summing and counting per player first
     # keeps the player join at one row per player; sum/count gives the same
     # value as avg over the raw rows.
-    per = _per_player(star, F.sum("goals").alias("g"), F.count("goals").alias("ng"),
-                      F.sum("assists").alias("a"), F.count("assists").alias("na"))
+    per = _per_player(star, g="goals", ng="n_goals", a="assists", na="n_assists")
     return (per.join(star.dim_player.select("player_key", "position"), "player_key")
             .groupBy("position")
             .agg((F.sum("g") / F.sum("ng")).alias("avg_goals_per_player"),
@@ -352,9 +318,7 @@ def report11_compact(star: Star, ordered: bool = True) -> DataFrame:
 
 @report(11, "full")
 def report11_full(star: Star, ordered: bool = True) -> DataFrame:
-    per = _per_player(star, F.sum("goals").alias("g"), F.sum("assists").alias("a"),
-                      F.sum("yellow_cards").alias("y"), F.sum("red_cards").alias("r"),
-                      F.count("game_key").alias("n"))
+    per = _per_player(star, g="goals", a="assists", y="yellow_cards", r="red_cards", n="games")
     # One row per player after the per-player aggregate, so counting keys is
     # the distinct player count.
     stats = (per.join(star.dim_player.select("player_key", "position"), "player_key")
@@ -369,9 +333,6 @@ def report11_full(star: Star, ordered: bool = True) -> DataFrame:
 
 
 # ---------------------------------------------------------------- R12 top matches
-MOST_BROADCAST = 10_000  # games whose keys, and the dimension rows for them, are broadcast
-
-
 def _few(top: DataFrame, k: int) -> DataFrame:
     """The k games, checkpointed (in the shared folder) while they are few, so that
     the fact is read once however often they are joined."""
@@ -452,8 +413,7 @@ def report13_compact(star: Star, ordered: bool = True) -> DataFrame:
 
 @report(13, "full")
 def report13_full(star: Star, ordered: bool = True) -> DataFrame:
-    per = _per_player(star, F.sum("goals").alias("g"), F.sum("assists").alias("a"),
-                      F.count("game_key").alias("n"))
+    per = _per_player(star, g="goals", a="assists", n="games")
     players = star.dim_player.select("player_key", "country_of_citizenship")
     stats = (players.join(per, "player_key", "left")
              .groupBy("country_of_citizenship")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import age_in_years, full_name, is_international, stamp
-from ..operators.clean import conform_dates, dedupe, fill_defaults, int_or_null, normalize_nulls, require
+from ..operators.clean import conform_dates, dedupe, dedupe_sparse, fill_defaults, int_or_null, normalize_nulls, require
 from ..sources.schemas import SPECS, TableSpec
 from .edition import Edition
 
@@ -38,19 +38,22 @@ def _derived(df: DataFrame, spec: TableSpec, ed: Edition) -> DataFrame:
     return df.withColumns(extra) if extra else df
 
 
-def conform_table(raw: DataFrame, spec: TableSpec, ed: Edition) -> DataFrame:
-    """normalize sentinels -> de-duplicate -> drop rows lacking keys -> fill -> derive."""
+def conform_table(raw: DataFrame, spec: TableSpec, ed: Edition, stored: bool = False) -> DataFrame:
+    """normalize sentinels -> de-duplicate -> drop rows lacking keys -> fill -> derive.
+
+    ``stored``: ``raw`` is a written table, cheap to scan again, so keys are counted before any
+    row is compared (``dedupe_sparse``); the rows are the same."""
     df = normalize_nulls(raw, ed.null_tokens)
     if spec.dedupe:
-        df = dedupe(df, spec.keys)
+        df = (dedupe_sparse if stored else dedupe)(df, spec.keys)
     df = require(df, spec.required)
     df = fill_defaults(df, spec.defaults)
     return _derived(df, spec, ed)
 
 
-def conform_all(raw: Mapping[str, DataFrame], ed: Edition) -> "LazyTables":
+def conform_all(raw: Mapping[str, DataFrame], ed: Edition, stored: bool = False) -> "LazyTables":
     """The edition's conformed tables, each built on first access."""
     from .star import LazyTables
 
     tables = COMPACT_TABLES if ed.name == "compact" else FULL_TABLES
-    return LazyTables({t: (lambda t=t: conform_table(raw[t], SPECS[t], ed)) for t in tables})
+    return LazyTables({t: (lambda t=t: conform_table(raw[t], SPECS[t], ed, stored)) for t in tables})

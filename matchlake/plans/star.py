@@ -43,7 +43,7 @@ class LazyTables(Mapping):
 
 
 class Star:
-    """The seven gold tables (values or lazy builders)."""
+    """The seven gold tables (values or lazy builders), and the per-player totals where they are stored."""
 
     TABLES = DIM_TABLES + FACT_TABLES
 
@@ -53,6 +53,10 @@ class Star:
             raise TypeError(f"Star: missing tables {sorted(missing)}")
         self._t = LazyTables(tables)
 
+    @property
+    def player_totals(self) -> DataFrame | None:
+        return self._t["player_totals"] if "player_totals" in list(self._t) else None
+
     dim_player = property(lambda self: self._t["dim_player"])
     dim_club = property(lambda self: self._t["dim_club"])
     dim_competition = property(lambda self: self._t["dim_competition"])
@@ -128,11 +132,7 @@ def fact_appearance(appearances: DataFrame, games: DataFrame, ed: Edition) -> Da
     merged = merge_join(appearances, games, "game_id", "inner")
     if ed.name == "compact":
         return merged.select(
-            F.col("appearance_id").alias("appearance_key"),
-            F.col("game_id").alias("game_key"),
-            F.col("player_id").alias("player_key"),
-            F.col("player_club_id").alias("club_key"),
-            F.col("competition_id").alias("competition_key"),
+            *[F.col(c).alias(key) for c, key in APPEARANCE_RENAMES.items()],
             date_key(F.col("date")).alias("date_key"),
             "season_year", "goals", "assists", "yellow_cards", "red_cards", "minutes_played",
         )
