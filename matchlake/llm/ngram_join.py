@@ -423,14 +423,16 @@ def report(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest doc_id; rows
     without shingles stay."""
-    keep = stored(joined(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
-        F.col("doc_id").alias("__keep"), F.col("txt").alias("__keep_txt")).agg(
-        F.count("*").alias("__rows"), F.max("n_shingles").alias("__n")), "keep")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")) & (
-        F.xxhash64(F.col("text").cast("string")) == F.col("__keep_txt"))
-    again = keep.filter("__rows > 1 and __n > 0")
+    spare = "_" * max(2, *[len(c) - len(c.lstrip("_")) + 1 for c in docs.columns])  # begins no column of docs
+    keep, txt, n, count = (spare + c for c in ("keep", "txt", "n", "rows"))
+    rows = stored(joined(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
+        F.col("doc_id").alias(keep), F.col("txt").alias(txt)).agg(
+        F.count("*").alias(count), F.max("n_shingles").alias(n)), "keep")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(keep)) & (
+        F.xxhash64(F.col("text").cast("string")) == F.col(txt))
+    again = rows.filter((F.col(count) > 1) & (F.col(n) > 0))
     if again.isEmpty():
-        return docs.join(keep, same, "left_semi")
+        return docs.join(rows, same, "left_semi")
     # Rows repeated with their doc_id: one of each.
     once = docs.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return docs.join(keep.filter("__rows = 1 or __n = 0"), same, "left_semi").unionByName(once)
+    return docs.join(rows.filter((F.col(count) == 1) | (F.col(n) == 0)), same, "left_semi").unionByName(once)

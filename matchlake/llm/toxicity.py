@@ -249,13 +249,13 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         draw = F.pmod(F.xxhash64(F.lit("label"), "__id"), F.lit(1 << 30))
         known = known.filter(draw < (1 << 30) * MOST_LABELS // n)
     known = known.withColumn("fold", (F.pmod(F.xxhash64(F.lit("fold"), "__id"), F.lit(2))).cast("int"))
-    own = F.xxhash64(text_of())                 # tells rows of one id apart
-
-    def with_text(rows, *more):
-        return docs.join(F.broadcast(rows), [F.col("doc_id") == F.col("__id"), *more])  # bounded by MOST_LABELS
-
-    rows = with_text(known).select(F.col("__id").cast("long").alias("id"), own.alias("h"), "toxic", text_of().alias("text"))
-    sketches = stored(rows.mapInPandas(_sketched, "id long, h long, toxic int, sketch array<long>"), "toxic-sketches")
+    # The texts are fetched once, bounded by MOST_LABELS; a hash tells rows of one id apart.
+    rows = docs.select(F.col("doc_id").alias("__doc"), text_of().alias("text")).join(
+        F.broadcast(known), F.col("__doc") == F.col("__id"))
+    rows = rows.select(F.col("__id").cast("long").alias("id"), F.xxhash64("text").alias("h"), "toxic", "fold", "text")
+    rows = stored(rows, "toxic-rows")
+    sketches = rows.select("id", "h", "toxic", "text").mapInPandas(_sketched, "id long, h long, toxic int, sketch array<long>")
+    sketches = stored(sketches, "toxic-sketches")
     sketches = sketches.dropDuplicates(["id", "h"])
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                         lambda i: F.struct(i, F.xxhash64(F.slice("sketch", i * BAND + 1, BAND))))
@@ -264,16 +264,14 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     pairs = banded.join(shared, ["toxic", "band"]).groupBy("toxic", "band").applyInPandas(
         _pairs, "id long, h long, id2 long, h2 long")
     pairs = stored(pairs.distinct(), "toxic-pairs")
-    named = pairs.select("id", "h").union(pairs.select("id2", "h2")).distinct().select(F.col("id").alias("__id"), F.col("h").alias("__h"))
-    texts = with_text(named, F.col("__h") == own).select(F.col("__id").alias("id"), F.col("__h").alias("h"), text_of().alias("text"))
+    named = pairs.select("id", "h").union(pairs.select("id2", "h2")).distinct()
+    texts = rows.join(F.broadcast(named), ["id", "h"]).select("id", "h", "text")
     texts = stored(texts.dropDuplicates(["id", "h"]), "toxic-texts")
     others = texts.select(F.col("id").alias("id2"), F.col("h").alias("h2"), F.col("text").alias("text2"))
     copies = pairs.join(texts, ["id", "h"]).join(others, ["id2", "h2"]).select("id", "h", "text", "text2")
     copies = copies.mapInPandas(_near, "id long, h long").distinct()
-    kept = sketches.select("id", "h").join(copies, ["id", "h"], "left_anti")
-    kept = kept.select(F.col("id").alias("__id"), F.col("h").alias("__h"))
-    kept = stored(known.join(kept, "__id"), "toxic-labels")
-    return with_text(kept, F.col("__h") == own).select(text_of().alias("text"), F.col("toxic"), F.col("fold"))
+    kept = stored(sketches.select("id", "h").join(copies, ["id", "h"], "left_anti"), "toxic-labels")
+    return rows.join(F.broadcast(kept), ["id", "h"]).select("text", "toxic", "fold")
 
 
 COUNTS = "key string, c0 long, t0 long, c1 long, t1 long"

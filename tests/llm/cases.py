@@ -6,7 +6,8 @@ import random
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           # Columns that an operator might use as names of its own.
-          "size long, shard int, cls long, n_words long, score double, root long, __size long")
+          "size long, shard int, cls long, n_words long, score double, root long, __size long, toxic int, fold int, "
+          "__id long, __h long, __keep long, __keep_txt long, ___n long")
 
 
 def vocabulary(seed: int, n: int = 400) -> list[str]:
@@ -43,7 +44,7 @@ def documents(seed: int = 7) -> list[tuple]:
 def frame(spark, rows: list[tuple]):
     """``documents`` with all its columns and clashing ones."""
     return spark.createDataFrame(
-        [(i, t, "en", s, len(t or ""), 1, 2, 3, 4, 0.5, 6, 7) for i, t, s in rows], SCHEMA)
+        [(i, t, "en", s, len(t or ""), 1, 2, 3, 4, 0.5, 6, 7, 1, 1, 8, 8, 8, 8, 8) for i, t, s in rows], SCHEMA)
 
 
 def rows_of(df) -> list[tuple]:
