@@ -36,7 +36,7 @@ def spread_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
 
 
 def merge_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
-               how: str = "inner") -> DataFrame:
+               how: str = "inner", spread: bool = True) -> DataFrame:
     """Join on same-named keys and resolve name clashes.
 
     Output columns, in this order: the keys once; every left column in left
@@ -47,7 +47,8 @@ def merge_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
 
     Hot keys of the left side are split (see ``spread_join``).  A right or full
     join cannot be split on that side as it is, so it is written as the inner or left
-    join and the right rows whose key the left lacks.
+    join and the right rows whose key the left lacks.  ``spread=False`` joins on the keys alone, which
+    tables clustered by them need to be joined without an exchange.
     """
     keys = [on] if isinstance(on, str) else list(on)
     how_n = how.lower()
@@ -58,7 +59,7 @@ def merge_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
         raise KeyError(f"merge_join: key(s) {missing} missing on one side")
     main = "inner" if how_n in _RIGHT else "left" if how_n in _FULL else how_n
     renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in right.columns if c not in keys})
-    joined = spread_join(left, renamed, keys, main)
+    joined = spread_join(left, renamed, keys, main) if spread else left.join(renamed, keys, main)
     out = _merge_select(joined, left, right, keys)
     if how_n not in _RIGHT | _FULL:
         return out

@@ -865,6 +865,13 @@ def oracle_queries() -> dict[str, str]:
     bodies.update(_reports())
     bodies["report_csv_export"] = bodies["report05_compact"]
     bodies["report11_from_totals"] = bodies["report11_full"]
+    bodies["fact_appearance_bucketed"] = bodies["fact_appearance"]
+    bodies["player_totals_bucketed"] = bodies["player_totals"]
+    bodies["games_star_by_stats"] = """
+SELECT g.game_key, g.competition_key, g.home_club_key, g.date_key, g.total_goals, c.name AS competition,
+  k.name AS home_club, d.month_name
+FROM c_fact_game g JOIN c_dim_competition c ON g.competition_key = c.competition_key
+JOIN c_dim_club k ON g.home_club_key = k.club_key LEFT JOIN c_dim_date d ON g.date_key = d.date_key"""
     bodies["conform_rejects"] = _conform_rejects("s_", LAYERS["silver"])
     bodies["conform_rejects_full"] = _conform_rejects(
         "sf_", ["players", "appearances", "games", "clubs", "competitions", "game_events"])

@@ -20,7 +20,7 @@ from ..sources import adapter
 from ..sources.io import (NULL_MARK, CsvDialect, LayerPaths, csv_quarantine, csv_rejects, ingest_all, read_csv,
                           read_table, write_csv, write_table)
 from ..sources.schemas import SCHEMAS, SOURCE_TABLES, SPECS
-from . import jobs, quality
+from . import bucketed, jobs, quality, statistics
 from . import reports as R
 from .edition import Edition, compact, full
 from .silver import COMPACT_TABLES, FULL_TABLES, conform_all, conform_table
@@ -269,6 +269,30 @@ register("player_totals")(_totals(compact))
 register("player_totals_full")(_totals(full))
 
 
+@register("fact_appearance_bucketed")
+def fact_appearance_bucketed(spark, sf):
+    """FT1 from tables clustered by game, itself clustered by player."""
+    return bucketed.appearance_fact(Layers(spark, sf).silver(compact()), scratch_path(spark, "buckets"), compact(), 16)
+
+
+@register("player_totals_bucketed")
+def player_totals_bucketed(spark, sf):
+    return bucketed.totals(fact_appearance_bucketed(spark, sf))
+
+
+@register("games_star_by_stats")
+def games_star_by_stats(spark, sf):
+    """Games with competition, date and home club, joined in the order and by the strategy of measured sizes."""
+    star = Layers(spark, sf).star(compact())
+    games = star.fact_game.select("game_key", "competition_key", "home_club_key", "date_key", "total_goals")
+    dims = [("competition_key", star.dim_competition.select("competition_key", F.col("name").alias("competition")), "inner"),
+            ("home_club_key", star.dim_club.select(F.col("club_key").alias("home_club_key"), F.col("name").alias("home_club")), "inner"),
+            ("date_key", star.dim_date.select("date_key", "month_name"), "left")]
+    measured = statistics.measure(games, [k for k, *_ in dims])
+    return statistics.star_join(games, measured, [
+        statistics.Dimension(df, key, statistics.measure(df, [key]), how) for key, df, how in dims])
+
+
 @register("report11_from_totals")
 def report11_from_totals(spark, sf):
     """R11 full from written totals, without the fact: those of even and of odd competitions, merged."""

@@ -126,10 +126,11 @@ def dim_date(games: DataFrame, ed: Edition) -> DataFrame:
     return dates.withColumns(cols)
 
 
-def fact_appearance(appearances: DataFrame, games: DataFrame, ed: Edition) -> DataFrame:
+def fact_appearance(appearances: DataFrame, games: DataFrame, ed: Edition, spread: bool = True) -> DataFrame:
     """Appearances merged with their game (inner): competition and date fall back to
-    the game's.  A game with very many appearances is split (``merge_join``)."""
-    merged = merge_join(appearances, games, "game_id", "inner")
+    the game's.  A game with very many appearances is split (``merge_join``), unless both tables
+    are clustered by game and joined as they lie (``spread=False``)."""
+    merged = merge_join(appearances, games, "game_id", "inner", spread)
     if ed.name == "compact":
         return merged.select(
             *[F.col(c).alias(key) for c, key in APPEARANCE_RENAMES.items()],
