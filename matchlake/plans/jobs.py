@@ -215,7 +215,7 @@ def report_status(spark: SparkSession, paths: LayerPaths,
 
 def run_quality(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
     """Quality tables of one edition, computed from the written layers:
-    ``layer_row_counts`` (bronze, silver, dimensions, facts), ``report_status``
+    ``layer_row_counts`` (bronze, silver, dimensions, facts), ``report_status``, ``report_summary``
     and ``quality_metrics``; each is written under ``gold/<edition>/quality``."""
     from . import quality
 
@@ -228,6 +228,7 @@ def run_quality(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFram
     outputs = {
         "layer_row_counts": quality.written_row_counts(spark, layers, paths.fmt),
         "report_status": reports,
+        "report_summary": quality.report_summary(reports),
         "quality_metrics": quality.quality_metrics(read_star(spark, paths)),
     }
     # A report that cannot be read is a failure of the stage, and so of the exit code.

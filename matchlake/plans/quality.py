@@ -34,6 +34,13 @@ def written_row_counts(spark: SparkSession, layers: dict[str, dict[str, str]], f
                                  "layer string, table_name string, row_count bigint")
 
 
+def report_summary(status: DataFrame) -> DataFrame:
+    """One row over ``report_status``: how many of the reports are there (``15 of 15``), missing or unreadable."""
+    counts = status.agg(F.count(F.lit(1)).alias("reports"), *[
+        F.count_if(F.col("status") == s).alias(s) for s in ("present", "missing", "failed")])
+    return counts.withColumn("headline", F.concat_ws(" of ", F.col("present").cast("string"), F.col("reports").cast("string")))
+
+
 def quality_metrics(star: Star) -> DataFrame:
     """Long-format (metric, value): valid birth dates, known positions, goal,
     assist and game totals.  A total over an empty table is NULL, not an error."""

@@ -126,6 +126,12 @@ def test_quarantine_stage_writes_a_table(spark, sf_small):
     assert {"reason", "record", "copies"} <= set(written.columns)
 
 
+def test_reports_are_summed_up(spark):
+    status = spark.createDataFrame([("a", "present"), ("b", "missing"), ("c", "present"), ("d", "failed")], "report string, status string")
+    assert tuple(quality.report_summary(status).first()) == (4, 2, 1, 1, "2 of 4")
+    assert tuple(quality.report_summary(status.limit(0)).first()) == (0, 0, 0, 0, "0 of 0")
+
+
 # ---------------------------------------------------------------- footers
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc"])
