@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import remove_scratch, scratch_path
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: set[str] = set()
@@ -23,13 +26,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_made: ContextVar[list[str] | None] = ContextVar("_made", default=None)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables that ``stored`` makes inside go when it ends: what reads them must have been
+    ``written`` by then."""
+    paths: list[str] = []
+    before = _made.set(paths)
+    try:
+        yield
+    finally:
+        _made.reset(before)
+        for path in paths:
+            remove_scratch(spark, path)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` and read it back."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a scratch table and read it back: lineage ends there, and
     lost executors cost no recomputation of what led to it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_path(df.sparkSession, name)
+    if (paths := _made.get()) is not None:
+        paths.append(path)
+    return written(df, path)
 
 
 def text_of(column: str = "text") -> Column:

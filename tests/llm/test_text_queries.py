@@ -25,6 +25,29 @@ def test_names_and_entry():
         "quality_rules", "ngram_join", "benchmark_decontamination", "source_mix", "sharding"]
 
 
+def test_pipeline_takes_awkward_rows_and_leaves_one_table(spark, sf_small):
+    import glob
+
+    from . import cases
+
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(glob.glob(f"{folder}/matchlake-*"))
+    docs = cases.frame(spark, cases.documents()).repartition(3)
+    out = corpus_pipeline.apply(spark, docs, sf_small)
+    kept = [c for c in docs.columns if c != "shard"]
+    assert out.columns == [*kept, "shard", "slot"]
+    rows = out.collect()
+    # Prose stays (its 60 documents, those long enough), copies and junk go, and slots have no gap.
+    ids = Counter(r.doc_id for r in rows)
+    assert len([i for i in ids if i is not None and i < 60]) > 30 and not {400, 401, 402, 407, 409, 410} & set(ids)
+    assert len([i for i in ids if i is not None and 100 <= i < 125]) <= 1
+    for shard in {r.shard for r in rows}:
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+    left = set(glob.glob(f"{folder}/matchlake-*")) - before
+    assert len(left) == 1 and "stage-sharding" in left.pop()
+    assert corpus_pipeline.apply(spark, cases.frame(spark, []), sf_small).count() == 0
+
+
 def test_pipeline_stage_by_stage(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     ids = lambda df: Counter(r.doc_id for r in df.select("doc_id").collect())
