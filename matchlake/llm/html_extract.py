@@ -81,7 +81,7 @@ FEW, MANY = 0.12, 0.22  # stop-word density
 NO_STOPS = 0.03        # stop-word density of a page below which its language is another one
 WIDE = 2               # how many letters a character of an unspaced script counts for
 
-_NAME = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
+_NAME = re.compile(r"(/?)([A-Za-z][^\s/<>]*)(?:([^<>=\"']*)>)?")  # the whole tag, if nothing in it is quoted
 _STOP = re.compile(r"[>=]")
 _BLANK = re.compile(r"\s*")
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
@@ -212,12 +212,12 @@ def blocks(page: str) -> tuple[list[Block], list[Container]]:
             at = begin = upto(">", at)
             continue
         m = _NAME.match(page, at + 1)
-        end = tags.end(m.end()) if m else -1
+        end = -1 if not m else m.end() if m[3] is not None else tags.end(m.end())
         if end < 0:
             at += 1
             continue                           # a < that is text
         add(page[begin:start])
-        name, closing, attributes = m[2].lower(), bool(m[1]), page[m.end():end - 1]
+        name, closing, attributes = m[2].lower(), bool(m[1]), page[m.end():end - 1] if m[3] is None else m[3]
         at = begin = end
         if name in SKIPPED and not closing:
             if not attributes.rstrip().endswith("/") and name not in unended:
@@ -296,24 +296,22 @@ def _excuse(found: list[Block], alone: list[str], containers: list[Container]) -
 
 
 def _density(text: str) -> tuple[int, int]:
-    words = _WORD.findall(text)
-    return sum(w.lower() in STOP_WORDS for w in words), len(words)
+    words = _WORD.findall(text.lower())
+    return sum(map(STOP_WORDS.__contains__, words)), len(words)
 
 
 def _length(text: str) -> int:
-    return len(text) + (WIDE - 1) * len(_UNSPACED.findall(text))
+    return len(text) if text.isascii() else len(text) + (WIDE - 1) * len(_UNSPACED.findall(text))
 
 
-def _alone(block: Block, listed: bool) -> str:
+def _alone(block: Block, size: int, stops: int, words: int, listed: bool) -> str:
     """The label of a block by itself, wherever it stands."""
     if block.linked > LINKED * len(block.text) or (not block.main and block.text.startswith(("©", "Copyright"))):
         return "bad"
-    size = _length(block.text)
     if block.tag in HEADINGS or size < SHORT:
         return "short"
     if not listed:                             # length and links alone
         return "good" if size >= LONG or block.main else "near"
-    stops, words = _density(block.text)
     density = stops / max(1, words)
     if density >= MANY:
         return "good" if size >= LONG or block.main else "near"
@@ -323,9 +321,10 @@ def _alone(block: Block, listed: bool) -> str:
 
 
 def first_pass(found: list[Block], containers: list[Container]) -> list[str]:
-    long = [_density(b.text) for b in found if _length(b.text) >= SHORT]
-    listed = sum(s for s, _ in long) >= NO_STOPS * sum(n for _, n in long)
-    alone = [_alone(b, listed) for b in found]
+    sizes = [_length(b.text) for b in found]
+    counts = [_density(b.text) if size >= SHORT else (0, 0) for b, size in zip(found, sizes)]
+    listed = sum(s for s, _ in counts) >= NO_STOPS * sum(n for _, n in counts)
+    alone = [_alone(b, size, *count, listed) for b, size, count in zip(found, sizes, counts)]
     _excuse(found, alone, containers)
     for c in containers:
         c.bad = not c.excused or (c.outer is not None and c.outer.bad)

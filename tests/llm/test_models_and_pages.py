@@ -295,7 +295,7 @@ def test_languages_without_a_list_are_judged_by_length_and_links(text):
 
 
 @pytest.mark.parametrize("piece", [
-    "<a \"", "<a =\"", "<a =\">\" ", "<a ", "<a x='", "<a ='\">", "<div>", "<div class=nav>", "<title>", "<textarea>", "<!--", "<![CDATA[",
+    "<a \"", "<a", "<a/", "<a =\"", "<a =\">\" ", "<a ", "<a x='", "<a ='\">", "<div>", "<div class=nav>", "<title>", "<textarea>", "<!--", "<![CDATA[",
     "<", "</div>", "<p class=\"", "&", "= ", "<form><p>", "<b>", "</p><p>"])
 def test_broken_pages_take_linear_time(piece):
     import time
