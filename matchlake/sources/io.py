@@ -300,7 +300,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def _publish(spark: SparkSession, path: str, version: str) -> None:
     """Make a written version the current one by creating its empty marker: one atomic step, on file systems and
-    object stores alike.  Then versions beyond ``KEPT_VERSIONS``, and those never published, go."""
+    object stores alike.  Then versions beyond ``KEPT_VERSIONS``, and those never published, go (a table has
+    one writer at a time)."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     mark = hadoop.Path(f"{path}/{_MARK}{version}")
     fs = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -311,7 +312,7 @@ def _publish(spark: SparkSession, path: str, version: str) -> None:
         fs.delete(hadoop.Path(f"{path}/{_MARK}{old}"), False)   # the marker first: a version is whole or not there
         fs.delete(hadoop.Path(f"{path}/{old}"), True)
     for name in _names(spark, path):
-        if _VERSION.fullmatch(name) and name < versions[-1] and name not in versions:
+        if _VERSION.fullmatch(name) and name[:9] <= versions[-1][:9] and name not in versions:
             fs.delete(hadoop.Path(f"{path}/{name}"), True)      # of a writer that failed
 
 
