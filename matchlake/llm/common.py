@@ -49,13 +49,23 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A scratch folder, which goes with those of ``stored``."""
+    path = scratch_path(spark, name)
+    if (paths := _made.get()) is not None:
+        paths.append(path)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a scratch table and read it back: lineage ends there, and
     lost executors cost no recomputation of what led to it."""
-    path = scratch_path(df.sparkSession, name)
-    if (paths := _made.get()) is not None:
-        paths.append(path)
-    return written(df, path)
+    return written(df, scratch(df.sparkSession, name))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
 def text_of(column: str = "text") -> Column:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -310,6 +311,52 @@ def test_ledger_scans_only_what_it_lacks(spark):
     assert paths == {1: 1, 2: 0, 3: 1, 4: 1}
 
 
+def test_ledger_at_a_path_only_grows(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    first = cases.frame(spark, [(1, SECRETS[0], "a"), (2, "clean", "a"), (3, SECRETS[0], "a")])
+    assert secret_scan.update(first, path).count() == 2 * len(secret_scan.RULES)
+    files = {f.name for f in (tmp_path / "ledger").glob("*.parquet")}
+    again = secret_scan.update(first.union(first), path)
+    assert again.count() == 2 * len(secret_scan.RULES)          # nothing was left to scan
+    second = first.union(cases.frame(spark, [(4, SECRETS[3], "a"), (5, None, "a")]))
+    ledger = secret_scan.update(second, path)
+    assert ledger.count() == 4 * len(secret_scan.RULES)
+    assert files <= {f.name for f in (tmp_path / "ledger").glob("*.parquet")}  # old rows stay where they were
+    assert {r.doc_id: len(r.spans) for r in secret_scan.findings(second, ledger).collect()} == {1: 1, 2: 0, 3: 1, 4: 1, 5: 0}
+
+
+def test_a_text_of_very_many_secrets(spark):
+    many = "x token=abcdefgh1 é " * 40_000
+    start = time.monotonic()
+    got = secret_scan.report(cases.frame(spark, [(1, many, "a"), (1, many, "a"), (2, "clean", "a")])).collect()
+    assert time.monotonic() - start < 60   # copying all spans for each match took minutes
+    assert sorted((r.doc_id, r.n_assign) for r in got) == [(1, 40_000), (1, 40_000), (2, 0)]
+    assert all(r.spans == brute_spans(many) for r in got if r.doc_id == 1)
+
+
+def test_findings_of_a_blob_in_a_third_of_all_rows_are_split(spark):
+    rows = [(i, SECRETS[0] if i % 3 == 0 else f"text {i}", "a") for i in range(60_000)]
+    docs = cases.frame(spark, rows).repartition(8)
+    ledger = secret_scan.scan(docs)
+    # Small inputs stand for large ones: no broadcasts, many partitions, low thresholds.
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.shuffle.partitions": "64"}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        df = secret_scan.findings(docs, ledger)
+        n = df.filter("size(spans) > 0").count()
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in names:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert n == 20_000 and "skew=true" in plan
+
+
 # ---------------------------------------------------------------- chat
 
 CHAT = [(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|>\n<|im_start|>user\nno"), (1, 2, "user", None), (2, 0, "system", ""),
