@@ -3,21 +3,25 @@
 1. Draw keys (crc32 of the text) with probability in proportion to the size; the
    sample has about ``SAMPLE`` keys whatever the size of the corpus.
 2. Quantiles of the sample are the splitters of ``RANGES`` key ranges.
-3. An aggregate gives the exact bytes of each range.  Ranges are subdivided into
-   cells of at most about ``CELL_BYTES``, by a hash of the key; a range above twice its fair
-   part (a text copied very often, whose key no splitter can divide) by a hash of doc_id.
+3. An aggregate gives the exact bytes of each range.  A range above twice the unit (a ``RANGES``th
+   of all bytes, at most ``CELL_BYTES``) is cut into equal intervals of its keys, which crc32 spreads evenly.
+   Only keys that alone are above the unit (a text copied very often, which no splitter can divide) are
+   dealt by a hash of doc_id into cells of their own; the other keys of their interval lie
+   before and after them, so equal texts below that size share a cell, and cells are in key order at any size.
 4. Cells in key order have exact byte and row offsets; a window inside each cell
    gives every row its position in the whole order, and so its shard: the byte
    position of its middle, in 24ths of all bytes.  Equal texts of one cell go
    together by the middle of their group while the group is under 1 % of a shard;
    larger groups are divided row by row.
 
-The order is (range, cell, crc32, doc_id); ``slot`` is the row's place in it less
+The order is (range, interval, cell, crc32, doc_id); ``slot`` is the row's place in it less
 that of the shard's first row.  The largest window is one cell.  The offsets of cells
 are summed in one task (a row per 128 MB of input, or per range while that is more) and
 broadcast while they are at most ``MOST_BROADCAST``.  Statistics are taken from a stored
 table of keys and sizes; the rows themselves are shuffled once.
 
+A row repeated with its doc_id and text is no key that can be dealt: all its copies share one cell.
+
 Defined cases: null text has no bytes (size 8, crc32 0); repeated rows are rows of
 their own; an empty table gives an empty result.
 """
@@ -37,7 +41,8 @@ CELL_BYTES = 128 << 20  # of a cell, the unit that one task sorts
 MOST_BROADCAST = 50_000  # cells
 GROUP_SHARE = 0.01     # a group of equal texts under this part of a shard stays whole
 ROW_BYTES = 8          # counted for each row besides its text
-CELL = ["__range", "__cell"]
+CELL = ["__range", "__part", "__cell"]
+KEYS = 1 << 32         # crc32
 
 
 def sized(docs: DataFrame, carry: list[str]) -> DataFrame:
@@ -50,9 +55,16 @@ def sized(docs: DataFrame, carry: list[str]) -> DataFrame:
 def splitters(keys: DataFrame, total: int) -> list[int]:
     """Quantile boundaries of a size-weighted sample of the keys."""
     draw = F.pmod(F.xxhash64("__id", "__crc", "__size"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    drawn = keys.filter(draw < F.col("__size") * F.lit(SAMPLE / max(total, 1))).select("__crc")
-    drawn = sorted(r[0] for r in drawn.collect())  # about SAMPLE, by its rate
-    return sorted({drawn[len(drawn) * i // RANGES] for i in range(1, RANGES)}) if drawn else []
+    drawn = keys.filter(draw < F.col("__size") * F.lit(SAMPLE / max(total, 1)))
+    drawn = sorted(map(tuple, drawn.groupBy("__crc").count().collect()))  # about SAMPLE at most, by its rate
+    n, seen, cuts = sum(c for _, c in drawn), 0, set()
+    for key, count in drawn:
+        # The ranks n * i // RANGES that fall on this key.
+        first = max(1, -(-seen * RANGES // n))
+        if first < RANGES and n * first // RANGES < seen + count:
+            cuts.add(key)
+        seen += count
+    return sorted(cuts)
 
 
 def with_range(rows: DataFrame, cuts: list[int]) -> DataFrame:
@@ -61,16 +73,34 @@ def with_range(rows: DataFrame, cuts: list[int]) -> DataFrame:
     return rows.withColumn("__range", at)
 
 
-def with_cell(rows: DataFrame, parts: dict[int, tuple[int, bool]]) -> DataFrame:
-    """``__cell``: which part of a subdivided range, else 0.  ``parts``: for a range the
-    number of its parts, and whether one key makes it overfull."""
-    cell = F.lit(0)
-    for hot, what in ((False, "__crc"), (True, "__id")):
-        n = {r: k for r, (k, h) in parts.items() if h == hot}
-        if n:
-            of = F.element_at(F.create_map(*[F.lit(x) for item in sorted(n.items()) for x in item]), F.col("__range"))
-            cell = F.coalesce(F.pmod(F.xxhash64(F.lit("cell"), what), of).cast("int"), cell)
-    return rows.withColumn("__cell", cell)
+def with_part(rows: DataFrame, cuts: list[int], parts: dict[int, int]) -> DataFrame:
+    """``__part``: which of the equal intervals of its range holds the key, in a range that has several."""
+    part = F.lit(0)
+    if parts:
+        bounds = [0, *cuts, KEYS]
+        known = F.create_map(*[x for r, n in sorted(parts.items()) for x in (
+            F.lit(r), F.struct(F.lit(bounds[r]).cast("long").alias("low"), F.lit(bounds[r + 1]).cast("long").alias("high"),
+                               F.lit(n).cast("long").alias("n")))])
+        at = F.element_at(known, F.col("__range"))
+        inside = F.floor((F.col("__crc") - at["low"]).cast("double") / (at["high"] - at["low"]) * at["n"]).cast("long")
+        part = F.coalesce(F.least(inside, at["n"] - 1), F.lit(0))
+    return rows.withColumn("__part", part.cast("long"))
+
+
+HOT = "array<struct<crc: bigint, n: bigint>>"
+
+
+def with_cell(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """``__cell`` of a row within its interval: 0 before the first overfull key, 1 to n for the rows of that key by
+    doc_id, n + 1 for the keys up to the next one, and so on.  ``hot``: (range, part, overfull keys)."""
+    if hot is None:
+        return rows.withColumn("__cell", F.lit(0).cast("long"))
+    rows = rows.join(hot, ["__range", "__part"], "left").withColumn("__hot", F.coalesce("__hot", F.array().cast(HOT)))
+    below = F.aggregate(F.filter("__hot", lambda h: h["crc"] < F.col("__crc")), F.lit(0).cast("long"),
+                        lambda n, h: n + h["n"] + 1)
+    mine = F.get(F.filter("__hot", lambda h: h["crc"] == F.col("__crc")), F.lit(0))["n"]
+    dealt = F.coalesce(F.pmod(F.xxhash64(F.lit("cell"), "__id"), mine) + 1, F.lit(0).cast("long"))
+    return rows.withColumn("__cell", below + dealt).drop("__hot")
 
 
 class Layout:
@@ -81,13 +111,11 @@ class Layout:
         self.shards = shards
         self.total = keys.agg(F.coalesce(F.sum("__size"), F.lit(0))).first()[0]
         self.cuts = splitters(keys, self.total)
-        fair = max(1, self.total // RANGES)
-        keys = with_range(keys, self.cuts)
-        ranges = keys.groupBy("__range").agg(F.sum("__size").alias("b")).collect()  # RANGES at most
-        unit = min(fair, CELL_BYTES)
-        self.parts = {r["__range"]: (-(-r["b"] // (unit if r["b"] > 2 * fair else CELL_BYTES)), r["b"] > 2 * fair)
-                      for r in ranges if r["b"] > min(2 * fair, CELL_BYTES)}
-        cells = with_cell(keys, self.parts).groupBy(*CELL).agg(F.sum("__size").alias("__b"), F.count("*").alias("__n"))
+        unit = max(1, min(self.total // RANGES, CELL_BYTES))
+        ranges = with_range(keys, self.cuts).groupBy("__range").agg(F.sum("__size").alias("b")).collect()  # RANGES at most
+        self.parts = {r["__range"]: -(-r["b"] // unit) for r in ranges if r["b"] > 2 * unit}
+        self.hot = self._overfull(keys, unit)
+        cells = self._celled(keys).groupBy(*CELL).agg(F.sum("__size").alias("__b"), F.count("*").alias("__n"))
         before = W.orderBy(*CELL).rowsBetween(W.unboundedPreceding, -1)
         cells = cells.select(*CELL, F.coalesce(F.sum("__b").over(before), F.lit(0)).alias("__cell_b"),
                              F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__cell_n"))
@@ -96,10 +124,33 @@ class Layout:
         first = self._placed(keys).groupBy("__shard").agg(F.min("__at").alias("at")).collect()  # one row per shard
         self.first = {r["__shard"]: r["at"] for r in first}
 
+    def _overfull(self, keys: DataFrame, unit: int) -> DataFrame | None:
+        """Keys above ``unit`` (fewer than ``total / unit``) with the number of their cells, by interval.  Keys are
+        counted singly only in the intervals above it, and in the map tasks first."""
+        if not self.parts:
+            return None
+        keys = with_part(with_range(keys, self.cuts), self.cuts, self.parts)
+        of = ["__range", "__part"]
+        full = keys.groupBy(*of).agg(F.sum("__size").alias("__b")).filter(F.col("__b") > unit).select(*of)
+        full = stored(full, "shard-full")
+        few = full.count()
+        if not few:
+            return None
+        full = F.broadcast(full) if few <= MOST_BROADCAST else full
+        each = keys.join(full, of, "left_semi").groupBy(*of, "__crc").agg(
+            F.sum("__size").alias("__b"), F.count("*").alias("__n")).filter(f"__b > {unit} and __n > 1")
+        hot = each.groupBy(*of).agg(F.sort_array(F.collect_list(F.struct(
+            F.col("__crc").cast("long").alias("crc"), F.ceil(F.col("__b") / unit).cast("long").alias("n")))).cast(HOT).alias("__hot"))
+        hot = stored(hot, "shard-hot")
+        n = hot.count()
+        return None if not n else F.broadcast(hot) if n <= MOST_BROADCAST else hot
+
+    def _celled(self, rows: DataFrame) -> DataFrame:
+        return with_cell(with_part(with_range(rows, self.cuts), self.cuts, self.parts), self.hot)
+
     def _placed(self, rows: DataFrame) -> DataFrame:
         """Adds ``__shard`` and ``__at``, the place in the whole order."""
-        rows = with_cell(with_range(rows, self.cuts), self.parts)
-        rows = rows.join(self.cells, CELL)
+        rows = self._celled(rows).join(self.cells, CELL)
         order = W.partitionBy(*CELL).orderBy("__crc", "__id", "__size")
         peers = W.partitionBy(*CELL).orderBy("__crc").rangeBetween(W.unboundedPreceding, W.currentRow)
         rows = rows.withColumns({

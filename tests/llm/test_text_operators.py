@@ -224,6 +224,33 @@ def test_shards_divide_a_text_that_is_half_of_all(spark):
     assert len(load) == 24 and 0.95 * fair <= min(load.values()) and max(load.values()) <= 1.05 * fair
 
 
+@pytest.mark.parametrize("cell", [sharding.CELL_BYTES, 500])
+def test_only_overfull_keys_are_dealt(spark, monkeypatch, cell):
+    """Near a text in a third of all rows, small groups of equal texts stay together and in key order."""
+    monkeypatch.setattr(sharding, "CELL_BYTES", cell)
+    hot = "the very same text " * 4
+    rows = [(i, hot, "a") for i in range(1500)] + [(2000 + i, f"text {i // 3}", "a") for i in range(3000)]
+    got = sharding.report(cases.frame(spark, rows)).collect()
+    groups, order = defaultdict(set), []
+    for r in got:
+        groups[r.text_crc32].add(r.shard)
+        order.append((r.shard, r.slot, r.text_crc32))
+    key = zlib.crc32(hot.encode())
+    assert len(groups[key]) > 4 and all(len(s) == 1 for k, s in groups.items() if k != key)
+    keys = [k for _, _, k in sorted(order)]
+    assert keys == sorted(keys)
+
+
+def test_splitters_are_quantiles_of_the_draw(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RANGES", 8)
+    for counts in ([1] * 40, [1, 30, 1, 1, 1, 6], [5], [3, 1, 9, 2, 2], []):
+        keys = spark.createDataFrame([(i, 1, 10 * k) for i, k in enumerate(k for k, c in enumerate(counts) for _ in range(c))],
+                                     "__id long, __size long, __crc long")
+        drawn = sorted(10 * k for k, c in enumerate(counts) for _ in range(c))  # total 1: every row is drawn
+        want = sorted({drawn[len(drawn) * i // 8] for i in range(1, 8)}) if drawn else []
+        assert sharding.splitters(keys, 1) == want
+
+
 def test_sharded_rows_keep_their_columns(docs):
     out = sharding.sharded(docs)
     assert out.columns == [c for c in docs.columns if c != "shard"] + ["shard", "slot"]
