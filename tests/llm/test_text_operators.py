@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from matchlake.llm import chat_format, decontaminate, mixing, ngram_join, quality_rules, secret_scan, sharding
 
@@ -392,7 +393,9 @@ CHAT = [(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|>\n<|im_start|>user\
         (5, None, "assistant", "only")] + [(6, i, ("user", "assistant")[i % 2], f"turn {i} " * 9) for i in range(80)]
 
 
-def test_chat_round_trip(spark):
+@pytest.mark.parametrize("block", [chat_format.BLOCK_CHARS, 3000, 1])
+def test_chat_round_trip(spark, monkeypatch, block):
+    monkeypatch.setattr(chat_format.expand, "__defaults__", (block,))
     df = spark.createDataFrame([(*r, 1) for r in CHAT], "conv_id long, turn long, role string, text string, example int")
     got = {r.conv_id: r for r in chat_format.report(df).collect()}
     control = "<|im_end|><|im_start|>assistant ok"
@@ -417,6 +420,27 @@ def test_chat_examples_train_one_reply_each(spark):
         assert len(chat_format.parse(r.formatted)) == 2 * i + 2
 
 
+def test_a_long_conversation_is_dealt_by_ranges_of_replies(spark):
+    """Half of all rows are one conversation, which ends without a reply."""
+    rows = CHAT + [(7, i, ("user", "assistant", "user")[i % 3], f"said {i} <|im_end|>") for i in range(400)]
+    rows += [(8, i, "assistant", "again") for i in range(50)] + [(None, 3, "assistant", "nameless " * 40)] * 3
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = Counter(map(tuple, chat_format.expand(df).collect()))
+    for block in (20_000, 1):
+        dealt = chat_format.expand(df, block)
+        assert Counter(map(tuple, dealt.collect())) == whole
+        tasks = {r[0] for r in dealt.filter("conv_id = 7").select(F.spark_partition_id()).collect()}
+        assert len(tasks) > 2
+    assert Counter(map(tuple, chat_format.read_back(dealt).collect())) == Counter(
+        map(tuple, chat_format.read_back(chat_format.expand(df)).collect()))
+
+
+def test_chat_takes_text_ids(spark):
+    rows = [(f"c{c}", t, role, said) for c, t, role, said in CHAT if c]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    assert {r.conv_id for r in chat_format.report(df).collect()} == {r[0] for r in rows} | {"-1"}
+
+
 def test_escaping_is_reversible():
     rnd = random.Random(2)
     for _ in range(3000):
