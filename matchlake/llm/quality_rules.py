@@ -27,19 +27,20 @@ from .common import stored, text_of, words_of
 
 WINDOW = 8
 
-# The bounds between which a rule abstains.
+# The bounds between which a rule abstains.  Every rule can vote either way on documents that
+# pass the base rule.
 RULES: dict[str, tuple[str, str]] = {
     # rule: (bad when, good when)
     "symbols": ("n_symbols > 0.10 * n_words", "n_symbols <= 0.02 * n_words"),
     "capitals": ("n_upper > 0.40 * n_letters", "n_upper <= 0.15 * n_letters"),
     "letters": ("n_letters < 0.60 * word_chars", "n_letters >= 0.88 * word_chars"),
     "lines": ("n_dup_lines > 0.30 * n_lines and n_dup_lines >= 3", "n_dup_lines <= 0.05 * n_lines"),
-    "windows": ("n_repeat_words > 0.30 * n_words", "n_repeat_words <= 0.02 * n_words"),
+    "windows": ("n_repeat_words > 0.20 * n_words", "n_repeat_words <= 0.02 * n_words"),
     "echoes": ("n_echoes > 0.25 * n_words", "n_echoes <= 0.05 * n_words"),
     "word_length": ("word_chars > 12 * n_words or word_chars < 2.2 * n_words",
                     "word_chars between 3 * n_words and 9 * n_words"),
     "marks": ("n_marks > 0.20 * n_words", "n_marks <= 0.05 * n_words"),
-    "length": ("n_words < 20", "n_words >= 50"),
+    "line_words": ("n_words < 3 * n_lines", "n_words >= 6 * n_lines"),
 }
 
 SHARE_GOOD, RIGHT_GOOD, RIGHT_BAD = 0.85, 0.998, 0.2

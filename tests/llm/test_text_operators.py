@@ -4,9 +4,11 @@ import hashlib
 import random
 import re
 import time
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +64,73 @@ def test_quality_keeps_prose_and_drops_junk(docs):
     assert {r.doc_id for r in out.collect() if r.doc_id is not None} == kept - {None}
 
 
+def brute_votes(t):
+    n_words, word_chars, n_symbols, n_dup, n_repeat = base_counts(t)
+    words, lines = WORD.findall(t), [s for s in t.split("\n") if WORD.search(s)]
+    letters = sum(unicodedata.category(c)[0] == "L" for c in t)
+    upper = sum(unicodedata.category(c) == "Lu" for c in t)
+    marks = sum(not any(unicodedata.category(c)[0] in "LN" for c in w) for w in words)
+    echoes = sum(a == b for a, b in zip(words, words[1:]))
+    vote = lambda bad, good: -1 if bad else int(good)
+    return {"symbols": vote(n_symbols > 0.10 * n_words, n_symbols <= 0.02 * n_words),
+            "capitals": vote(upper > 0.40 * letters, upper <= 0.15 * letters),
+            "letters": vote(letters < 0.60 * word_chars, letters >= 0.88 * word_chars),
+            "lines": vote(n_dup > 0.30 * len(lines) and n_dup >= 3, n_dup <= 0.05 * len(lines)),
+            "windows": vote(n_repeat > 0.20 * n_words, n_repeat <= 0.02 * n_words),
+            "echoes": vote(echoes > 0.25 * n_words, echoes <= 0.05 * n_words),
+            "word_length": vote(not 2.2 * n_words <= word_chars <= 12 * n_words, 3 * n_words <= word_chars <= 9 * n_words),
+            "marks": vote(marks > 0.20 * n_words, marks <= 0.05 * n_words),
+            "line_words": vote(n_words < 3 * len(lines), n_words >= 6 * len(lines))}
+
+
+def brute_posteriors(votes):
+    """Expectation-maximisation document by document: P(good) of each row of votes."""
+    v = np.array([list(x.values()) for x in votes], float)
+    n, strength = len(v), 1 + 0.01 * len(v)
+    share, right, wrong = 0.85, np.full(v.shape[1], 0.998), np.full(v.shape[1], 0.2)
+    for _ in range(100):
+        good = share * np.where(v == 1, right, np.where(v == -1, 1 - right, 1)).prod(axis=1)
+        bad = (1 - share) * np.where(v == 1, 1 - wrong, np.where(v == -1, wrong, 1)).prod(axis=1)
+        p = good / (good + bad)
+        share = np.clip((p.sum() + 0.85 * strength) / (n + strength), 0.5, 0.99)
+        w, q = p[:, None], 1 - p[:, None]
+        right = np.clip(((w * (v == 1)).sum(0) + 0.998 * strength) / ((w * (v != 0)).sum(0) + strength), 0.7, 0.999)
+        wrong = np.clip(((q * (v == -1)).sum(0) + 0.2 * strength) / ((q * (v != 0)).sum(0) + strength), 0.02, 0.95)
+    return p
+
+
+# One document per rule that passes the base rule and that this rule calls bad.
+LOST = {"symbols": "some words with # and * or | in them alpha beta gamma delta epsilon zeta eta theta iota kappa lambda",
+        "capitals": "ALL OF THIS IS SAID VERY LOUDLY AND NOBODY WANTS TO READ SUCH A TEXT FROM TOP TO END EVER AGAIN",
+        "letters": "call 0151234567 or 0301234567 and 0401234567 then 0691234567 else 0211234567 nor 0711234567 so 0891234567 yet 0511234567 for 1",
+        "lines": "\n".join(f"menu entry\nstory number {i} tells of {w} and {w}s in a town" for i, w in enumerate(["cat", "dog", "cow", "owl", "pig", "hen"])),
+        "windows": "one two three four five six seven eight " * 2 + " ".join(f"word{chr(97 + i)}x" for i in range(26)) + " " +
+                   " ".join(f"term{chr(97 + i)}y" for i in range(26)),
+        "echoes": " ".join(f"{w} {w} {x}" for w, x in zip("abel bert carl dora emil fritz gina hans".split(), "one two three four five six seven eight".split())),
+        "word_length": "a b c d e f g h i j k l m n o p q r s t u v w x y z",
+        "marks": "yes - no - maybe - never - always - often - seldom - here - there - where - then - when -",
+        "line_words": "\n".join(f"{w} {x}" for w in ("home", "news", "sport", "mail") for x in ("today", "later", "page"))}
+
+
+def test_quality_verdicts_equal_brute_force(spark):
+    rows = ROWS + [(900 + i, t, "s1") for i, t in enumerate(LOST.values())]
+    rows += [(950 + i, LOST["symbols"] + f" # $ % {i} & * | " + LOST["marks"], "s1") for i in range(5)]
+    votes = [brute_votes(text(r)) for r in rows]
+    passed = [not (n < 20 or 100 * rep > 30 * n) for n, _, _, _, rep in (base_counts(text(r)) for r in rows)]
+    p = iter(brute_posteriors([v for v, ok in zip(votes, passed) if ok]))
+    want = Counter((r[0], bool(ok and next(p) >= 0.5)) for r, ok in zip(rows, passed))
+    assert Counter((r.doc_id, r.kept) for r in quality_rules.report(cases.frame(spark, rows)).collect()) == want
+    assert not any(want[(950 + i, True)] for i in range(5))
+
+
+def test_every_rule_can_call_a_document_bad_that_passes_the_base_rule():
+    assert list(LOST) == list(quality_rules.RULES)
+    for rule, t in LOST.items():
+        n, _, _, _, rep = base_counts(t)
+        assert n >= 20 and 100 * rep <= 30 * n, rule
+        assert brute_votes(t)[rule] == -1, (rule, brute_votes(t))
+
+
 def test_expectation_maximisation_finds_a_useless_rule():
     rnd, n = random.Random(3), len(quality_rules.RULES)
     patterns = Counter()
