@@ -102,7 +102,7 @@ def brute_posteriors(votes):
 # One document per rule that passes the base rule and that this rule calls bad.
 LOST = {"symbols": "some words with # and * or | in them alpha beta gamma delta epsilon zeta eta theta iota kappa lambda",
         "capitals": "ALL OF THIS IS SAID VERY LOUDLY AND NOBODY WANTS TO READ SUCH A TEXT FROM TOP TO END EVER AGAIN",
-        "letters": "call 0151234567 or 0301234567 and 0401234567 then 0691234567 else 0211234567 nor 0711234567 so 0891234567 yet 0511234567 for 1",
+        "letters": "call 0151234567 or 0301234567 and 0401234567 then 0691234567 else 0211234567 nor 0711234567 so 0891234567 yet 0511234567 for 0611234567 also 0811234567",
         "lines": "\n".join(f"menu entry\nstory number {i} tells of {w} and {w}s in a town" for i, w in enumerate(["cat", "dog", "cow", "owl", "pig", "hen"])),
         "windows": "one two three four five six seven eight " * 2 + " ".join(f"word{chr(97 + i)}x" for i in range(26)) + " " +
                    " ".join(f"term{chr(97 + i)}y" for i in range(26)),
