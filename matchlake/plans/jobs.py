@@ -24,7 +24,7 @@ from . import reports as R
 from .edition import Edition
 from .silver import COMPACT_TABLES, FULL_TABLES, conform_all
 from .star import DIM_TABLES, FACT_TABLES, LazyTables, Star, build_star
-from .totals import player_totals
+from .totals import player_totals, totals_per_player
 
 # Independent writes of one layer are submitted concurrently (driver threads only
 # submit jobs; the work runs on executors), so small tables do not leave the
@@ -40,6 +40,7 @@ def _parallel(spark: SparkSession, tasks: list[Callable[[], tuple]],
 # Facts are partitioned by season so season-filtered reports prune whole folders.
 FACT_PARTITIONS = {"fact_appearance": ["season_year"], "fact_game": ["season_year"]}
 TOTALS = "player_totals"
+PER_PLAYER = "player_totals_per_player"
 
 REPORT_STATUS_SCHEMA = T.StructType([
     T.StructField("report", T.StringType()),
@@ -57,13 +58,14 @@ def run_ingest(spark: SparkSession, paths: LayerPaths,
 
 def _write_all(spark: SparkSession, frames: Mapping[str, DataFrame], where,
                paths: LayerPaths, partitions: dict | None = None,
-               parallel: int = DEFAULT_PARALLEL_WRITES) -> DataFrame:
+               parallel: int = DEFAULT_PARALLEL_WRITES, rebalance: bool = True) -> DataFrame:
     """Write each table; one that cannot be built or written is a status row, and
-    the others go on.  ``frames`` may build its tables on access."""
+    the others go on.  ``frames`` may build its tables on access; ``rebalance``: see ``write_counted``."""
     def task(name: str):
         def run():
             try:
-                rows = write_counted(frames[name], where(name), paths.fmt, (partitions or {}).get(name), paths.versioned)
+                rows = write_counted(frames[name], where(name), paths.fmt, (partitions or {}).get(name), paths.versioned,
+                                     rebalance)
                 return (name, "ok", rows, None)
             except Exception as e:  # noqa: BLE001 -- per-table isolation
                 return (name, "failed", None, error_text(e))
@@ -102,18 +104,21 @@ def run_model(spark: SparkSession, paths: LayerPaths, ed: Edition) -> DataFrame:
 
 
 def write_star(spark: SparkSession, star: Star, paths: LayerPaths) -> DataFrame:
-    """Write the four dimensions and three facts (facts partitioned by season), then the per-player totals
-    from the written fact.
+    """Write the four dimensions and three facts (facts partitioned by season), then the totals per player, season
+    and competition from the written fact, and from these the totals per player.
+
+    Facts and totals have few seasons, so they are written by the tasks that join or add them up (a file per task
+    and season) and not shuffled once more for larger files: that shuffle would move every wide row again.
 
     A partitioned table is read back with its partition columns last and their types
     guessed from folder names, so its schema is written beside it.  Totals of an earlier run go first: a run
     that ends between the fact and its totals leaves none, and reports then read the fact."""
-    for old in (TOTALS, f"_schema_of_{TOTALS}"):
+    for old in (PER_PLAYER, TOTALS, f"_schema_of_{TOTALS}"):
         remove_path(spark, paths.totals(old))
     dims = LazyTables({t: (lambda t=t: getattr(star, t)) for t in DIM_TABLES})
     facts = LazyTables({t: (lambda t=t: getattr(star, t)) for t in FACT_TABLES})
     status = _write_all(spark, dims, paths.dim, paths).unionByName(
-        _write_all(spark, facts, paths.fact, paths, FACT_PARTITIONS))
+        _write_all(spark, facts, paths.fact, paths, FACT_PARTITIONS, rebalance=False))
     failed = {r["table_name"] for r in status.filter("status = 'failed'").collect()}
     for t in FACT_PARTITIONS:
         if t not in failed:
@@ -122,7 +127,13 @@ def write_star(spark: SparkSession, star: Star, paths: LayerPaths) -> DataFrame:
         return status
     totals = LazyTables({TOTALS: lambda: player_totals(_read_fact(spark, paths, "fact_appearance"))})
     _write_schema(spark, totals[TOTALS], paths.totals, TOTALS)
-    return status.unionByName(_write_all(spark, totals, paths.totals, paths, {TOTALS: ["season_year"]}))
+    summed = _write_all(spark, totals, paths.totals, paths, {TOTALS: ["season_year"]}, rebalance=False)
+    status = status.unionByName(summed)
+    if summed.first()["status"] == "failed":
+        return status
+    per_player = LazyTables({PER_PLAYER: lambda: totals_per_player(
+        _read_partitioned(spark, paths.fmt, paths.totals, TOTALS))})
+    return status.unionByName(_write_all(spark, per_player, paths.totals, paths))
 
 
 def _write_schema(spark: SparkSession, df: DataFrame, where, t: str) -> None:
@@ -149,6 +160,8 @@ def read_star(spark: SparkSession, paths: LayerPaths) -> Star:
     tables.update({t: _read_fact(spark, paths, t) for t in FACT_TABLES})
     if table_exists(spark, paths.totals(TOTALS)):
         tables[TOTALS] = _read_partitioned(spark, paths.fmt, paths.totals, TOTALS)
+        if table_exists(spark, paths.totals(PER_PLAYER)):
+            tables[PER_PLAYER] = read_table(spark, paths.totals(PER_PLAYER), paths.fmt)
     return Star(**tables)
 
 

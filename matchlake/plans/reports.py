@@ -62,14 +62,12 @@ def report01_compact(star: Star, ordered: bool = True) -> DataFrame:
 
 @report(1, "full")
 def report01_full(star: Star, ordered: bool = True) -> DataFrame:
-    pairs = star.fact_appearance.select("player_key", "club_key").distinct()
-    named = spread_join(pairs, star.dim_club.select("club_key", F.col("name").alias("club_name")),
-                        "club_key", "left")
-    # Distinct names as rows; the count does not need the array, which is a column
-    # of the report and as long as the player's list of clubs.
-    clubs = (named.select("player_key", "club_name").distinct().groupBy("player_key")
-             .agg(F.array_sort(F.collect_list("club_name")).alias("clubs_played"),
-                  F.count("club_name").alias("number_of_clubs")))
+    named = spread_join(star.fact_appearance.select("player_key", "club_key"),
+                        star.dim_club.select("club_key", F.col("name").alias("club_name")), "club_key", "left")
+    # The player's set of names is a column of the report, so it is in memory in any case: every task
+    # cuts its rows to sets before the one shuffle by player.
+    clubs = (named.groupBy("player_key").agg(F.array_sort(F.collect_set("club_name")).alias("clubs_played"))
+             .withColumn("number_of_clubs", F.size("clubs_played").cast("bigint")))
     players = star.dim_player.select("player_key", "full_name", "country_of_citizenship",
                                      "position", "date_of_birth", "age", "current_club_name")
     out = players.join(clubs, "player_key", "left")

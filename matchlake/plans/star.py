@@ -43,7 +43,7 @@ class LazyTables(Mapping):
 
 
 class Star:
-    """The seven gold tables (values or lazy builders), and the per-player totals where they are stored."""
+    """The seven gold tables (values or lazy builders), and the totals where they are stored."""
 
     TABLES = DIM_TABLES + FACT_TABLES
 
@@ -57,6 +57,10 @@ class Star:
     def player_totals(self) -> DataFrame | None:
         return self._t["player_totals"] if "player_totals" in list(self._t) else None
 
+    @property
+    def player_totals_per_player(self) -> DataFrame | None:
+        return self._t["player_totals_per_player"] if "player_totals_per_player" in list(self._t) else None
+
     dim_player = property(lambda self: self._t["dim_player"])
     dim_club = property(lambda self: self._t["dim_club"])
     dim_competition = property(lambda self: self._t["dim_competition"])

@@ -42,14 +42,23 @@ def merge_totals(*parts: DataFrame) -> DataFrame:
     return rows.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
+def totals_per_player(totals: DataFrame) -> DataFrame:
+    """One row per player (a NULL player too) over all seasons and competitions of a totals table: what reports per
+    player share, so that the totals are shuffled by player once and not for every report."""
+    return totals.groupBy("player_key").agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
 def totals_by(star, keys: list[str], where: Column | None = None, within: DataFrame | None = None,
               **measures: str) -> DataFrame:
     """One row per ``keys`` (some of ``KEYS``) with ``measures`` (output name -> measure).
 
     Derived from the star's stored totals where it has them, else from the fact in one
-    aggregate; the rows are the same.  ``where`` filters, and ``within`` semi-joins on its only
+    aggregate; the rows are the same.  Whole totals per player are read as they are stored.  ``where`` filters, and ``within`` semi-joins on its only
     column, by the keys of the totals."""
     stored = star.player_totals
+    whole = star.player_totals_per_player
+    if whole is not None and list(keys) == ["player_key"] and where is None and within is None:
+        return whole.select("player_key", *[F.col(m).alias(name) for name, m in measures.items()])
     rows = star.fact_appearance if stored is None else stored
     if where is not None:
         rows = rows.filter(where)

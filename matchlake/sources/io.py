@@ -263,6 +263,11 @@ def check_format(spark: SparkSession, fmt: str) -> None:
                              f"add its connector or use 'parquet'") from e
 
 
+# Written tables are compressed with this codec unless the session names one of its own.
+_CODEC = "zstd"
+_CODEC_CONF = {"parquet": "spark.sql.parquet.compression.codec", "orc": "spark.sql.orc.compression.codec"}
+
+
 # ---------------------------------------------------------------- tables and their versions
 
 KEPT_VERSIONS = 2      # the current one, and the one that running readers may still hold
@@ -344,12 +349,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
         df = df.hint("rebalance", *partition_by)
     # Static: all old partitions go, also in a session set to dynamic overwrite.
     w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
+    spark = df.sparkSession
+    if fmt in _CODEC_CONF and spark.conf.get(_CODEC_CONF[fmt], None) is None:
+        w = w.option("compression", _CODEC)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if not versioned:
         w.save(path)
         return
-    spark = df.sparkSession
     last = max((n.removeprefix(_MARK) for n in _names(spark, path) if n.startswith(_MARK)), default="v00000000-")
     version = f"v{int(last[1:9]) + 1:08d}-{uuid.uuid4().hex[:8]}"
     w.save(f"{path}/{version}")
@@ -357,10 +364,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
 
 
 def write_counted(df: DataFrame, path: str, fmt: str = "parquet",
-                  partition_by: Iterable[str] | None = None, versioned: bool = False) -> int:
-    """Write and return the row count, measured during the write (no re-scan)."""
+                  partition_by: Iterable[str] | None = None, versioned: bool = False, rebalance: bool = True) -> int:
+    """Write and return the row count, measured during the write (no re-scan).  ``rebalance=False`` writes a
+    partitioned table from the tasks that compute it, without one more shuffle of all its rows."""
     partition_by = list(partition_by or [])
-    if partition_by:
+    if partition_by and rebalance:
         # Counted above the shuffle: a map task that runs again would be added twice.
         df = df.hint("rebalance", *partition_by)
     obs = Observation()

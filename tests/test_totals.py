@@ -14,7 +14,7 @@ from matchlake.plans import reports as R
 from matchlake.plans.edition import compact, full
 from matchlake.plans.registry import REPORT_PARAMS, Layers
 from matchlake.plans.star import FACT_TABLES, Star
-from matchlake.plans.totals import KEYS, MEASURES, merge_totals, player_totals
+from matchlake.plans.totals import KEYS, MEASURES, merge_totals, player_totals, totals_by, totals_per_player
 from matchlake.sources import adapter
 from matchlake.sources.io import LayerPaths, write_table
 
@@ -202,3 +202,102 @@ def test_counted_dedupe_of_a_hot_key(spark):
 def test_star_without_totals_still_lists_seven_tables(spark, written):
     _, paths = written
     assert set(jobs.read_star(spark, paths).tables()) == set(Star.TABLES) and set(FACT_TABLES) < set(Star.TABLES)
+
+
+# ---------------------------------------------------------------- bytes shuffled by the jobs
+
+def test_totals_per_player_are_shared(spark, written):
+    """Reports per player read stored sums: none of them adds up the totals by player again."""
+    ed, paths = written
+    star = jobs.read_star(spark, paths)
+    for n in ("04", "06", "08", "11", "13"):
+        df = R.REPORTS[f"report{n}_{ed.name}"](star)
+        files = " ".join(df.inputFiles())
+        assert "totals/player_totals_per_player/" in files and "totals/player_totals/" not in files, n
+        assert "keys=[player_key" not in scans(df), n
+    for n in ("02", "03"):                                                     # some competitions, one season
+        assert "player_totals_per_player" not in " ".join(R.REPORTS[f"report{n}_{ed.name}"](star).inputFiles()), n
+    assert rows(star.player_totals_per_player) == rows(totals_by(Star(**star.tables()), ["player_key"], **{m: m for m in MEASURES}))
+    assert star.player_totals_per_player.dtypes == totals_by(
+        Star(**star.tables()), ["player_key"], **{m: m for m in MEASURES}).dtypes
+
+
+def test_totals_per_player_of_nulls(spark):
+    fact = spark.createDataFrame(
+        [(1, 10, 1999, "a", None, None, None, None, 5), (1, None, 2000, None, 2, None, 1, None, 90),
+         (1, 12, None, "a", 3, None, None, None, None), (None, None, 2000, "a", 1, 1, 1, 1, 1), (None, 4, None, None, 1, 1, 1, 1, 1)],
+        "player_key long, game_key long, season_year int, competition_key string, goals int, assists int, "
+        "yellow_cards int, red_cards int, minutes_played int")
+    got = {r.player_key: r for r in totals_per_player(player_totals(fact)).collect()}
+    assert set(got) == {1, None}
+    assert (got[1].apps, got[1].games, got[1].goals, got[1].n_goals, got[1].minutes_played) == (3, 2, 5, 2, 95)
+    assert got[1].assists is None and got[1].n_assists == 0 and got[1].red_cards is None
+    assert (got[None].apps, got[None].games, got[None].goals) == (2, 1, 2)
+
+
+def test_sums_per_player_go_with_the_totals(spark, written):
+    """Neither totals table outlives the fact that it was added up from."""
+    ed, paths = written
+    star = jobs.read_star(spark, paths)
+    other = LayerPaths(tempfile.mkdtemp(prefix="matchlake-stale-")).for_edition(ed.name)
+    jobs.write_star(spark, star, other)
+    assert os.path.isdir(other.totals(jobs.PER_PLAYER))
+    broken = {t: (lambda t=t: getattr(star, t)) for t in Star.TABLES} | {
+        "fact_appearance": lambda: star.fact_appearance.select("no_such_column")}
+    jobs.write_star(spark, Star(**broken), other)
+    assert not os.path.isdir(other.totals(jobs.PER_PLAYER))
+    assert jobs.read_star(spark, other).player_totals_per_player is None
+
+
+def test_facts_and_totals_are_written_without_another_shuffle(spark, written, monkeypatch):
+    from matchlake.sources import io
+
+    ed, paths = written
+    plans, write = {}, io.write_table
+
+    def recorded(df, path, *args, **kwargs):
+        plans[path.rsplit("/", 1)[1]] = df._jdf.queryExecution().optimizedPlan().toString()
+        write(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(io, "write_table", recorded)
+    other = LayerPaths(tempfile.mkdtemp(prefix="matchlake-plain-")).for_edition(ed.name)
+    jobs.write_star(spark, jobs.read_star(spark, paths), other)
+    for t in ("fact_appearance", "fact_game", "player_totals"):
+        assert t in plans and "Rebalance" not in plans[t], t
+        assert any(n.startswith("season_year=") for n in os.listdir((other.fact if t in FACT_TABLES else other.totals)(t))), t
+
+
+def test_clubs_of_a_player_take_one_shuffle(spark, written):
+    """One of the fact's rows, and one of the players that they are joined with."""
+    ed, paths = written
+    plan = R.REPORTS[f"report01_{ed.name}"](jobs.read_star(spark, paths))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and plan.count("collect_set") == 2, plan
+
+
+def test_clubs_of_a_player_on_odd_rows(spark):
+    """Clubs that share a name, without one, or unknown; a club twice; players without a row or only without a club."""
+    fact = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (1, 3), (1, 9), (2, 9), (3, None), (3, 4), (None, 1)],
+                                 "player_key long, club_key long")
+    clubs = spark.createDataFrame([(1, "Same"), (2, "Same"), (3, None), (4, "Älv"), (5, "Unseen")], "club_key long, name string")
+    players = spark.createDataFrame([(i, f"p{i}", "x", "y", None, 20, "z") for i in (1, 2, 3, 4)],
+                                    "player_key long, full_name string, country_of_citizenship string, position string, "
+                                    "date_of_birth date, age int, current_club_name string")
+    unread = {t: None for t in Star.TABLES} | {"fact_appearance": fact, "dim_club": clubs, "dim_player": players}
+    df = R.report01_full(Star(**{t: v if v is not None else (lambda: 1 / 0) for t, v in unread.items()}))
+    got = {r.player_key: (r.clubs_played, r.number_of_clubs) for r in df.collect()}
+    assert got == {1: (["Same"], 1), 2: ([], 0), 3: (["Älv"], 1), 4: (None, 0)}
+    assert dict(df.dtypes)["number_of_clubs"] == "bigint"
+
+
+def test_tables_are_compressed_unless_the_session_says_how(spark):
+    import glob
+
+    base, conf = tempfile.mkdtemp(prefix="matchlake-codec-"), "spark.sql.parquet.compression.codec"
+    write_table(spark.range(10), f"{base}/own")
+    spark.conf.set(conf, "gzip")
+    try:
+        write_table(spark.range(10), f"{base}/session")
+    finally:
+        spark.conf.unset(conf)
+    assert glob.glob(f"{base}/own/*.zstd.parquet") and glob.glob(f"{base}/session/*.gz.parquet")
+    assert spark.read.parquet(f"{base}/own").count() == spark.read.parquet(f"{base}/session").count() == 10
