@@ -29,13 +29,16 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from hashlib import blake2b
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
@@ -56,11 +59,18 @@ HELD_OUT = 2                # crc32(doc_id as text) mod 4
 
 _WORD = re.compile(r"[^\W\d_]+")
 _STEMS = (6, 5, 4)
+_BLANKED = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))   # ASCII letters and all others stay
+_STRIDE = 1024              # shingles that a sketch takes at a time: 40 rows of them fit a core's cache
 _ODD = np.random.default_rng(5).integers(1 << 62, size=BANDS * BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """What ``_WORD`` finds in the lowered text; the pattern reads only what ASCII cannot tell."""
+    plain = text.lower().encode("utf-8", "surrogatepass").translate(_BLANKED).decode("utf-8", "surrogatepass")
+    pieces = plain.split()
+    if plain.isascii() or all(map(str.isalpha, pieces)):
+        return pieces
+    return [w for piece in pieces for w in ((piece,) if piece.isalpha() else _WORD.findall(piece))]
 
 
 def keys_of(word: str) -> list[str]:
@@ -68,6 +78,7 @@ def keys_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in _STEMS if len(word) > n)]
 
 
+
 def _surprise(clean: float, toxic: float, base: float) -> float:
     """Log-likelihood ratio of the share of toxic documents against ``base``."""
     n = clean + toxic
@@ -108,13 +119,15 @@ class Scores(dict):
     def __init__(self, scored: dict[str, float], whole: frozenset[str]):
         super().__init__()
         self.scored, self.whole = scored, whole
+        self.stems = {k[:-1]: v for k, v in scored.items() if k.endswith("*")}
+        self.begins = frozenset(k[:min(_STEMS)] for k in self.stems)
 
     def __missing__(self, word: str) -> float:
         value = -DRIFT
         if word in self.scored:
             value = self.scored[word]
-        elif word not in self.whole:            # a word counted often enough speaks for itself
-            value = next((self.scored[k] for k in keys_of(word)[1:] if k in self.scored), -DRIFT)
+        elif word[:min(_STEMS)] in self.begins and word not in self.whole:     # a word counted often enough speaks for itself
+            value = next((self.stems[word[:n]] for n in _STEMS if len(word) > n and word[:n] in self.stems), -DRIFT)
         if len(self) > 500_000:
             self.clear()
         self[word] = value
@@ -125,16 +138,15 @@ def segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (begin, end, score), in linear time: each
     positive run is merged with those before it while that raises the score."""
     out: list[list] = []                       # begin, end, sum before, sum up to the end, nearest with a smaller sum before
-    total, i, n = 0.0, 0, len(scores)
-    while i < n:
-        if scores[i] <= 0:
-            total += scores[i]
-            i += 1
-            continue
-        begin, before = i, total
-        while i < n and scores[i] > 0:
-            total += scores[i]
-            i += 1
+    sums = list(accumulate(scores, initial=0.0))
+    end, n = 0, len(scores)
+    for begin in [i for i, score in enumerate(scores) if score > 0]:
+        if begin < end:
+            continue                           # in the run of the one before
+        end = begin + 1
+        while end < n and scores[end] > 0:
+            end += 1
+        before, total = sums[begin], sums[end]
         while True:
             j = len(out) - 1
             while j >= 0 and out[j][2] >= before:
@@ -143,7 +155,7 @@ def segments(scores: list[float]) -> list[tuple[int, int, float]]:
                 break
             begin, before = out[j][0], out[j][2]
             del out[j:]
-        out.append([begin, i, before, total, j])
+        out.append([begin, end, before, total, j])
     return [(b, e, hi - lo) for b, e, lo, hi, _ in out]
 
 
@@ -157,7 +169,7 @@ class Model:
 
     def passages(self, words: list[str], scores: Scores) -> list[tuple[int, int, float]]:
         """Segments with their surprise, those above 0."""
-        s = [scores[w] for w in words]
+        s = list(map(scores.__getitem__, words))
         found = segments(s) if words and max(s) > 0 else []
         cost = math.log(max(self.k * len(words), 1e-300)) if words else 0.0
         return [(b, e, x) for b, e, v in found if (x := self.rate * v - cost) > 0]
@@ -173,53 +185,92 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == HELD_OUT
 
 
-def shingles_of(text: str) -> np.ndarray:
-    """Hashes of the distinct runs of five words; a shorter text is one run."""
-    words = text.lower().split()
-    hashes = np.array([int.from_bytes(blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
-                       for w in words] or [0], np.uint64)
+@lru_cache(1 << 18)
+def _digest(word: str) -> bytes:
+    return blake2b(word.encode("utf-8", "replace"), digest_size=8).digest()
+
+
+def _runs(text: str) -> np.ndarray:
+    """Hashes of the runs of five words, one after another; a shorter text is one run."""
+    hashes = np.frombuffer(b"".join(map(_digest, text.lower().split())) or bytes(8), "<u8")
     n = max(len(hashes) - 4, 1)
     out = np.zeros(n, np.uint64)
     for k in range(min(5, len(hashes))):
         out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + n]
         out ^= out >> np.uint64(29)
-    return np.unique(out)
+    return out
+
+
+def shingles_of(text: str) -> np.ndarray:
+    """Hashes of the distinct runs of five words."""
+    return np.unique(_runs(text))
 
 
 def sketch_of(shingles: np.ndarray) -> np.ndarray:
-    """Minima of the shingles under ``BANDS * BAND`` hash functions."""
-    out = np.empty(BANDS * BAND, np.int64)
-    for k, odd in enumerate(_ODD):
-        mixed = (shingles ^ (odd >> np.uint64(7))) * odd
-        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        out[k] = (mixed ^ (mixed >> np.uint64(30))).min().view(np.int64)
-    return out
+    """Minima of the shingles, which may repeat, under ``BANDS * BAND`` hash functions."""
+    out = np.full(BANDS * BAND, np.iinfo(np.uint64).max, np.uint64)
+    odd = _ODD[:, None]
+    for at in range(0, len(shingles), _STRIDE):
+        mixed = shingles[at:at + _STRIDE] ^ (odd >> np.uint64(7))
+        mixed *= odd
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(30)
+        np.minimum(out, mixed.min(axis=1), out=out)
+    return out.view(np.int64)
 
 
 def _sketched(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
         yield pd.DataFrame({"id": part["id"], "h": part["h"], "toxic": part["toxic"],
-                            "sketch": [sketch_of(shingles_of(t)) for t in part["text"]]})
-
-
-def _pairs(group: pd.DataFrame) -> pd.DataFrame:
-    """Each row of a band with the row before it, in order of (id, h), whose sketch is most alike."""
-    group = group.sort_values(["id", "h"], ignore_index=True)
-    sketches = np.array(group["sketch"].tolist(), np.int64)
-    first, out = [0], []
-    leaders = np.empty_like(sketches)
-    leaders[0] = sketches[0]
-    for i in range(1, len(group)):
-        alike = (leaders[:len(first)] == sketches[i]).mean(axis=1)
+                            "sketch": [sketch_of(_runs(t)) for t in part["text"]]})
+
+
+class Leaders:
+    """The rows of a band that later ones are compared with."""
+
+    def __init__(self, row: tuple[int, int], sketch: np.ndarray):
+        self.rows, self.sketches = [row], np.array([sketch])
+
+    def nearest(self, row: tuple[int, int], sketch: np.ndarray) -> tuple[int, int] | None:
+        """The leader most alike, if it may be a near copy; a row like none becomes one."""
+        n = len(self.rows)
+        alike = (self.sketches[:n] == sketch).mean(axis=1)
         j = int(alike.argmax())
-        if alike[j] >= NEAR - 0.2:              # about; the texts decide
-            out.append((i, first[j]))
+        found = self.rows[j] if alike[j] >= NEAR - 0.2 else None      # about; the texts decide
         if alike[j] < 0.95:
-            leaders[len(first)] = sketches[i]
-            first.append(i)
-    at, to = [a for a, _ in out], [b for _, b in out]
-    return pd.DataFrame({"id": group["id"].to_numpy()[at], "h": group["h"].to_numpy()[at],
-                         "id2": group["id"].to_numpy()[to], "h2": group["h"].to_numpy()[to]}, dtype="int64")
+            if n == len(self.sketches):
+                self.sketches = np.concatenate([self.sketches, np.empty_like(self.sketches)])
+            self.sketches[n] = sketch
+            self.rows.append(row)
+        return found
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row of a band with the row before it whose sketch is most alike.  Bands come
+    one after another, rows in order of (id, h); a band may go on in the next batch."""
+    band, leaders = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        toxic, slot, low, row_id, h = (batch.column(c).to_numpy(zero_copy_only=False)
+                                       for c in ("toxic", "slot", "low", "id", "h"))
+        sketches = batch.column("sketch").flatten().to_numpy().reshape(len(h), -1)
+        begins = np.ones(len(h) + 1, bool)
+        begins[1:-1] = (toxic[1:] != toxic[:-1]) | (slot[1:] != slot[:-1]) | (low[1:] != low[:-1])
+        begins[0] = band != (toxic[0], slot[0], low[0])
+        out = []
+        alone = begins[:-1] & begins[1:]
+        alone[-1] = False                       # the next batch may go on with it
+        for i in np.flatnonzero(~alone).tolist():
+            row = (row_id[i], h[i])
+            if begins[i]:
+                leaders = Leaders(row, sketches[i])
+            elif (to := leaders.nearest(row, sketches[i])) is not None:
+                out.append((*row, *to))
+        band = (toxic[-1], slot[-1], low[-1])
+        columns = np.array(out, np.int64).reshape(-1, 4).T
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "h", "id2", "h2"])
 
 
 def _near(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,11 +309,11 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sketches = stored(sketches, "toxic-sketches")
     sketches = sketches.dropDuplicates(["id", "h"])
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
-                        lambda i: F.struct(i, F.xxhash64(F.slice("sketch", i * BAND + 1, BAND))))
-    banded = sketches.select("id", "h", (F.col("toxic") > 0).alias("toxic"), F.explode(bands).alias("band"), "sketch")
-    shared = banded.groupBy("toxic", "band").count().filter("count > 1").drop("count")
-    pairs = banded.join(shared, ["toxic", "band"]).groupBy("toxic", "band").applyInPandas(
-        _pairs, "id long, h long, id2 long, h2 long")
+                        lambda i: F.struct(i.alias("slot"), F.xxhash64(F.slice("sketch", i * BAND + 1, BAND)).alias("low")))
+    banded = sketches.select("id", "h", (F.col("toxic") > 0).alias("toxic"), F.inline(bands), "sketch")
+    # Bands are read one after another in sorted partitions: most have one row, too little for a group each.
+    banded = banded.repartition("toxic", "slot", "low").sortWithinPartitions("toxic", "slot", "low", "id", "h")
+    pairs = banded.mapInArrow(_pairs, "id long, h long, id2 long, h2 long")
     pairs = stored(pairs.distinct(), "toxic-pairs")
     named = pairs.select("id", "h").union(pairs.select("id2", "h2")).distinct()
     texts = rows.join(F.broadcast(named), ["id", "h"]).select("id", "h", "text")
@@ -277,17 +328,42 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 COUNTS = "key string, c0 long, t0 long, c1 long, t1 long"
 
 
-def _count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per key, class and fold, added up for each batch; key '' has all keys."""
-    for part in parts:
-        added = [Counter() for _ in range(4)]
-        for text, toxic, fold in zip(part["text"], part["toxic"], part["fold"]):
-            keys = {k for w in set(words_of(text)) for k in keys_of(w)}
-            into = added[2 * fold + (toxic > 0)]
-            into.update(keys)
-            into[""] += len(keys)
-        keys = list(set().union(*added))
-        yield pd.DataFrame({"key": keys, **{c: [a[k] for k in keys] for c, a in zip(("c0", "t0", "c1", "t1"), added)}})
+    for batch in batches:
+        into = 2 * batch.column("fold").to_numpy(zero_copy_only=False).astype(np.int64)
+        into += batch.column("toxic").to_numpy(zero_copy_only=False) > 0
+        said, chunks, many = [], [], []
+        for text in batch.column("text"):
+            found = set(words_of(text.as_py()))
+            many.append(len(found))
+            said.extend(found)
+            if len(said) > 100_000:
+                chunks.append(pa.array(said, pa.string()))
+                said = []
+        said = pa.chunked_array([*chunks, pa.array(said, pa.string())]).combine_chunks().dictionary_encode()
+        words, code = said.dictionary, said.indices.to_numpy().astype(np.int64)
+        doc = np.repeat(np.arange(len(many)), many)
+        keys, counts = [words], [_tally(code, into[doc], len(words))]
+        for n in _STEMS:                        # those of the distinct words, then once a document
+            longer = pc.greater(pc.utf8_length(words), n)
+            stems = pc.utf8_slice_codeunits(words.filter(longer), 0, n).dictionary_encode()
+            stem = np.full(len(words), -1)
+            stem[longer.to_numpy(zero_copy_only=False)] = stems.indices.to_numpy()
+            least = max(len(stems.dictionary), 1)
+            has = stem[code] >= 0
+            once = np.unique(doc[has] * least + stem[code[has]])
+            keys.append(pc.binary_join_element_wise(stems.dictionary, "*", ""))
+            counts.append(_tally(once % least, into[once // least], len(stems.dictionary)))
+        counts = np.concatenate(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array([""]), *keys]), *map(pa.array, np.vstack([counts.sum(axis=0), counts]).T.copy())],
+            ["key", "c0", "t0", "c1", "t1"])
+
+
+def _tally(key: np.ndarray, into: np.ndarray, keys: int) -> np.ndarray:
+    """How often each key comes with each of the four classes and folds."""
+    return np.bincount(key * 4 + into, minlength=keys * 4).reshape(keys, 4)
 
 
 def _fold_scores(first: Model, second: Model):
@@ -297,7 +373,7 @@ def _fold_scores(first: Model, second: Model):
             out = []
             for text, toxic, fold in zip(part["text"], part["toxic"], part["fold"]):
                 words = words_of(text)
-                s = [scores[1 - fold][w] for w in words]
+                s = list(map(scores[1 - fold].__getitem__, words))
                 found = segments(s) if words and max(s) > 0 else []
                 out.append((int(toxic > 0), len(words), [v for _, _, v in found],
                             [x for x in s if x > 0] if not toxic else []))
@@ -339,7 +415,7 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows = training_rows(docs, labels)
-    counted = rows.mapInPandas(_count, COUNTS).groupBy("key").agg(*[F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")])
+    counted = rows.mapInArrow(_count, COUNTS).groupBy("key").agg(*[F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")])
     counted = stored(counted, "toxic-words")
     total = counted.filter("key = ''").first()
     if total is None or not (total["c0"] + total["c1"] and total["t0"] + total["t1"]):
@@ -393,13 +469,12 @@ def scorer(spark, model: Model) -> Column:
         for part in parts:
             out = []
             for text in part:
-                lowered = text.lower()
-                found = model.passages(_WORD.findall(lowered), scores)
+                found = model.passages(words_of(text), scores)
                 begin = end = None
                 if found:
                     first, last, _ = max(found, key=lambda p: p[2])
                     # Lowering changes the length of a few letters; then offsets are those of the lowered text.
-                    at = [m.span() for m in _WORD.finditer(lowered)]
+                    at = [m.span() for m in _WORD.finditer(text.lower())]
                     begin, end = at[first][0], at[last - 1][1]
                 out.append((model.probability(sum(p[2] for p in found)), len(found), begin, end))
             frame = pd.DataFrame(out, columns=["score", "n_passages", "start", "end"])

@@ -6,6 +6,8 @@ import re
 from collections import Counter
 from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from matchlake.llm import html_extract, toxicity, url_filter
@@ -111,6 +113,71 @@ def test_segments_equal_brute_force():
         assert [s for *_, s in got] == pytest.approx([s for *_, s in want])
 
 
+def test_words_equal_their_pattern():
+    rnd = random.Random(6)
+    signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["", "İSTANBUL ΣΑΣ", "²½Ⅷ abc_d1e é1é", "x\x85y\xa0z w\u3000v", "你好,世界。ok", "हिन्दी text", " ".join(signs), "".join(signs)]
+    texts += ["".join(rnd.choice(signs[:0x300]) for _ in range(60)) for _ in range(300)]
+    for text in texts:
+        assert toxicity.words_of(text) == re.findall(r"[^\W\d_]+", text.lower())
+
+
+def test_sketch_hashes_each_word_once(monkeypatch):
+    hashed, real = [], toxicity.blake2b
+    monkeypatch.setattr(toxicity, "blake2b", lambda word, **size: hashed.append(word) or real(word, **size))
+    words = [f"unseen{i}" for i in range(30)]
+    for k in range(3):
+        toxicity.shingles_of(" ".join(words[k:] + words * 20))
+    assert Counter(hashed) == Counter(w.encode() for w in words)
+
+
+def test_sketch_of_a_long_text_is_the_least_of_its_parts():
+    words = [f"w{i % 1700}x{i % 13}" for i in range(4000)]
+    whole = toxicity.sketch_of(toxicity.shingles_of(" ".join(words)))
+    parts = [toxicity.sketch_of(toxicity.shingles_of(" ".join(words[at:at + 104]))) for at in range(0, 4000, 100)]
+    assert (whole.view("uint64") == np.min([p.view("uint64") for p in parts], axis=0)).all()
+
+
+def test_words_are_counted_by_class_and_fold():
+    rnd, words = random.Random(8), cases.vocabulary(8, 200) + ["abcdefgh", "abcdefxy", "abcdex", "ééééé", "a"]
+    rows = [(" ".join(rnd.choices(words, k=rnd.choice([0, 1, 30]))), rnd.randint(0, 1), rnd.randint(0, 1)) for _ in range(80)]
+    want = Counter()
+    for text, toxic, fold in rows:
+        keys = {k for w in toxicity.words_of(text) for k in toxicity.keys_of(w)}
+        want.update((k, "ct"[toxic] + str(fold)) for k in keys)
+        want["", "ct"[toxic] + str(fold)] += len(keys)
+    batch = pa.RecordBatch.from_pylist([{"text": x, "toxic": t, "fold": f} for x, t, f in rows],
+                                       pa.schema([("text", pa.string()), ("toxic", pa.int32()), ("fold", pa.int32())]))
+    got = [r for b in toxicity._count(iter([batch])) for r in b.to_pylist()]
+    assert len({r["key"] for r in got}) == len(got)
+    assert {(r["key"], c): r[c] for r in got for c in ("c0", "t0", "c1", "t1") if r[c]} == {k: n for k, n in want.items() if n}
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_band_pairs_do_not_depend_on_batches(size):
+    rnd = np.random.default_rng(3)
+    texts = [rnd.integers(1 << 40, size=40) for _ in range(6)]
+    rows, want = [], []
+    for slot, many in enumerate([1, 1, 2, 1, 40, 3, 1]):
+        leaders = []
+        for i in range(many):
+            sketch = texts[rnd.integers(6)].copy()
+            sketch[:rnd.integers(24)] = rnd.integers(1 << 40)
+            rows.append({"toxic": slot > 3, "slot": slot % 4, "low": 5, "id": i, "h": -i, "sketch": sketch.tolist()})
+            alike = [sum(a == b for a, b in zip(s, sketch)) / 40 for _, s in leaders]
+            best = max(alike, default=0)
+            if best >= 0.55:
+                to = leaders[alike.index(best)][0]
+                want.append((i, -i, to, -to))
+            if best < 0.95:
+                leaders.append((i, sketch))
+    schema = pa.schema([("toxic", pa.bool_()), ("slot", pa.int32()), ("low", pa.int64()), ("id", pa.int64()), ("h", pa.int64()),
+                        ("sketch", pa.list_(pa.int64()))])
+    batches = [pa.RecordBatch.from_pylist(rows[at:at + size], schema) for at in range(0, len(rows), size)]
+    got = [tuple(r.values()) for b in toxicity._pairs(iter(batches)) for r in b.to_pylist()]
+    assert got == want and len(want) > 10
+
+
 # ---------------------------------------------------------------- URLs
 
 URLS = {
