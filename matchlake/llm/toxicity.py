@@ -54,6 +54,7 @@ DRIFT = 0.25                # score of other words, negative
 MOST_SCORE = 8.0
 THRESHOLD = 0.3             # of ``predicted``
 NEAR = 0.75                 # Jaccard similarity of near copies
+BLOCK_WORDS = 500_000       # words that are counted at a time, plus those of one text
 BANDS, BAND = 10, 4         # min-hashes: rows with NEAR in common share a band in 98 of 100 cases
 HELD_OUT = 2                # crc32(doc_id as text) mod 4
 
@@ -185,7 +186,7 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == HELD_OUT
 
 
-@lru_cache(1 << 18)
+@lru_cache(1 << 16)
 def _digest(word: str) -> bytes:
     return blake2b(word.encode("utf-8", "replace"), digest_size=8).digest()
 
@@ -329,36 +330,41 @@ COUNTS = "key string, c0 long, t0 long, c1 long, t1 long"
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents per key, class and fold, added up for each batch; key '' has all keys."""
+    """Documents per key, class and fold, added up for each block; key '' has all keys."""
     for batch in batches:
         into = 2 * batch.column("fold").to_numpy(zero_copy_only=False).astype(np.int64)
         into += batch.column("toxic").to_numpy(zero_copy_only=False) > 0
-        said, chunks, many = [], [], []
-        for text in batch.column("text"):
+        said, many = [], []
+        for i, text in enumerate(batch.column("text"), 1):
             found = set(words_of(text.as_py()))
             many.append(len(found))
             said.extend(found)
-            if len(said) > 100_000:
-                chunks.append(pa.array(said, pa.string()))
-                said = []
-        said = pa.chunked_array([*chunks, pa.array(said, pa.string())]).combine_chunks().dictionary_encode()
-        words, code = said.dictionary, said.indices.to_numpy().astype(np.int64)
-        doc = np.repeat(np.arange(len(many)), many)
-        keys, counts = [words], [_tally(code, into[doc], len(words))]
-        for n in _STEMS:                        # those of the distinct words, then once a document
-            longer = pc.greater(pc.utf8_length(words), n)
-            stems = pc.utf8_slice_codeunits(words.filter(longer), 0, n).dictionary_encode()
-            stem = np.full(len(words), -1)
-            stem[longer.to_numpy(zero_copy_only=False)] = stems.indices.to_numpy()
-            least = max(len(stems.dictionary), 1)
-            has = stem[code] >= 0
-            once = np.unique(doc[has] * least + stem[code[has]])
-            keys.append(pc.binary_join_element_wise(stems.dictionary, "*", ""))
-            counts.append(_tally(once % least, into[once // least], len(stems.dictionary)))
-        counts = np.concatenate(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([pa.array([""]), *keys]), *map(pa.array, np.vstack([counts.sum(axis=0), counts]).T.copy())],
-            ["key", "c0", "t0", "c1", "t1"])
+            if len(said) >= BLOCK_WORDS or i == batch.num_rows:
+                block, said = pa.array(said, pa.string()), []
+                yield _counted(block, many, into[i - len(many):i])
+                many = []
+
+
+def _counted(said: pa.Array, many: list[int], into: np.ndarray) -> pa.RecordBatch:
+    """Counts of the distinct words ``said`` by texts that have so ``many`` each."""
+    said = said.dictionary_encode()
+    words, code = said.dictionary, said.indices.to_numpy().astype(np.int64)
+    doc = np.repeat(np.arange(len(many)), many)
+    keys, counts = [words], [_tally(code, into[doc], len(words))]
+    for n in _STEMS:                            # those of the distinct words, then once a document
+        longer = pc.greater(pc.utf8_length(words), n)
+        stems = pc.utf8_slice_codeunits(words.filter(longer), 0, n).dictionary_encode()
+        stem = np.full(len(words), -1)
+        stem[longer.to_numpy(zero_copy_only=False)] = stems.indices.to_numpy()
+        least = max(len(stems.dictionary), 1)
+        has = stem[code] >= 0
+        once = np.unique(doc[has] * least + stem[code[has]])
+        keys.append(pc.binary_join_element_wise(stems.dictionary, "*", ""))
+        counts.append(_tally(once % least, into[once // least], len(stems.dictionary)))
+    counts = np.concatenate(counts)
+    return pa.RecordBatch.from_arrays(
+        [pa.concat_arrays([pa.array([""]), *keys]), *map(pa.array, np.vstack([counts.sum(axis=0), counts]).T.copy())],
+        ["key", "c0", "t0", "c1", "t1"])
 
 
 def _tally(key: np.ndarray, into: np.ndarray, keys: int) -> np.ndarray:
